@@ -1,7 +1,9 @@
 """Loads every module that registers queries."""
 
 from wagewright.plans import (  # noqa: F401
+    aggregates,
     relational,
+    windows,
 )
 from wagewright.registry import REGISTRY
 
