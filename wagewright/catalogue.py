@@ -2,7 +2,9 @@
 
 from wagewright.plans import (  # noqa: F401
     aggregates,
+    quality,
     relational,
+    scalars,
     windows,
 )
 from wagewright.registry import REGISTRY

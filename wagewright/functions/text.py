@@ -22,18 +22,19 @@ def default_email(first: Column | str, last: Column | str, domain: str = "compan
     return F.concat(F.lower(as_col(first)), F.lit("."), F.lower(as_col(last)), F.lit(f"@{domain}"))
 
 
-def compact_amount(c: Column | str) -> Column:
-    """Amount as crore, lakh or thousand with one or two digits."""
+def compact_amount(c: Column | str, symbol: str = "₹") -> Column:
+    """Amount in crore, lakh or thousand; smaller amounts without decimals."""
     x = as_col(c).cast("decimal(18,2)")
 
     def scaled(unit: int, digits: int, suffix: str) -> Column:
-        return F.concat(F.round(x / F.lit(unit), digits).cast(f"decimal(18,{digits})").cast("string"), F.lit(suffix))
+        number = F.round((x / F.lit(unit)).cast("decimal(28,8)"), digits).cast(f"decimal(18,{digits})")
+        return F.concat(F.lit(symbol), number.cast("string"), F.lit(suffix))
 
     return (
         F.when(x >= 10_000_000, scaled(10_000_000, 2, "Cr"))
         .when(x >= 100_000, scaled(100_000, 2, "L"))
         .when(x >= 1_000, scaled(1_000, 1, "K"))
-        .otherwise(x.cast("string"))
+        .otherwise(scaled(1, 0, ""))
     )
 
 
