@@ -2,6 +2,7 @@
 
 from wagewright.plans import (  # noqa: F401
     aggregates,
+    payroll,
     quality,
     relational,
     scalars,
