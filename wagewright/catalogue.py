@@ -5,7 +5,9 @@ from wagewright.plans import (  # noqa: F401
     payroll,
     quality,
     relational,
+    reports,
     scalars,
+    warehouse,
     windows,
 )
 from wagewright.registry import REGISTRY
