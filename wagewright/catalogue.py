@@ -7,6 +7,8 @@ from wagewright.plans import (  # noqa: F401
     relational,
     reports,
     scalars,
+    snapshots,
+    streams,
     warehouse,
     windows,
 )
