@@ -35,7 +35,8 @@ def mean(c: Column | str) -> Column:
 
 def rounded(c: Column | str, digits: int = 2) -> Column:
     """Half-up rounding through DECIMAL, so 0.285 gives 0.29."""
-    return F.round(as_col(c).cast("decimal(28,8)"), digits).cast("double")
+    scale = 8 if digits < 6 else 12
+    return F.round(as_col(c).cast(f"decimal(28,{scale})"), digits).cast("double")
 
 
 def ratio(a: Column | str, b: Column | str, scale: float = 1.0) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wagewright.functions.numeric import mean, money, rounded, std, total, zero
 from wagewright.operators.ordering import at_positions, lower_middle, lower_quarter, ranked, upper_middle, upper_quarter
+from wagewright.session import settled
 
 
 def _amount(c: str) -> Column:
@@ -44,6 +45,8 @@ def aggregate_fields(df: DataFrame, key: str, fields: dict[str, list[str]], tie:
     names = list(fields)
     base = df.select(F.coalesce(F.col(key), F.lit("Unknown")).alias(key), tie, *[_amount(f).alias(f) for f in names])
     plain = [AGGREGATES[fn](f).alias(f"{f}_{fn}") for f in names for fn in fields[f] if fn in AGGREGATES]
+    if any(fn in POSITIONS for f in names for fn in fields[f]):
+        base = settled(base)
     out = base.groupBy(key).agg(F.count("*").alias("record_count"), *plain)
     for f in names:
         asked = [fn for fn in fields[f] if fn in POSITIONS]

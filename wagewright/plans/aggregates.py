@@ -17,6 +17,7 @@ from wagewright.operators.aggregate import (
 from wagewright.operators.joins import first_per_key
 from wagewright.operators.ordering import at_positions, gini, lower_quarter, upper_quarter
 from wagewright.registry import query
+from wagewright.session import settled
 from wagewright.sources import roles
 from wagewright.sources.role_sql import avg, pct, r, std
 from wagewright.sources.tables import table
@@ -83,9 +84,6 @@ def attendance_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monthly.join(roles.employees(spark, sf_dir).select("emp_id", "emp_code"), "emp_id")
 
 
-NEAREST = "quantile"
-
-
 @query(
     "agg_multi_function",
     "dept_name:s record_count:l net_sum:d net_mean:d net_median:d net_min:d net_max:d net_std:d net_range:d net_pct_25:d net_pct_75:d days_present_mean:d",
@@ -111,7 +109,7 @@ def agg_multi_function(spark: SparkSession, sf_dir: str) -> DataFrame:
        count(*) OVER (PARTITION BY dept_name) AS c FROM r_wide) GROUP BY 1""",
 )
 def nearest_rank_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = roles.wide_payroll(spark, sf_dir, roles.payroll_headers(spark, sf_dir))
+    wide = settled(roles.wide_payroll(spark, sf_dir, roles.payroll_headers(spark, sf_dir)).select("dept_name", "gross", "payroll_id"))
     return at_positions(
         wide, "gross", "payroll_id", {"pct_25": lower_quarter(), "pct_75": upper_quarter()}, ["dept_name"]
     )

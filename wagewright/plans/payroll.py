@@ -9,6 +9,7 @@ from wagewright.functions.numeric import mean, ratio, rounded
 from wagewright.operators import payroll as pay
 from wagewright.operators.joins import first_per_key
 from wagewright.registry import query
+from wagewright.session import settled
 from wagewright.sources import roles
 from wagewright.sources.role_sql import avg, pct, r
 from wagewright.sources.tables import table
@@ -113,9 +114,12 @@ BATCH_MONTH = "2001-03"
            FROM ({SLIP_SQL}) s LEFT JOIN (SELECT emp_id, max(status) AS was FROM r_ord WHERE period='{BATCH_MONTH}' GROUP BY 1) p ON p.emp_id=s.emp_id""")
 def generate_payroll_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One run for every active employee; records already paid stay, others are replaced."""
-    existing = roles.payroll_headers(spark, sf_dir).filter(F.col("period") == BATCH_MONTH).groupBy("emp_id").agg(
-        F.max("status").alias("was")
+    month = roles.payroll_headers(spark, sf_dir).filter(roles.in_month(2001, 3))
+    flags = month.groupBy("emp_id").agg(
+        F.max(F.col("status") == "Paid").alias("any_paid"), F.max(F.col("status") == "Draft").alias("any_draft")
     )
+    was = F.when(F.col("any_paid"), "Paid").when(F.col("any_draft"), "Draft").otherwise("Approved")
+    existing = flags.select("emp_id", was.alias("was"))
     rows = pay.payslips(payslip_input(spark, sf_dir)).join(existing, "emp_id", "left")
     paid, refused = F.col("was") == "Paid", F.col("net") < 0
     return rows.withColumns({
@@ -196,7 +200,7 @@ def status_transition(spark: SparkSession, sf_dir: str) -> DataFrame:
        CASE WHEN hit AND outstanding-deducted<=0 THEN 'Closed' ELSE status END AS new_status FROM (SELECT l.*, deducted, paid_now, status='Active' AND deducted IS NOT NULL AS hit FROM r_loan l LEFT JOIN
        (SELECT emp_id, sum(round(gross*CAST(0.05 AS DECIMAL(4,2)),2)) AS deducted, count(*) AS paid_now FROM r_ord WHERE pay_year=2000 AND status='Paid' GROUP BY 1) d ON l.emp_id=d.emp_id)""")
 def loan_balance_update(spark: SparkSession, sf_dir: str) -> DataFrame:
-    run = roles.payroll_headers(spark, sf_dir).filter("pay_year = 2000 AND status = 'Paid'").select(
+    run = roles.payroll_headers(spark, sf_dir).filter(roles.in_year(2000) & (F.col("status") == "Paid")).select(
         "emp_id", F.round(F.col("gross") * F.lit("0.05").cast("decimal(4,2)"), 2).alias("amount")
     )
     return pay.repay_loans(roles.loans(spark, sf_dir), run)
@@ -247,7 +251,7 @@ BRACKET_SQL = "CASE " + " ".join(f"WHEN pay_basic*12<{b} THEN '{n}'" for b, n in
        f"""SELECT {BRACKET_SQL} AS bracket, count(*) AS employees, {r(avg('tds') + '*12', 0)} AS avg_annual_tds, sum(tds) AS period_tds, {r(pct('sum(tds)','sum(gross)'),1)} AS tds_rate
            FROM r_wide WHERE pay_year=2000 GROUP BY 1""")
 def tds_bracket_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = roles.wide_payroll(spark, sf_dir, roles.payroll(spark, sf_dir).filter("pay_year = 2000"))
+    wide = roles.wide_payroll(spark, sf_dir, roles.payroll(spark, sf_dir).filter(roles.in_year(2000)))
     return wide.groupBy(pay.tax_bracket(F.col("pay_basic") * 12).alias("bracket")).agg(
         F.count("*").alias("employees"), rounded(mean("tds") * 12, 0).alias("avg_annual_tds"), F.sum("tds").alias("period_tds"),
         rounded(ratio(F.sum("tds"), F.sum("gross"), 100), 1).alias("tds_rate"),
@@ -258,11 +262,11 @@ def tds_bracket_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
        f"""SELECT payroll_id, name, dept_name, gross, gross*12 AS annual, tds, tds*12 AS annual_tds, {r(pct('tds','gross'),1)} AS rate, {BRACKET_SQL.replace('pay_basic','gross')} AS bracket FROM r_wide WHERE period='{BATCH_MONTH}'
            UNION ALL SELECT -1, 'TOTAL', '', sum(gross), sum(gross)*12, sum(tds), sum(tds)*12, {r(pct('sum(tds)','sum(gross)'),1)}, '' FROM r_wide WHERE period='{BATCH_MONTH}'""")
 def employee_tax_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    month = roles.payroll(spark, sf_dir).filter(F.col("period") == BATCH_MONTH)
-    rows = roles.wide_payroll(spark, sf_dir, month).select(
+    month = roles.payroll(spark, sf_dir).filter(roles.in_month(2001, 3))
+    rows = settled(roles.wide_payroll(spark, sf_dir, month).select(
         "payroll_id", "name", "dept_name", "gross", (F.col("gross") * 12).alias("annual"), "tds", (F.col("tds") * 12).alias("annual_tds"),
         rounded(ratio("tds", "gross", 100), 1).alias("rate"), pay.tax_bracket(F.col("gross") * 12).alias("bracket"),
-    )
+    ))
     sums = rows.agg(F.sum("gross").alias("gross"), F.sum("tds").alias("tds")).select(
         F.lit(-1).cast("bigint").alias("payroll_id"), F.lit("TOTAL").alias("name"), F.lit("").alias("dept_name"), "gross",
         (F.col("gross") * 12).alias("annual"), "tds", (F.col("tds") * 12).alias("annual_tds"),

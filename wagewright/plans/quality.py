@@ -311,15 +311,11 @@ def dq_scoreboard(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("attendance", roles.attendance(spark, sf_dir), ATT_SUITE),
     ]
     scores = reduce(DataFrame.unionByName, [dq.score(dq.run_checks(df, suite(spec)), n) for n, df, spec in suites])
-    overall = F.sum("score") / F.count("score")
-    board = scores.groupBy(F.col("dataset").alias("d")).agg(
-        F.sum("total_checks").alias("total_checks"), F.sum("passed").alias("passed"), F.sum("score").alias("score")
-    )
-    whole = scores.agg(
-        F.lit("OVERALL").alias("d"), F.sum("total_checks").alias("total_checks"), F.sum("passed").alias("passed"),
-        rounded(overall, 1).alias("score"),
-    )
-    return board.unionByName(whole).withColumnRenamed("d", "dataset").withColumn(
+    board = scores.rollup("dataset").agg(
+        F.sum("total_checks").alias("total_checks"), F.sum("passed").alias("passed"),
+        rounded(F.sum("score") / F.count("score"), 1).alias("score"),
+    ).fillna("OVERALL", ["dataset"])
+    return board.withColumn(
         "status", F.when(F.col("score") >= 80, "PASS").when(F.col("score") >= 60, "WARN").otherwise("FAIL")
     )
 

@@ -194,7 +194,7 @@ def employee_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def left_join_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The period filter belongs to the right side, before the join."""
-    paid = roles.payroll_headers(spark, sf_dir).filter("period = '1997-03'").select("emp_id").distinct()
+    paid = roles.payroll_headers(spark, sf_dir).filter(roles.in_month(1997, 3)).select("emp_id").distinct()
     paid = paid.withColumn("has_payroll", F.lit(True))
     return roles.employees(spark, sf_dir).join(paid, "emp_id", "left").withColumn(
         "payroll_status", F.when(F.col("has_payroll").isNull(), "NO PAYROLL").otherwise("Has Payroll")
@@ -249,7 +249,7 @@ def enrich_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def join_five_way(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records, lines, employee, department, region; the grade is a value lookup."""
-    pay = roles.payroll(spark, sf_dir).filter("pay_year = 1997")
+    pay = roles.payroll(spark, sf_dir).filter(roles.in_year(1997))
     return roles.wide_payroll(spark, sf_dir, pay).withColumn("grade_code", roles.grade_of(F.col("pay_basic"))["grade_code"])
 
 
@@ -376,7 +376,7 @@ def semi_join_in_having(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT emp_id, emp_code, dept_name FROM r_emp e WHERE NOT EXISTS (SELECT 1 FROM r_ord p WHERE p.emp_id=e.emp_id AND pay_year=1998 AND pay_month<=6)",
 )
 def anti_join_no_payroll(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paid = roles.payroll_headers(spark, sf_dir).filter("pay_year = 1998 AND pay_month <= 6").select("emp_id")
+    paid = roles.payroll_headers(spark, sf_dir).filter(roles.in_year(1998) & (F.col("pay_month") <= 6)).select("emp_id")
     return roles.employees(spark, sf_dir).join(paid, "emp_id", "left_anti")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from wagewright.functions import calendar as cal
 from wagewright.functions.numeric import mean, ratio, rounded
 from wagewright.registry import query
+from wagewright.session import settled
 from wagewright.sources import roles
 from wagewright.sources.role_sql import avg, pct, r
 from wagewright.sources.tables import table
@@ -155,7 +156,7 @@ OVER, ON_TRACK, UNDER = "🔴 Over Budget", "🟡 On Track", "🟢 Under Budget"
         JOIN (SELECT dept_id, dept_name, location, budget*700 AS b FROM r_dept) d ON k=dept_id""",
 )
 def budget_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    month = roles.payroll(spark, sf_dir).filter("period = '2000-03'")
+    month = roles.payroll(spark, sf_dir).filter(roles.in_month(2000, 3))
     per_emp = month.groupBy("emp_id").agg(F.sum("gross").alias("g"), F.sum(F.col("pf") + F.col("esi_er")).alias("b"))
     people = roles.employees(spark, sf_dir).select("emp_id", "dept_id")
     cost = per_emp.join(people, "emp_id").groupBy("dept_id").agg(
@@ -187,8 +188,11 @@ def budget_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dashboard_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """KPIs, top departments and earners of the latest paid month, and the staff split."""
     heads = roles.payroll_headers(spark, sf_dir)
-    latest = heads.filter("status = 'Paid'").agg(F.max("period")).scalar()
-    month = roles.wide_payroll(spark, sf_dir, roles.payroll(spark, sf_dir).filter(F.col("period") == latest))
+    first_day = F.trunc(F.max("pay_date"), "month")
+    month_of = F.struct(first_day.cast("timestamp_ntz").alias("start"), F.add_months(first_day, 1).cast("timestamp_ntz").alias("stop"))
+    last = heads.filter("status = 'Paid'").agg(month_of).scalar()
+    in_last = (F.col("pay_date") >= last["start"]) & (F.col("pay_date") < last["stop"])
+    month = settled(roles.wide_payroll(spark, sf_dir, roles.payroll(spark, sf_dir).filter(in_last)))
     staff = table(spark, sf_dir, "customer").agg(F.count_if(F.col("c_acctbal") >= 0).alias("emp_active"), F.count("*").alias("emp_total"))
     paid = month.filter("status = 'Paid'").agg(
         F.coalesce(F.sum("gross"), F.lit(0)).alias("gross_payroll"), F.coalesce(F.sum("net"), F.lit(0)).alias("net_payroll"),

@@ -103,7 +103,7 @@ KEYED = "emp_id:l period:s payroll_id:l gross:d status:s"
 
 
 def keyed_target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    old = roles.payroll_headers(spark, sf_dir).filter("pay_year < 1999")
+    old = roles.payroll_headers(spark, sf_dir).filter(roles.in_year(1900, 1998))
     latest = Window.partitionBy("emp_id", "period").orderBy(F.col("payroll_id").desc())
     return old.withColumn("_n", F.row_number().over(latest)).filter("_n = 1").select("emp_id", "period", "payroll_id", "gross", "status")
 
@@ -114,13 +114,13 @@ SOURCE = "(SELECT emp_id, period, payroll_id, gross, status FROM r_ord WHERE pay
 
 @query("upsert_replace", KEYED, f"SELECT * FROM {SOURCE} UNION ALL SELECT * FROM {TARGET} t WHERE NOT EXISTS (SELECT 1 FROM {SOURCE} s WHERE s.emp_id=t.emp_id AND s.period=t.period)")
 def upsert_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = roles.payroll_headers(spark, sf_dir).filter("pay_year >= 1998")
+    source = roles.payroll_headers(spark, sf_dir).filter(roles.in_year(1998, 2999))
     return loading.upsert(keyed_target(spark, sf_dir), source, ["emp_id", "period"], [F.col("payroll_id")])
 
 
 @query("insert_ignore", KEYED, f"SELECT * FROM {TARGET} UNION ALL SELECT * FROM {SOURCE} s WHERE NOT EXISTS (SELECT 1 FROM {TARGET} t WHERE s.emp_id=t.emp_id AND s.period=t.period)")
 def insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = roles.payroll_headers(spark, sf_dir).filter("pay_year >= 1998")
+    source = roles.payroll_headers(spark, sf_dir).filter(roles.in_year(1998, 2999))
     return loading.insert_ignore(keyed_target(spark, sf_dir), source, ["emp_id", "period"], [F.col("payroll_id")])
 
 
@@ -202,7 +202,7 @@ def olap_fact_payroll(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("dw_dept_cost_by_period", "dept_name:s period:s headcount:l gross:d net:d tds:d",
        f"SELECT dept_name, period, count(*) AS headcount, sum(gross) AS gross, sum(net) AS net, sum(tds) AS tds FROM {FACT} WHERE pay_year=1999 GROUP BY 1,2")
 def dw_dept_cost_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fact_payroll(spark, sf_dir).filter("pay_year = 1999").groupBy("dept_name", "period").agg(
+    return fact_payroll(spark, sf_dir).filter(roles.in_year(1999)).groupBy("dept_name", "period").agg(
         F.count("*").alias("headcount"), F.sum("gross").alias("gross"), F.sum("net").alias("net"), F.sum("tds").alias("tds")
     )
 
@@ -210,7 +210,7 @@ def dw_dept_cost_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("dw_ytd_by_employee", "emp_code:s name:s ytd_net:d avg_take_home:d",
        f"SELECT emp_code, name, sum(net) AS ytd_net, {r('CAST(sum(CAST(take_home_ratio AS DECIMAL(18,2))) AS DOUBLE)/count(*)',4)} AS avg_take_home FROM {FACT} WHERE pay_year=1999 GROUP BY emp_id, 1, 2 ORDER BY ytd_net DESC, emp_id LIMIT 10")
 def dw_ytd_by_employee(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fact_payroll(spark, sf_dir).filter("pay_year = 1999").groupBy("emp_id", "emp_code", "name").agg(
+    return fact_payroll(spark, sf_dir).filter(roles.in_year(1999)).groupBy("emp_id", "emp_code", "name").agg(
         F.sum("net").alias("ytd_net"), rounded(mean("take_home_ratio"), 4).alias("avg_take_home")
     ).orderBy(F.col("ytd_net").desc(), "emp_id").limit(10)
 

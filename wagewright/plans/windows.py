@@ -12,6 +12,7 @@ from wagewright.operators.joins import first_per_key
 from wagewright.operators.ordering import ntile, percent_rank, ranked
 from wagewright.plans.aggregates import active
 from wagewright.registry import query
+from wagewright.session import settled
 from wagewright.sources import roles
 from wagewright.sources.role_sql import avg, pct, r
 from wagewright.sources.tables import table
@@ -38,12 +39,14 @@ def row_number_in_group(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def rank_dense_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     people = active(spark, sf_dir).select("emp_id", "emp_code", "dept_name", "basic")
-    company = ranked(people, "basic", "emp_id", descending=True, want=("rank", "dense_rank")).withColumnsRenamed(
-        {"rank": "company_rank", "dense_rank": "company_dense_rank"}
-    )
-    dept = ranked(company, "basic", "emp_id", ["dept_name"], descending=True, want=("rank",)).withColumnRenamed("rank", "dept_rank")
-    rows = ranked(dept, "basic", "emp_id", want=("rank", "group_rows"))
-    return rows.withColumn("percentile", rounded(percent_rank("rank", "group_rows") * 100, 1))
+    company = settled(ranked(people, "basic", "emp_id", descending=True, want=("rank", "dense_rank", "group_rows")).withColumnsRenamed(
+        {"rank": "company_rank", "dense_rank": "company_dense_rank", "group_rows": "company_rows"}
+    ))
+    rows = ranked(company, "basic", "emp_id", ["dept_name"], descending=True, want=("rank",)).withColumnRenamed("rank", "dept_rank")
+    # Rows below a value: all rows, less those above it, less the ones that share it.
+    ties = company.groupBy("basic").agg(F.count("*").alias("ties"))
+    from_below = F.col("company_rows") - (F.col("company_rank") - 1) - F.col("ties") + 1
+    return rows.join(ties, "basic").withColumn("percentile", rounded(percent_rank(from_below, "company_rows") * 100, 1))
 
 
 @query(
@@ -125,14 +128,18 @@ def ntile_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
         {r('CAST(sum(basic) OVER (PARTITION BY dept_name) AS DOUBLE)/count(*) OVER (PARTITION BY dept_name)')} AS dept_avg FROM r_emp WHERE status='Active'""",
 )
 def first_value_high_low(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ends of each group found by min/max of a struct, which combines map-side."""
+    """The end values come from a hash aggregate; only rows at an end compete for its name."""
     people = active(spark, sf_dir).select("emp_id", "emp_code", "name", "dept_name", "basic")
     ends = people.groupBy("dept_name").agg(
-        F.min(F.struct((-F.col("basic")).alias("k"), "emp_id", "name"))["name"].alias("highest_earner"),
-        F.min(F.struct("basic", "emp_id", "name"))["name"].alias("lowest_earner"),
-        rounded(mean("basic")).alias("dept_avg"),
+        F.max("basic").alias("hi"), F.min("basic").alias("lo"), rounded(mean("basic")).alias("dept_avg")
+    )
+    at_end = people.join(ends, "dept_name").filter((F.col("basic") == F.col("hi")) | (F.col("basic") == F.col("lo")))
+    first = F.struct("emp_id", "name")
+    names = at_end.groupBy("dept_name", "dept_avg").agg(
+        F.min(F.when(F.col("basic") == F.col("hi"), first))["name"].alias("highest_earner"),
+        F.min(F.when(F.col("basic") == F.col("lo"), first))["name"].alias("lowest_earner"),
     )
-    return people.join(ends, "dept_name")
+    return people.join(names, "dept_name")
 
 
 @query(
@@ -146,7 +153,7 @@ def global_rank_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ytd(spark: SparkSession, sf_dir: str, year: int) -> DataFrame:
-    pay = roles.payroll(spark, sf_dir).filter((F.col("pay_year") == year) & (F.col("status") == "Paid"))
+    pay = roles.payroll(spark, sf_dir).filter(roles.in_year(year) & (F.col("status") == "Paid"))
     return pay.groupBy("emp_id").agg(
         F.count("*").alias("months"), F.sum("gross").alias("ytd_gross"), F.sum("net").alias("ytd_net"),
         F.sum("tds").alias("ytd_tds"), rounded(mean("net")).alias("avg_net"), F.max("net").alias("max_net"), F.min("net").alias("min_net"),
@@ -164,7 +171,7 @@ YTD = f"""(SELECT emp_id, count(*) AS months, sum(gross) AS ytd_gross, sum(net)
 )
 def ytd_running_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running total over all employees: prefix sums per slice plus a local sum."""
-    rows = ranked(ytd(spark, sf_dir, 1998), "ytd_net", "emp_id", descending=True, want=(), running="ytd_net")
+    rows = ranked(settled(ytd(spark, sf_dir, 1998)), "ytd_net", "emp_id", descending=True, want=(), running="ytd_net")
     names = roles.employees(spark, sf_dir).select("emp_id", "emp_code", "dept_name")
     return rows.join(names, "emp_id").withColumn("effective_tax_pct", rounded(ratio("ytd_tds", "ytd_gross", 100)))
 

@@ -44,3 +44,14 @@ def scratch(spark: SparkSession, label: str) -> str:
 def parallelism(spark: SparkSession) -> int:
     """How many slices to cut an ordered column into: one per shuffle partition."""
     return max(8, min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2000))
+
+
+def settled(df, label: str = "settled"):
+    """Write a frame once to the shared folder and go on from the file.
+
+    For an input with joins or aggregates that several branches of a job read:
+    it is computed once, and a lost executor costs a re-read, not a re-run.
+    """
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -73,7 +73,7 @@ ROLE_SQL = {
 
 def r(expr: str, digits: int = 2) -> str:
     """The SQL twin of ``numeric.rounded``."""
-    return f"CAST(round(CAST({expr} AS DECIMAL(28,8)),{digits}) AS DOUBLE)"
+    return f"CAST(round(CAST({expr} AS DECIMAL(28,{8 if digits < 6 else 12})),{digits}) AS DOUBLE)"
 
 
 def d(expr: str) -> str:

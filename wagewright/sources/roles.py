@@ -81,6 +81,18 @@ def departments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return departments_base(spark, sf_dir).join(manager, "dept_id", "left").join(budget, "dept_id", "left")
 
 
+def in_year(year: int, last: int | None = None) -> Column:
+    """Pay dates of a year (or of a run of years) as a range the Parquet scan can skip by."""
+    day = F.col("pay_date")
+    return (day >= F.lit(f"{year}-01-01").cast("timestamp_ntz")) & (day < F.lit(f"{(last or year) + 1}-01-01").cast("timestamp_ntz"))
+
+
+def in_month(year: int, month: int) -> Column:
+    day = F.col("pay_date")
+    after = f"{year + month // 12}-{month % 12 + 1:02d}-01"
+    return (day >= F.lit(f"{year}-{month:02d}-01").cast("timestamp_ntz")) & (day < F.lit(after).cast("timestamp_ntz"))
+
+
 def payroll_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payroll records without the amounts that come from the lines."""
     return table(spark, sf_dir, "orders").select(
