@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F
 
 from wagewright.catalogue import REGISTRY
-from wagewright.functions.numeric import money
+from wagewright.functions.numeric import cents, exact_sum
 from wagewright.session import get_spark
 from wagewright.sources.tables import table
 
@@ -28,7 +28,7 @@ def published(spark, sf_dir):
     lines, heads = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     ext = F.col("l_extendedprice")
     return {
-        "groupby_sum": lambda: lines.groupBy("l_suppkey").agg(F.sum(money(ext)).alias("s")),
+        "groupby_sum": lambda: lines.groupBy("l_suppkey").agg(exact_sum(cents(ext), 2).alias("s")),
         "filter_status": lambda: lines.filter("l_returnflag = 'A'"),
         "sort_desc": lambda: lines.orderBy(ext.desc()),
         "vectorised_raise": lambda: lines.select((ext * 1.05).alias("raised")),

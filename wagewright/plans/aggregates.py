@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wagewright.functions.numeric import mean, money, ratio, rounded, total
+from wagewright.functions.numeric import mean, ratio, rounded, stored_money, total
 from wagewright.operators.aggregate import (
     aggregate_fields,
     column_stats,
@@ -34,7 +34,7 @@ def active(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def group_basic_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     people = table(spark, sf_dir, "customer").filter("c_acctbal >= 0")
-    basic = money("c_acctbal")
+    basic = stored_money("c_acctbal")
     return people.groupBy(F.col("c_mktsegment").alias("gender")).agg(
         F.count("*").alias("employees"), rounded(mean(basic)).alias("avg_salary"), F.sum(basic).alias("total_salary"),
         F.max(basic).alias("max_salary"), F.min(basic).alias("min_salary"),

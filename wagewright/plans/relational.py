@@ -8,7 +8,7 @@ import operator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wagewright.functions.numeric import mean, money, ratio, rounded, zero
+from wagewright.functions.numeric import mean, ratio, rounded, stored_money, zero
 from wagewright.operators.history import latest_n
 from wagewright.operators.joins import asof_join, interval_join, lookup_join
 from wagewright.operators.ordering import ranked
@@ -318,7 +318,7 @@ def above_group_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
 def vs_company_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The company average is a scalar subquery: one value, no join."""
     active = roles.employees(spark, sf_dir).filter("status = 'Active'")
-    company = table(spark, sf_dir, "customer").filter("c_acctbal >= 0").agg(mean(money("c_acctbal")).alias("a")).scalar()
+    company = table(spark, sf_dir, "customer").filter("c_acctbal >= 0").agg(mean(stored_money("c_acctbal")).alias("a")).scalar()
     return active.withColumn("_avg", company).withColumns({
         "company_avg": rounded("_avg"),
         "vs_avg": rounded(F.col("basic").cast("double") - F.col("_avg")),
@@ -529,7 +529,7 @@ def nested_override_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     docs = people.select(
         F.col("c_custkey").alias("emp_id"),
-        F.struct(money("c_acctbal").alias("basic"), F.col("n_name").alias("location"), F.col("c_mktsegment").alias("gender")).alias("base"),
+        F.struct(stored_money("c_acctbal").alias("basic"), F.col("n_name").alias("location"), F.col("c_mktsegment").alias("gender")).alias("base"),
         F.struct(
             F.when(F.col("c_acctbal") < 0, F.lit(0).cast("decimal(18,2)")).alias("basic"),
             F.lit(None).cast("string").alias("location"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wagewright.functions import calendar as cal
-from wagewright.functions.numeric import mean, money, rounded
+from wagewright.functions.numeric import mean, rounded, stored_money
 from wagewright.functions.scaling import normalise
 from wagewright.functions.text import compact_amount, employee_code, row_hash
 from wagewright.registry import query
@@ -72,7 +72,7 @@ def join_year_experience(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     days = F.datediff(F.lit(AS_OF).cast("date"), "joined")
     people = table(spark, sf_dir, "customer").filter("c_acctbal >= 0").select(
-        F.col("c_custkey").alias("emp_id"), money("c_acctbal").alias("basic")
+        F.col("c_custkey").alias("emp_id"), stored_money("c_acctbal").alias("basic")
     )
     return people.join(joined, "emp_id").groupBy(F.date_format("joined", "yyyy").alias("join_year")).agg(
         F.count("*").alias("employees"), rounded(mean("basic")).alias("avg_salary"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wagewright.functions.numeric import rounded
+from wagewright.functions.numeric import cents, exact_sum, rounded
 from wagewright.operators.ordering import ranked
 from wagewright.registry import query
 from wagewright.session import scratch
@@ -69,7 +69,7 @@ def stream_microbatch_dept(spark: SparkSession, sf_dir: str) -> DataFrame:
     staff = roles.employees(spark, sf_dir).select(F.col("emp_id").alias("user_id"), "dept_name")
 
     def work(df: DataFrame, batch_id: int) -> None:
-        per_user = df.groupBy("user_id").agg(F.count("*").alias("n"), F.sum(F.col("value").cast("decimal(18,2)")).alias("v"))
+        per_user = df.groupBy("user_id").agg(F.count("*").alias("n"), exact_sum(cents("value"), 2).alias("v"))
         sums = per_user.join(staff, "user_id").groupBy("dept_name").agg(F.sum("n").alias("events"), F.sum("v").alias("total"))
         sums.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
@@ -90,7 +90,7 @@ def stream_restart_exactly_once(spark: SparkSession, sf_dir: str) -> DataFrame:
         jobs.append_to(jobs.event_stream(spark, landing, files_per_trigger=1), out, check)
     return spark.read.parquet(out).groupBy("event_type").agg(
         F.count("*").alias("events"), F.countDistinct("event_id").alias("distinct_ids"),
-        F.sum(F.col("value").cast("decimal(18,2)")).alias("amount"),
+        exact_sum(cents("value"), 2).alias("amount"),
     )
 
 

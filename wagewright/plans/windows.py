@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wagewright.functions.numeric import mean, ratio, rounded, total
-from wagewright.operators.aggregate import _amount
+from wagewright.functions.numeric import cents, mean, ratio, rounded, total
 from wagewright.operators.history import over_history
 from wagewright.operators.joins import first_per_key
 from wagewright.operators.ordering import ntile, percent_rank, ranked
@@ -209,7 +208,7 @@ def rolling_mean_50(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def rolling(w):
         frame = w.rowsBetween(-49, 0)
-        return rounded(F.sum(_amount("value")).over(frame).cast("double") / F.count("*").over(frame), 4)
+        return rounded(F.sum(cents("value")).over(frame) / 100.0 / F.count("*").over(frame), 4)
 
     return over_history(events, ["user_id"], "ts", "event_id", {"rolling_mean": rolling}, back=49)
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wagewright.functions.numeric import money, rounded
+from wagewright.functions.numeric import cents, exact_sum, rounded, stored_money
 from wagewright.functions.text import employee_code
 from wagewright.sources.tables import table
 
@@ -55,7 +55,7 @@ def departments_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    basic = money("c_acctbal")
+    basic = stored_money("c_acctbal")
     people = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("emp_id"),
         employee_code("c_custkey").alias("emp_code"),
@@ -76,7 +76,7 @@ def departments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.min("c_custkey").alias("manager_id")
     )
     budget = table(spark, sf_dir, "supplier").groupBy(F.col("s_nationkey").alias("dept_id")).agg(
-        F.sum(money("s_acctbal")).alias("budget")
+        F.sum(stored_money("s_acctbal")).alias("budget")
     )
     return departments_base(spark, sf_dir).join(manager, "dept_id", "left").join(budget, "dept_id", "left")
 
@@ -103,7 +103,7 @@ def payroll_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("o_orderdate", "yyyy-MM").alias("period"),
         F.col("o_orderdate").alias("pay_date"),
         F.col("o_orderpriority").alias("priority"),
-        money("o_totalprice").alias("gross"),
+        stored_money("o_totalprice").alias("gross"),
         F.when(F.col("o_orderstatus") == "F", "Paid")
         .when(F.col("o_orderstatus") == "P", "Approved")
         .otherwise("Draft")
@@ -113,10 +113,10 @@ def payroll_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def payroll(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payroll records; the lines are pre-aggregated per record before the join."""
-    ext, disc, tax = money("l_extendedprice"), F.col("l_discount").cast("decimal(4,2)"), F.col("l_tax").cast("decimal(4,2)")
+    ext, disc, tax = cents("l_extendedprice"), cents("l_discount"), cents("l_tax")
     lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("payroll_id")).agg(
-        F.round(F.sum(ext * (F.lit(1) - disc)), 2).cast("decimal(18,2)").alias("net"),
-        F.round(F.sum(ext * tax), 2).cast("decimal(18,2)").alias("tds"),
+        F.round(exact_sum(ext * (F.lit(100) - disc), 4), 2).cast("decimal(18,2)").alias("net"),
+        F.round(exact_sum(ext * tax, 4), 2).cast("decimal(18,2)").alias("tds"),
         F.count("*").alias("n_lines"),
     )
     nil = F.lit(0).cast("decimal(18,2)")
@@ -152,7 +152,7 @@ def attendance(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").alias("emp_id"),
         F.to_date("ts").alias("att_date"),
         "ts",
-        money("value").alias("hours"),
+        stored_money("value").alias("hours"),
         F.when(kind == "view", "Present")
         .when(kind == "error", "Absent")
         .when(kind == "click", "Half-Day")
@@ -162,10 +162,17 @@ def attendance(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _half_up_cents(units: Column) -> Column:
+    """Units of 1e-4 to money, rounded half up."""
+    whole = F.call_function("div", units + F.when(units < 0, F.lit(-50)).otherwise(F.lit(50)), F.lit(100))
+    return (whole.cast("decimal(18,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(18,2)")
+
+
 def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     heads = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    ext = money("l_extendedprice")
+    ext = stored_money("l_extendedprice")
+    part = cents("l_extendedprice") * (F.lit(100) - cents("l_discount"))
     return lines.join(heads, lines.l_orderkey == heads.o_orderkey).select(
         F.col("l_orderkey").alias("loan_key"),
         F.col("l_linenumber").cast("bigint").alias("line_no"),
@@ -173,10 +180,10 @@ def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_suppkey").alias("supp_key"),
         F.col("o_custkey").alias("emp_id"),
         ext.alias("amount"),
-        F.round(ext * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)")), 2).cast("decimal(18,2)").alias("outstanding"),
+        _half_up_cents(part).alias("outstanding"),
         F.col("l_quantity").cast("bigint").alias("total_emis"),
         F.floor(F.col("l_quantity") * F.col("l_discount")).cast("bigint").alias("emis_paid"),
-        rounded(F.try_divide(F.col("l_extendedprice"), F.col("l_quantity"))).cast("decimal(18,2)").alias("emi"),
+        stored_money(rounded(F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")))).alias("emi"),
         F.when(F.col("o_orderstatus") == "O", "Active").when(F.col("o_orderstatus") == "F", "Closed").otherwise("Pending").alias("status"),
         F.col("l_shipdate").alias("loan_date"),
         F.col("l_returnflag").alias("purpose"),
@@ -205,7 +212,7 @@ def revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("revision_id"),
         F.col("o_custkey").alias("emp_id"),
         F.col("o_orderdate").alias("effective"),
-        money("o_totalprice").alias("new_basic"),
+        stored_money("o_totalprice").alias("new_basic"),
         F.col("o_orderpriority").alias("reason"),
     )
     out = over_history(
@@ -223,7 +230,7 @@ def blank_every(key: str, n: int, otherwise: Column, value: str | None = "") ->
 def dirty_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
     people = table(spark, sf_dir, "customer")
     depts = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    salary = blank_every("c_custkey", 17, money("c_acctbal").cast("string"), "n/a")
+    salary = blank_every("c_custkey", 17, stored_money("c_acctbal").cast("string"), "n/a")
     return people.join(depts, people.c_nationkey == depts.n_nationkey).select(
         F.col("c_custkey").alias("emp_id"),
         blank_every("c_custkey", 11, employee_code("c_custkey")).alias("emp_code"),

@@ -12,6 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wagewright.functions.numeric import cents, exact_sum
+
 EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
@@ -60,7 +62,7 @@ def latest_batch(spark: SparkSession, out: str) -> DataFrame:
 
 def running_totals(events: DataFrame) -> DataFrame:
     """Count and amount per event type since the start; state is one row per type."""
-    return events.groupBy("event_type").agg(F.count("*").alias("events"), F.sum(F.col("value").cast("decimal(18,2)")).alias("amount"))
+    return events.groupBy("event_type").agg(F.count("*").alias("events"), exact_sum(cents("value"), 2).alias("amount"))
 
 
 def tumbling(events: DataFrame, width: str = "1 day", delay: str | None = None) -> DataFrame:
@@ -68,7 +70,7 @@ def tumbling(events: DataFrame, width: str = "1 day", delay: str | None = None)
     source = events.withWatermark("ts", delay) if delay else events
     kinds = {k: F.count_if(F.col("event_type") == k).alias(k) for k in ("view", "click", "purchase", "signup", "error")}
     sums = source.groupBy(F.window("ts", width)).agg(
-        F.count("*").alias("events"), F.sum(F.col("value").cast("decimal(18,2)")).alias("amount"), *kinds.values()
+        F.count("*").alias("events"), exact_sum(cents("value"), 2).alias("amount"), *kinds.values()
     )
     return sums.select(
         F.date_format("window.start", "yyyy-MM-dd HH:mm").alias("window_start"),
