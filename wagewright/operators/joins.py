@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wagewright.operators.history import HEAVY_ROWS, heavy_keys
 from wagewright.operators.ordering import SLICE, TIE, with_slices
+from wagewright.session import settled
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -25,10 +26,11 @@ def lookup_join(
 ) -> DataFrame:
     """At most one match per left row: the last right row by ``last_by`` wins.
 
-    Misses of a left lookup take ``defaults``. The planner broadcasts the
-    de-duplicated side when its measured size allows.
+    Misses of a left lookup take ``defaults``. The de-duplicated side is stored
+    first: from its file size the planner decides for or against a broadcast,
+    and only in the second case the left side is shuffled.
     """
-    unique = first_per_key(right, [on], last_by)
+    unique = settled(first_per_key(right, [on], last_by), "lookup")
     out = left.join(unique, on, how)
     for name, value in (defaults or {}).items():
         out = out.withColumn(name, F.coalesce(F.col(name), F.lit(value)))
@@ -39,10 +41,11 @@ def interval_join(facts: DataFrame, day: str, intervals: DataFrame, start: str,
     """Facts to the date intervals that contain them (both ends included).
 
     Each interval is spread over the months it touches, which gives the join an
-    equality key; the exact range is the residual condition.
+    equality key; the exact range is the residual condition. The spread
+    intervals are stored, so the planner knows their size.
     """
     months = F.sequence(F.trunc(F.col(start), "month"), F.trunc(F.col(end), "month"), F.expr("interval 1 month"))
-    spread = intervals.withColumn("_month", F.explode(months))
+    spread = settled(intervals.withColumn("_month", F.explode(months)), "intervals")
     keyed = facts.withColumn("_fact_month", F.trunc(F.col(day), "month"))
     hit = (F.col("_fact_month") == F.col("_month")) & F.col(day).between(F.col(start), F.col(end))
     return keyed.join(spread, hit).drop("_month", "_fact_month")

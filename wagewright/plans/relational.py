@@ -13,7 +13,7 @@ from wagewright.operators.history import latest_n
 from wagewright.operators.joins import asof_join, interval_join, lookup_join
 from wagewright.operators.ordering import ranked
 from wagewright.registry import query
-from wagewright.session import scratch
+from wagewright.session import scratch, settled
 from wagewright.sources import roles
 from wagewright.sources.role_sql import avg, pct, r
 from wagewright.sources.tables import TABLES, read_csv, read_csv_folder, run_sql, table, write_csv
@@ -116,7 +116,7 @@ WIDE = "payroll_id:l emp_code:s name:s dept_name:s location:s gender:s period:s
        FROM r_wide WHERE status='Paid'""",
 )
 def wide_payroll_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return roles.wide_payroll(spark, sf_dir).filter("status = 'Paid'")
+    return roles.wide_payroll(spark, sf_dir, location=True).filter("status = 'Paid'")
 
 
 @query(
@@ -250,7 +250,7 @@ def enrich_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
 def join_five_way(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records, lines, employee, department, region; the grade is a value lookup."""
     pay = roles.payroll(spark, sf_dir).filter(roles.in_year(1997))
-    return roles.wide_payroll(spark, sf_dir, pay).withColumn("grade_code", roles.grade_of(F.col("pay_basic"))["grade_code"])
+    return roles.wide_payroll(spark, sf_dir, pay, location=True).withColumn("grade_code", roles.grade_of(F.col("pay_basic"))["grade_code"])
 
 
 @query(
@@ -285,7 +285,7 @@ def self_join_manager(spark: SparkSession, sf_dir: str) -> DataFrame:
     managers = people.select(
         F.col("emp_id").alias("manager_id"), F.col("name").alias("manager_name"), F.col("basic").alias("manager_basic")
     )
-    heads = roles.departments(spark, sf_dir).select("dept_id", "manager_id").join(managers, "manager_id")
+    heads = settled(roles.departments(spark, sf_dir).select("dept_id", "manager_id").join(managers, "manager_id"))
     return (
         people.join(heads, "dept_id")
         .filter(F.col("emp_id") != F.col("manager_id"))
@@ -301,7 +301,7 @@ def self_join_manager(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def above_group_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     active = roles.employees(spark, sf_dir).filter("status = 'Active'")
-    means = active.groupBy("dept_id").agg(rounded(mean("basic")).alias("dept_avg"))
+    means = settled(active.groupBy("dept_id").agg(rounded(mean("basic")).alias("dept_avg")))
     basic = F.col("basic").cast("double")
     return (
         active.join(means, "dept_id")
@@ -348,7 +348,7 @@ def correlated_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT emp_code, dept_name, basic FROM r_emp e WHERE EXISTS (SELECT 1 FROM r_loan l WHERE l.emp_id=e.emp_id AND l.status='Active')",
 )
 def semi_join_exists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return roles.employees(spark, sf_dir).join(active_loans(spark, sf_dir).select("emp_id"), "emp_id", "left_semi")
+    return roles.employees(spark, sf_dir).join(active_loans(spark, sf_dir).select("emp_id").distinct(), "emp_id", "left_semi")
 
 
 @query(
@@ -376,7 +376,7 @@ def semi_join_in_having(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT emp_id, emp_code, dept_name FROM r_emp e WHERE NOT EXISTS (SELECT 1 FROM r_ord p WHERE p.emp_id=e.emp_id AND pay_year=1998 AND pay_month<=6)",
 )
 def anti_join_no_payroll(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paid = roles.payroll_headers(spark, sf_dir).filter(roles.in_year(1998) & (F.col("pay_month") <= 6)).select("emp_id")
+    paid = roles.payroll_headers(spark, sf_dir).filter(roles.in_year(1998) & (F.col("pay_month") <= 6)).select("emp_id").distinct()
     return roles.employees(spark, sf_dir).join(paid, "emp_id", "left_anti")
 
 
@@ -412,7 +412,7 @@ def broadcast_lookup_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         (SELECT emp_id, count(*) FILTER (WHERE status='Absent') AS days_absent, sum(greatest(hours-8,0)) AS overtime FROM r_att GROUP BY 1) a ON p.emp_id=a.emp_id""",
 )
 def merge_three_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    people = roles.employees(spark, sf_dir).filter("status = 'Active'").select(
+    people = roles.employees(spark, sf_dir, location=True).filter("status = 'Active'").select(
         "emp_id", "emp_code", F.col("name").alias("full_name"), "dept_name", "location"
     )
     present = roles.attendance(spark, sf_dir).groupBy("emp_id").agg(

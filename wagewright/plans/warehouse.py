@@ -15,7 +15,7 @@ from wagewright.operators import loading, warehouse
 from wagewright.operators.payroll import salary_band
 from wagewright.plans.relational import enrich
 from wagewright.registry import query
-from wagewright.session import scratch
+from wagewright.session import scratch, settled
 from wagewright.sources import roles
 from wagewright.sources.role_sql import avg, pct, r
 from wagewright.sources.tables import read_csv, table, write_csv, write_json
@@ -159,7 +159,8 @@ def fact_payroll(spark: SparkSession, sf_dir: str) -> DataFrame:
     paid = roles.payroll(spark, sf_dir).filter("status = 'Paid'")
     people = dim_employee(spark, sf_dir).select("emp_key", "emp_id", "emp_code", "name", "dept_id", "gender", "pay_basic", "salary_band")
     depts = dim_department(spark, sf_dir).select("dept_key", "dept_id", "dept_name")
-    periods = star_dim_period(spark, sf_dir).select("period_key", "period", "quarter", "fiscal_year")
+    # Stored like any dimension: its file size lets the planner broadcast it.
+    periods = settled(star_dim_period(spark, sf_dir), "dim-period").select("period_key", "period", "quarter", "fiscal_year")
     return paid.join(people, "emp_id").join(depts, "dept_id").join(periods, "period").withColumns({
         "effective_tax_rate": rounded(ratio("tds", "gross", 100)), "take_home_ratio": rounded(ratio("net", "gross", 100)),
     })
@@ -378,7 +379,7 @@ def kpi_document(clean: DataFrame) -> DataFrame:
 
 def validated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payroll with planted defects, joined to staff, with the list of rule violations."""
-    people = roles.employees(spark, sf_dir).select("emp_id", "name", "dept_name", "location", "gender")
+    people = roles.employees(spark, sf_dir).select("emp_id", "name", "dept_name", "gender")
     return roles.defective_payroll(spark, sf_dir).join(people, "emp_id").withColumn("errors", rules.register_errors())
 
 

@@ -25,7 +25,7 @@ from wagewright.sources.tables import table
 )
 def row_number_in_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     people = active(spark, sf_dir).select("emp_id", "emp_code", "dept_name", "basic")
-    sums = people.groupBy("dept_name").agg(F.sum("basic").alias("dept_total"), rounded(mean("basic")).alias("dept_avg"))
+    sums = settled(people.groupBy("dept_name").agg(F.sum("basic").alias("dept_total"), rounded(mean("basic")).alias("dept_avg")))
     rows = ranked(people, "basic", "emp_id", ["dept_name"], descending=True)
     return rows.withColumnRenamed("row_number", "rank_in_dept").join(sums, "dept_name")
 
@@ -129,15 +129,15 @@ def ntile_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 def first_value_high_low(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The end values come from a hash aggregate; only rows at an end compete for its name."""
     people = active(spark, sf_dir).select("emp_id", "emp_code", "name", "dept_name", "basic")
-    ends = people.groupBy("dept_name").agg(
+    ends = settled(people.groupBy("dept_name").agg(
         F.max("basic").alias("hi"), F.min("basic").alias("lo"), rounded(mean("basic")).alias("dept_avg")
-    )
+    ))
     at_end = people.join(ends, "dept_name").filter((F.col("basic") == F.col("hi")) | (F.col("basic") == F.col("lo")))
     first = F.struct("emp_id", "name")
-    names = at_end.groupBy("dept_name", "dept_avg").agg(
+    names = settled(at_end.groupBy("dept_name", "dept_avg").agg(
         F.min(F.when(F.col("basic") == F.col("hi"), first))["name"].alias("highest_earner"),
         F.min(F.when(F.col("basic") == F.col("lo"), first))["name"].alias("lowest_earner"),
-    )
+    ))
     return people.join(names, "dept_name")
 
 

@@ -45,16 +45,17 @@ def grade_of(basic: Column) -> Column:
     return picked
 
 
-def departments_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-        F.col("n_nationkey").cast("bigint").alias("dept_id"),
-        F.col("n_name").alias("dept_name"),
-        F.col("r_name").alias("location"),
-    )
+def departments_base(spark: SparkSession, sf_dir: str, location: bool = False) -> DataFrame:
+    """Departments, with the region as location only where it is asked for."""
+    nation = table(spark, sf_dir, "nation")
+    names = [F.col("n_nationkey").cast("bigint").alias("dept_id"), F.col("n_name").alias("dept_name")]
+    if not location:
+        return nation.select(*names)
+    region = table(spark, sf_dir, "region")
+    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(*names, F.col("r_name").alias("location"))
 
 
-def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
+def employees(spark: SparkSession, sf_dir: str, location: bool = False) -> DataFrame:
     basic = stored_money("c_acctbal")
     people = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("emp_id"),
@@ -67,7 +68,7 @@ def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
         (basic * F.lit(25)).cast("decimal(18,2)").alias("pay_basic"),
         F.when(F.col("c_acctbal") < 0, "Inactive").otherwise("Active").alias("status"),
     )
-    return people.join(departments_base(spark, sf_dir), "dept_id")
+    return people.join(departments_base(spark, sf_dir, location), "dept_id")
 
 
 def departments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,7 +79,7 @@ def departments(spark: SparkSession, sf_dir: str) -> DataFrame:
     budget = table(spark, sf_dir, "supplier").groupBy(F.col("s_nationkey").alias("dept_id")).agg(
         F.sum(stored_money("s_acctbal")).alias("budget")
     )
-    return departments_base(spark, sf_dir).join(manager, "dept_id", "left").join(budget, "dept_id", "left")
+    return departments_base(spark, sf_dir, location=True).join(manager, "dept_id", "left").join(budget, "dept_id", "left")
 
 
 def in_year(year: int, last: int | None = None) -> Column:
@@ -138,9 +139,9 @@ def payroll(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def wide_payroll(spark: SparkSession, sf_dir: str, records: DataFrame | None = None) -> DataFrame:
+def wide_payroll(spark: SparkSession, sf_dir: str, records: DataFrame | None = None, location: bool = False) -> DataFrame:
     """Payroll records with the employee and department columns."""
-    people = employees(spark, sf_dir).withColumnRenamed("status", "emp_status").drop("email")
+    people = employees(spark, sf_dir, location).withColumnRenamed("status", "emp_status").drop("email")
     records = payroll(spark, sf_dir) if records is None else records
     return records.join(people, "emp_id")
 

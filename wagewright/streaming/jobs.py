@@ -13,13 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wagewright.functions.numeric import cents, exact_sum
-
-EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
-
+from wagewright.sources.tables import SCHEMAS
 
 def event_stream(spark: SparkSession, folder: str, pattern: str = "*.parquet", files_per_trigger: int | None = None) -> DataFrame:
     """Events as they land in a folder; ``ts`` becomes a timestamp a watermark can use."""
-    reader = spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", pattern)
+    reader = spark.readStream.schema(SCHEMAS["events"]).option("pathGlobFilter", pattern)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.parquet(folder).withColumn("ts", F.col("ts").cast("timestamp"))
