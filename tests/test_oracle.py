@@ -1,6 +1,9 @@
-"""Every registered query against its SQL on the smallest tables."""
+"""Every registered query against its SQL on the smallest tables, and its plan."""
 
 import collections
+import io
+import re
+from contextlib import redirect_stdout
 
 import duckdb
 import pytest
@@ -24,9 +27,21 @@ def bag(rows, names):
     return collections.Counter(tuple(repr(r[i] + 0.0) if isinstance(r[i], float) else r[i] for i in order) for r in rows)
 
 
+# No join of all pairs, no Python in the row path.
+BANNED = re.compile(r"CartesianProduct|BroadcastNestedLoopJoin|EvalPython|MapInPandas|FlatMapGroups")
+
+
+def plan(df) -> str:
+    out = io.StringIO()
+    with redirect_stdout(out):
+        df.explain()
+    return out.getvalue()
+
+
 @pytest.mark.parametrize("key", sorted(REGISTRY))
 def test_matches_sql(spark, con, key):
     df = REGISTRY[key].run(spark, SF)
+    assert not BANNED.search(plan(df))
     result = con.execute(REGISTRY[key].oracle())
     names = [c[0] for c in result.description]
     assert sorted(names) == sorted(df.columns)

@@ -15,6 +15,19 @@ from pyspark.sql import functions as F
 from wagewright.functions.numeric import cents, exact_sum
 from wagewright.sources.tables import SCHEMAS
 
+def small_state(spark: SparkSession, partitions: int = 8) -> SparkSession:
+    """A session for stateful queries whose state is a few rows per window or type.
+
+    The number of state partitions is fixed when a query first starts. Partial
+    aggregation leaves each batch a handful of rows to shuffle, so these
+    queries want few, whatever the batch jobs of the caller use.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    own.conf.set("spark.sql.shuffle.partitions", str(min(partitions, int(spark.conf.get("spark.sql.shuffle.partitions")))))
+    return own
+
+
 def event_stream(spark: SparkSession, folder: str, pattern: str = "*.parquet", files_per_trigger: int | None = None) -> DataFrame:
     """Events as they land in a folder; ``ts`` becomes a timestamp a watermark can use."""
     reader = spark.readStream.schema(SCHEMAS["events"]).option("pathGlobFilter", pattern)
