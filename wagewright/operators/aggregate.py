@@ -61,9 +61,12 @@ def aggregate_fields(df: DataFrame, key: str, fields: dict[str, list[str]], tie:
     return out
 
 
-def pivot_sum(df: DataFrame, index: str, column: str, value: str, cells: list[str]) -> DataFrame:
-    """Cross table with the cell names given, so no pass is spent on finding them."""
-    return df.groupBy(index).pivot(column, cells).agg(F.sum(_amount(value))).na.fill(0)
+def pivot_table(df: DataFrame, index: str, column: str, value: str, cells: list[str] | None = None, fn: str = "sum") -> DataFrame:
+    """Cross table of a named aggregate, empty cells 0.
+
+    With ``cells`` given no pass is spent on finding the column values.
+    """
+    return df.groupBy(index).pivot(column, cells).agg(AGGREGATES[fn](value)).na.fill(0)
 
 
 def percent_of_total(df: DataFrame, value: str) -> DataFrame:

@@ -106,6 +106,21 @@ def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def examples(df: DataFrame, check: Check, order: str, n: int = 3) -> DataFrame:
+    """The first n rows (or duplicated values) that break a check."""
+    if check.kind == "uniqueness":
+        counts = df.filter(~is_blank(check.field)).groupBy(check.field).agg(F.count("*").alias("times")).filter("times > 1")
+        found = counts.orderBy(F.col("times").desc(), check.field).limit(n)
+        return found.select(F.lit(check.name).alias("check_name"), F.col(check.field).cast("string").alias("example"), "times")
+    bad = {
+        "completeness": is_blank(check.field) if check.field else None,
+        "range": ~zero(check.field).cast("double").between(check.low, check.high) if check.field else None,
+        "consistency": ~F.coalesce(check.rule, F.lit(False)) if check.rule is not None else None,
+    }[check.kind]
+    rows = df.filter(bad).orderBy(order).limit(n)
+    return rows.select(F.lit(check.name).alias("check_name"), F.col(order).cast("string").alias("example"), F.lit(1).alias("times"))
+
+
 def score(results: DataFrame, dataset: str) -> DataFrame:
     """Suite totals: PASS from 80 % of checks passed, WARN from 60 %."""
     points = rounded(ratio("passed", "total_checks", 100), 1)

@@ -12,7 +12,7 @@ from wagewright.operators.aggregate import (
     grouped_lists,
     named_agg,
     percent_of_total,
-    pivot_sum,
+    pivot_table,
 )
 from wagewright.operators.joins import first_per_key
 from wagewright.operators.ordering import at_positions, gini, lower_quarter, upper_quarter
@@ -122,7 +122,7 @@ def nearest_rank_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def pivot_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = roles.wide_payroll(spark, sf_dir, roles.payroll_headers(spark, sf_dir))
-    return pivot_sum(wide, "dept_name", "status", "gross", ["Paid", "Approved", "Draft"]).withColumnsRenamed(
+    return pivot_table(wide, "dept_name", "status", "gross", ["Paid", "Approved", "Draft"]).withColumnsRenamed(
         {"Paid": "paid", "Approved": "approved", "Draft": "draft"}
     )
 

@@ -294,6 +294,17 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dq.run_checks(roles.defective_payroll(spark, sf_dir), suite(PAY_SUITE))
 
 
+@query("dq_examples", "check_name:s example:s times:l",
+       f"""SELECT * FROM (SELECT 'uniqueness_emp_code' AS check_name, emp_code AS example, count(*) AS times FROM (SELECT *, 1 FROM r_bad_pay) WHERE emp_code<>'' GROUP BY 2 HAVING count(*)>1 ORDER BY times DESC, example LIMIT 5)
+           UNION ALL SELECT * FROM (SELECT 'range_net', CAST(payroll_id AS VARCHAR), 1 FROM r_bad_pay WHERE net<0 ORDER BY payroll_id LIMIT 5)
+           UNION ALL SELECT * FROM (SELECT 'completeness_basic', CAST(payroll_id AS VARCHAR), 1 FROM r_bad_pay WHERE basic IS NULL ORDER BY payroll_id LIMIT 5)
+           UNION ALL SELECT * FROM (SELECT 'net_le_gross', CAST(payroll_id AS VARCHAR), 1 FROM r_bad_pay WHERE net>gross ORDER BY payroll_id LIMIT 5)""")
+def dq_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = roles.defective_payroll(spark, sf_dir)
+    checks = [dq.unique("emp_code"), dq.within("net", 0, 1e12), dq.complete("basic"), dq.consistent("net_le_gross", "net <= gross")]
+    return reduce(DataFrame.unionByName, [dq.examples(rows, c, "payroll_id", 5) for c in checks])
+
+
 def _score_sql(name: str, view: str, spec: list) -> str:
     return f"SELECT '{name}' AS dataset, count(*) AS total_checks, sum(passed) AS passed, {r('sum(passed)*100.0/count(*)',1)} AS score FROM ({check_sql(view, spec)})"
 

@@ -75,7 +75,7 @@ def ingest_multi_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         "suppliers": table(spark, sf_dir, "supplier").select(F.col("s_name").alias("name")),
     }
     for stem, df in folder.items():
-        write_csv(df, f"{root}/dataset={stem}")
+        write_csv(df, f"{root}/{stem}.csv")
     landed = read_csv_folder(spark, root, ["name"]).select(F.concat(F.lit("csv:"), "dataset").alias("source"))
     extracts = {
         "payroll": roles.wide_payroll(spark, sf_dir).filter("status = 'Paid'"),

@@ -12,6 +12,7 @@ from wagewright.functions import rules
 from wagewright.functions.numeric import mean, ratio, rounded, total
 from wagewright.functions.text import employee_code, row_hash
 from wagewright.operators import loading, warehouse
+from wagewright.operators.daily_run import daily_run
 from wagewright.operators.payroll import salary_band
 from wagewright.plans.relational import enrich
 from wagewright.registry import query
@@ -411,6 +412,15 @@ def kpi_document_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [whole, unfold("dept_name_breakdown", "dept"), unfold("gender_breakdown", "gender")])
 
 
+@query("run_stage_metrics", "stage:s rows:l status:s",
+       f"""SELECT 'ingested' AS stage, count(*) AS rows, 'success' AS status FROM r_bad_pay UNION ALL SELECT 'clean', count(*), 'success' FROM {CLEAN} UNION ALL SELECT 'stored', count(*), 'success' FROM {CLEAN}
+           UNION ALL SELECT 'issues', (SELECT count(*) FROM r_bad_pay)-(SELECT count(*) FROM {CLEAN}), 'success' UNION ALL SELECT 'exported', count(DISTINCT dept_name), 'success' FROM {CLEAN}""")
+def run_stage_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run log after a full run with its stores and exports."""
+    run = daily_run(spark, validated(spark, sf_dir).drop("errors"), enrich, scratch(spark, "run"), "2002-01-01T00:00:00")
+    return spark.read.parquet(run.path("run_log")).select("stage", "rows", "status")
+
+
 @query("end_to_end_kpis", "dept_name:s records:l issues:l clean:l total_gross:d total_net:d total_tds:d total_pf:d avg_net:d max_net:d min_net:d avg_take_home:d avg_attendance:d",
        f"""SELECT dept_name, count(*) AS records, count(*) FILTER (WHERE bad) AS issues, count(*) FILTER (WHERE NOT bad) AS clean, sum(CASE WHEN NOT bad THEN gross END) AS total_gross, sum(CASE WHEN NOT bad THEN net END) AS total_net,
            sum(CASE WHEN NOT bad THEN tds END) AS total_tds, sum(CASE WHEN NOT bad THEN pf END) AS total_pf, {r(avg('CASE WHEN NOT bad THEN net END'))} AS avg_net, max(CASE WHEN NOT bad THEN net END) AS max_net,

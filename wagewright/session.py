@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import SparkSession
 
 
@@ -55,3 +57,13 @@ def settled(df, label: str = "settled"):
     path = scratch(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def kept(df, level=StorageLevel.MEMORY_AND_DISK):
+    """Cache a frame for several actions and release it afterwards."""
+    df.persist(level)
+    try:
+        yield df
+    finally:
+        df.unpersist()

@@ -65,10 +65,7 @@ def write_json(df: DataFrame, path: str) -> None:
 
 
 def read_csv_folder(spark: SparkSession, root: str, names: list[str]) -> DataFrame:
-    """Every dataset folder ``<root>/dataset=<stem>/`` as rows tagged with the stem."""
-    raw = (
-        spark.read.schema(T.StructType(text_schema(names).fields + [T.StructField("dataset", T.StringType())]))
-        .option("header", True)
-        .csv(root)
-    )
-    return raw
+    """Every ``<root>/<stem>.csv`` (a file, or a folder Spark wrote) as rows tagged with the stem."""
+    raw = spark.read.schema(text_schema(names)).option("header", True).option("escape", '"').csv(f"{root.rstrip('/')}/*.csv")
+    stem = F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)\.csv(?:/[^/]*)?$", 1)
+    return raw.select(*[F.coalesce(F.col(f"`{n}`"), F.lit("")).alias(n) for n in names], stem.alias("dataset"))
