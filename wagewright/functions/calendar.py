@@ -35,9 +35,9 @@ def inclusive_days(start: Column | str, end: Column | str) -> Column:
 
 
 def tenure_years(as_of: str, joined: Column | str) -> Column:
-    """Whole 365-day years."""
+    """Whole 365-day years, never negative; unknown without a date."""
     days = F.datediff(F.lit(as_of).cast("date"), as_col(joined))
-    return F.greatest(F.floor(days / 365), F.lit(0))
+    return F.when(days < 0, F.lit(0)).otherwise(F.floor(days / 365))
 
 
 def is_weekend(c: Column | str) -> Column:

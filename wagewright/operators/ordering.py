@@ -67,6 +67,9 @@ def ranked(
 ) -> DataFrame:
     """Add exact ordered columns over (value, tie) within ``by`` (or over all rows).
 
+    For few groups of any size (departments, partitions); the totals hold one
+    row per group and slice. Many short histories belong to ``over_history``.
+
     ``want`` picks from row_number, rank, dense_rank and group_rows;
     ``running`` names a money column whose running total becomes running_total.
     ``tie`` must make the order unique.

@@ -80,7 +80,11 @@ def _duplicates(df: DataFrame, check: Check) -> DataFrame:
 
 
 def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """One result row per check: all row checks share one aggregation pass."""
+    """One result row per check: all row checks share one aggregation pass.
+
+    Each uniqueness check reads the rows again, so an input with joins should
+    be stored first (``session.settled``).
+    """
     single = [c for c in checks if c.kind != "uniqueness"]
     parts = [_duplicates(df, c) for c in checks if c.kind == "uniqueness"]
     if single:

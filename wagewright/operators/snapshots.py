@@ -71,17 +71,27 @@ class SnapshotTable:
         return Written(folder, seen.get["n"], seen.get["h"], seen.get["k"])
 
     # -- reading ----------------------------------------------------------------
+    def _scan(self, folders: list[str], schema: T.StructType, tag: bool) -> DataFrame:
+        df = self.spark.read.schema(schema).parquet(*[f"{self.root}/{f}" for f in folders])
+        if not tag:
+            return df
+        return df.select("*", F.regexp_extract(F.col("_metadata.file_path"), "(data/[0-9a-f]{32})/", 1).alias("_folder"))
+
     def _part(self, part, schema: T.StructType, tag: bool = False) -> DataFrame:
-        df = self.spark.read.schema(schema).parquet(f"{self.root}/{part['folder']}")
+        df = self._scan([part["folder"]], schema, tag)
         for name, value in (part["fills"] or {}).items():
             df = df.withColumn(name, F.coalesce(F.col(name), F.lit(value).cast(schema[name].dataType)))
-        return df.withColumn("_folder", F.lit(part["folder"])) if tag else df
+        return df
 
     def _parts(self, entry, tag: bool = False) -> DataFrame:
         schema = _schema(entry)
         if not entry["parts"]:
             return self.spark.createDataFrame([], schema)
-        return reduce(DataFrame.unionByName, [self._part(p, schema, tag) for p in entry["parts"]])
+        # Folders without column defaults, usually all, are one scan.
+        plain = [p["folder"] for p in entry["parts"] if not p["fills"]]
+        frames = [self._scan(plain, schema, tag)] if plain else []
+        frames += [self._part(p, schema, tag) for p in entry["parts"] if p["fills"]]
+        return reduce(DataFrame.unionByName, frames)
 
     def read(self, version: int | None = None, timestamp: str | None = None) -> DataFrame:
         """The current rows, those of a version, or those of the last commit at or before a time."""

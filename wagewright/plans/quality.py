@@ -12,7 +12,7 @@ from wagewright.functions.numeric import ratio, rounded
 from wagewright.operators import quality as dq
 from wagewright.operators.cleaning import clean_attendance, clean_employees, clean_payroll
 from wagewright.registry import query
-from wagewright.session import scratch
+from wagewright.session import scratch, settled
 from wagewright.sources import roles
 from wagewright.sources.role_sql import avg, pct, r, std
 from wagewright.sources.tables import table, write_csv
@@ -291,7 +291,7 @@ for _kind in ("completeness", "uniqueness", "range", "consistency"):
 
 @query("dq_report", CHECK_COLS, check_sql("r_bad_pay", PAY_SUITE))
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dq.run_checks(roles.defective_payroll(spark, sf_dir), suite(PAY_SUITE))
+    return dq.run_checks(settled(roles.defective_payroll(spark, sf_dir)), suite(PAY_SUITE))
 
 
 @query("dq_examples", "check_name:s example:s times:l",
@@ -300,7 +300,7 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
            UNION ALL SELECT * FROM (SELECT 'completeness_basic', CAST(payroll_id AS VARCHAR), 1 FROM r_bad_pay WHERE basic IS NULL ORDER BY payroll_id LIMIT 5)
            UNION ALL SELECT * FROM (SELECT 'net_le_gross', CAST(payroll_id AS VARCHAR), 1 FROM r_bad_pay WHERE net>gross ORDER BY payroll_id LIMIT 5)""")
 def dq_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = roles.defective_payroll(spark, sf_dir)
+    rows = settled(roles.defective_payroll(spark, sf_dir))
     checks = [dq.unique("emp_code"), dq.within("net", 0, 1e12), dq.complete("basic"), dq.consistent("net_le_gross", "net <= gross")]
     return reduce(DataFrame.unionByName, [dq.examples(rows, c, "payroll_id", 5) for c in checks])
 
@@ -318,7 +318,7 @@ SCORES = " UNION ALL ".join([_score_sql("employees", EMP_VIEW, EMP_SUITE), _scor
 def dq_scoreboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     suites = [
         ("employees", employee_frame(spark, sf_dir), EMP_SUITE),
-        ("payroll_records", roles.defective_payroll(spark, sf_dir), PAY_SUITE),
+        ("payroll_records", settled(roles.defective_payroll(spark, sf_dir)), PAY_SUITE),
         ("attendance", roles.attendance(spark, sf_dir), ATT_SUITE),
     ]
     scores = reduce(DataFrame.unionByName, [dq.score(dq.run_checks(df, suite(spec)), n) for n, df, spec in suites])
