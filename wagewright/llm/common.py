@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Characters that part words: space, tab, line feed, vertical tab, form feed, carriage return.
@@ -32,8 +35,26 @@ def words(text: Column) -> Column:
     return F.filter(F.split(stripped(F.coalesce(text, F.lit(""))), SPACE_RUN), lambda w: w != "")
 
 
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Give the executors this package, once for an application: they needn't have it installed."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp()) / f"{package.name}-code.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))  # Spark's own file service hands it out
+    _shipped.add(app)
+
+
 def by_arrow(df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``mapInArrow`` with a function of one batch."""
+    ship_code(df.sparkSession)
 
     def run(batches):
         for batch in batches:

@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wagewright.llm.common import by_arrow
+from wagewright.llm.common import by_arrow, ship_code
 from wagewright.session import settled
 
 LENGTH = 1024
@@ -113,6 +113,7 @@ def cut_rows(rows: DataFrame, path: str, length: int) -> DataFrame:
                     names=["doc_id", "task", "doc_tokens", "rest", "rank", "windows_before", "window_crcs", "rest_crc", "ids"],
                 )
 
+    ship_code(rows.sparkSession)
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(run, f"doc_id {kind}, task int, doc_tokens long, rest int, rank long, windows_before long, window_crcs array<long>, rest_crc long, ids binary")
 

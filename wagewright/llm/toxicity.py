@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from wagewright.llm.common import by_arrow
 from wagewright.llm.lexicon import Lexicon
+from wagewright.session import settled
 
 WORD = re.compile(r"[^\W_]+")
 #: Openers of quoted speech and what closes them; a quotation ends with its line at the latest.
@@ -50,7 +51,8 @@ def learned_lexicon(rows: DataFrame, size: int, odds: float) -> tuple[dict[str,
     if not toxic or not civil:
         return {}, {}
     weight = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("civil") + 0.5) / (civil + 1))
-    strong = term_counts(rows).filter(F.col("toxic") >= max(4, toxic // 100)).withColumn("weight", F.round(weight, 6)).filter(F.col("weight") >= odds)
+    often = term_counts(rows).filter(F.col("toxic") >= max(4, toxic // 100))
+    strong = settled(often.withColumn("weight", F.round(weight, 6)).filter(F.col("weight") >= odds), "terms")
     found: tuple[dict[str, float], dict[str, float]] = ({}, {})
     for kind, out in enumerate(found):
         own = strong.filter(F.col("term").endswith("*") if kind else ~F.col("term").endswith("*"))
@@ -114,7 +116,7 @@ def toxicity(
     text_col: str = "text",
     label_col: str = "toxic",
     train_rows: int = 8000,
-    lexicon_size: int = 1000,
+    lexicon_size: int = 120,
     odds: float = 1.6,
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
