@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wagewright.llm.common import ascii_lower, stripped
+from wagewright.session import settled
 
 
 def line_key(line: Column) -> Column:
@@ -29,7 +30,8 @@ def drop_shared_lines(
     """The input's columns with shared lines gone from the text, and ``n_lines``, ``n_dropped``.
 
     Lines are exploded with their places and hashed to 128 bits; documents are counted per hash after a map-side
-    step, so a line that all documents hold arrives as a few rows. Only the places of dropped lines go back to the
+    step, so a line that all documents hold arrives as a few rows. The frequent keys are written, so that joining them back
+    is broadcast while they are few and else splits the partition of a hot key. Only the places of dropped lines go back to the
     documents, which are put together again from the places that remain. A null text is one empty line and comes back
     as an empty text. Rows that repeat an id are one document; each loses its own lines. Input columns named like the
     two new ones are replaced; an empty table stays empty.
@@ -43,7 +45,7 @@ def drop_shared_lines(
         .select("id", "row", "place", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(7), "key").alias("h2"))
     )
     gone = (
-        lines.join(frequent_lines(lines, min_docs), ["h1", "h2"])
+        lines.join(settled(frequent_lines(lines, min_docs), "lines"), ["h1", "h2"])
         .filter(~F.col("id").eqNullSafe(F.col("last")))
         .groupBy(F.col("id").alias("gone_id"), F.col("row").alias("gone_row"))
         .agg(F.collect_set("place").alias("gone_places"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wagewright.llm.common import by_arrow, slices
 from wagewright.llm.words import hashed_words, mixed
+from wagewright.session import settled
 
 
 def units(texts: list[str | None], every: int, min_words: int):
@@ -70,7 +71,7 @@ def repeated_passages(
 
     rows = by_arrow(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("body")), work, "digest long, id long, start long, size int")
     known = rows.groupBy("digest").agg(F.min(F.struct("id", "start")).alias("first"), F.max(F.struct("id", "start")).alias("last"))
-    again = known.filter(~F.col("first").eqNullSafe(F.col("last"))).select("digest", "first")
+    again = settled(known.filter(~F.col("first").eqNullSafe(F.col("last"))).select("digest", "first"), "digests")
     marked = rows.join(again, "digest").filter(~F.struct("id", "start").eqNullSafe(F.col("first")))
     spans = marked.groupBy("id", "start").agg(
         F.max(F.col("start") + F.col("size")).alias("end"), F.min(F.col("first.id")).alias("first_id")
