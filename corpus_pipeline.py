@@ -37,7 +37,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest id of each group of near duplicates stays, once."""
     found = near_duplicates(docs)
-    gone = found.filter("not coalesce(kept, true)").select("doc_id")
+    gone = found.filter("not kept").select("doc_id")
     # Rows that repeat an id are one document.
     return _without(docs, gone).dropDuplicates(["doc_id"]).select(*COLUMNS)
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wagewright.llm.common import by_arrow
+from wagewright.session import settled
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*+)>|<[!?/][^>]*+>", re.S)
 ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -174,11 +175,12 @@ def main_text(
 ) -> DataFrame:
     """``page_id``, ``url``, ``text``, ``n_chars`` for each row.
 
-    A page is parsed once into blocks of text, each with the path of styles above it. Elements that the standard or
+    A page is parsed into blocks of text, each with the path of styles above it. Elements that the standard or
     their names tell apart (menus, headers, footers, sidebars, notices, adverts, forms, comments; article and main) have
     fixed importance. Other branches are merged over all pages of a host into a site style tree; branches of low
     importance there are removed from each page. Sites with fewer than ``min_pages`` pages with a branch keep it.
-    Only paths, hashes and block numbers are shuffled; a host with a third of all pages is counted map-side.
+    Only paths and hashes of undecided blocks are shuffled to learn the trees, and a host with a third of all pages is
+    counted map-side. Pages are read a second time to apply the removals, which are broadcast while they are few.
 
     Character references are decoded, white space in a block is one space, blocks are joined by two line feeds. A null or
     empty html has an empty text, a null url belongs to the site without a name. Repeated rows are read each, other
@@ -187,22 +189,21 @@ def main_text(
     own = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("body"))
     made = page_blocks(own)
     open_ = F.exists("blocks", lambda b: b.verdict.isNull())
-    page = F.xxhash64(F.transform("blocks", lambda b: b.feature))
-    undecided = (
+    page = F.xxhash64("site", F.transform("blocks", lambda b: b.feature))
+    undecided = settled(
         made.filter(open_)
         .select("site", page.alias("page"), F.explode(F.filter("blocks", lambda b: b.verdict.isNull())).alias("b"))
         .select("site", "page", F.col("b.path").alias("path"), F.col("b.feature").alias("feature"))
-        .distinct()
+        .distinct(),
+        "blocks",
     )
     low = style_tree(undecided, fade).filter((F.col("importance") < min_importance) & (F.col("m") >= min_pages))
     # What to drop from a page depends on its site and blocks alone, so equal pages share a row.
-    drops = (
-        undecided.join(low.select("site", "path"), ["site", "path"])
-        .groupBy(F.col("site").alias("drop_site"), F.col("page").alias("drop_page"))
-        .agg(F.collect_set("path").alias("drop_paths"))
+    drops = settled(
+        undecided.join(low.select("site", "path"), ["site", "path"]).groupBy(F.col("page").alias("drop_page")).agg(F.collect_set("path").alias("drop_paths")),
+        "drops",
     )
-    key = F.when(open_, page)
-    met = made.withColumn("page", key).join(drops, (F.col("site") == F.col("drop_site")) & (F.col("page") == F.col("drop_page")), "left")
+    met = made.withColumn("page", page).join(drops, F.col("page") == F.col("drop_page"), "left")
     stays = lambda b: F.coalesce(b.verdict, ~F.coalesce(F.array_contains("drop_paths", b.path), F.lit(False)))
     text = F.array_join(F.transform(F.filter("blocks", stays), lambda b: b.text), "\n\n")
     return met.select("page_id", "url", text.alias("text")).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
