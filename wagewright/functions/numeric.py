@@ -41,7 +41,8 @@ def rounded(c: Column | str, digits: int = 2) -> Column:
     """Half-up rounding of the decimal value, so 0.285 gives 0.29.
 
     Done on whole units of 1e-8 (1e-12 from six digits on), which stays in
-    generated code; values too large for that go through DECIMAL.
+    generated code, where a double holds those units exactly; beyond that DECIMAL
+    gives the same result.
     """
     x = as_col(c).cast("double")
     scale = 8 if digits < 6 else 12
@@ -49,7 +50,7 @@ def rounded(c: Column | str, digits: int = 2) -> Column:
     units = F.rint(x * F.lit(float(10**scale))).cast("bigint") + F.when(x < 0, F.lit(-(step // 2))).otherwise(F.lit(step // 2))
     quick = _div(units, step).cast("double") / F.lit(float(10**digits))
     exact = F.round(x.cast(f"decimal(28,{scale})"), digits).cast("double")
-    return F.when(F.abs(x) < F.lit(9e18 / 10**scale), quick).otherwise(exact)
+    return F.when(F.abs(x) < F.lit(9e15 / 10**scale), quick).otherwise(exact)
 
 
 def cents(c: Column | str) -> Column:

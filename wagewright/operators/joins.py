@@ -100,7 +100,9 @@ def asof_join(
     if heavy.isEmpty():
         return unpack(fill(both))
     light = fill(both.join(heavy, keys, "left_anti"))
-    hot = both.join(heavy, keys, "left_semi").withColumn("_rank_tie", F.col("_kind") * F.lit(1e15) + F.col("_id"))
+    # At one instant versions come first, in one slice; facts after them in any order, so a hash spreads them.
+    spread = 1 + F.pmod(F.xxhash64("_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    hot = both.join(heavy, keys, "left_semi").withColumn("_rank_tie", F.when(F.col("_kind") == 0, F.lit(0.0)).otherwise(spread))
     cut = fill(with_slices(hot, "_at", "_rank_tie"), SLICE, TIE)
     last = cut.groupBy(*keys, SLICE, TIE).agg(
         F.max(F.when(F.col("_version").isNotNull(), F.struct(*order, "_version"))).alias("_last")

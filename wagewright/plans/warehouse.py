@@ -104,7 +104,7 @@ KEYED = "emp_id:l period:s payroll_id:l gross:d status:s"
 
 
 def keyed_target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    old = roles.payroll_headers(spark, sf_dir).filter(roles.in_year(1900, 1998))
+    old = roles.payroll_headers(spark, sf_dir).filter(roles.paid_before(1999))
     latest = Window.partitionBy("emp_id", "period").orderBy(F.col("payroll_id").desc())
     return old.withColumn("_n", F.row_number().over(latest)).filter("_n = 1").select("emp_id", "period", "payroll_id", "gross", "status")
 
@@ -115,13 +115,13 @@ SOURCE = "(SELECT emp_id, period, payroll_id, gross, status FROM r_ord WHERE pay
 
 @query("upsert_replace", KEYED, f"SELECT * FROM {SOURCE} UNION ALL SELECT * FROM {TARGET} t WHERE NOT EXISTS (SELECT 1 FROM {SOURCE} s WHERE s.emp_id=t.emp_id AND s.period=t.period)")
 def upsert_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = roles.payroll_headers(spark, sf_dir).filter(roles.in_year(1998, 2999))
+    source = roles.payroll_headers(spark, sf_dir).filter(roles.paid_from(1998))
     return loading.upsert(keyed_target(spark, sf_dir), source, ["emp_id", "period"], [F.col("payroll_id")])
 
 
 @query("insert_ignore", KEYED, f"SELECT * FROM {TARGET} UNION ALL SELECT * FROM {SOURCE} s WHERE NOT EXISTS (SELECT 1 FROM {TARGET} t WHERE s.emp_id=t.emp_id AND s.period=t.period)")
 def insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = roles.payroll_headers(spark, sf_dir).filter(roles.in_year(1998, 2999))
+    source = roles.payroll_headers(spark, sf_dir).filter(roles.paid_from(1998))
     return loading.insert_ignore(keyed_target(spark, sf_dir), source, ["emp_id", "period"], [F.col("payroll_id")])
 
 

@@ -45,7 +45,7 @@ def scratch(spark: SparkSession, label: str) -> str:
 
 def parallelism(spark: SparkSession) -> int:
     """How many slices to cut an ordered column into: one per shuffle partition."""
-    return max(8, min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2000))
+    return max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def settled(df, label: str = "settled"):

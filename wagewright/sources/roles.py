@@ -82,6 +82,14 @@ def departments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return departments_base(spark, sf_dir, location=True).join(manager, "dept_id", "left").join(budget, "dept_id", "left")
 
 
+def paid_before(year: int) -> Column:
+    return F.col("pay_date") < F.lit(f"{year}-01-01").cast("timestamp_ntz")
+
+
+def paid_from(year: int) -> Column:
+    return F.col("pay_date") >= F.lit(f"{year}-01-01").cast("timestamp_ntz")
+
+
 def in_year(year: int, last: int | None = None) -> Column:
     """Pay dates of a year (or of a run of years) as a range the Parquet scan can skip by."""
     day = F.col("pay_date")
