@@ -43,7 +43,7 @@ class Tokens:
         self.known: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
     def ids(self, texts: list[str | None]) -> list[np.ndarray]:
