@@ -69,6 +69,15 @@ def test_interval_join_ends_included(spark):
     assert {r["n"]: r["count"] for r in got.collect()} == {"a": 4, "b": 2}
 
 
+def test_interval_join_open_reversed_and_keyed(spark):
+    days = spark.sql("SELECT k, explode(sequence(date'2026-01-28', date'2026-03-05', interval 1 day)) AS d FROM VALUES (1), (2) AS t(k)")
+    spans = spark.sql("""SELECT * FROM VALUES ('open', 1, date'2026-03-01', CAST(NULL AS DATE)), ('turned', 1, date'2026-02-02', date'2026-01-30'),
+        ('late', 2, date'2027-01-01', NULL), ('none', 2, NULL, date'2026-02-02'), ('one', 2, date'2026-02-02', date'2026-02-02') AS t(n, k, s, e)""")
+    got = interval_join(days, "d", spans, "s", "e", on=("k",)).groupBy("k", "n").count()
+    assert {(r["k"], r["n"]): r["count"] for r in got.collect()} == {(1, "open"): 5, (2, "one"): 1}
+    assert interval_join(days, "d", spans.drop("k"), "s", "e").filter("n = 'open'").count() == 10
+
+
 def test_lookup_last_wins_and_defaults(spark):
     left = spark.createDataFrame([(1,), (2,)], "k bigint")
     right = spark.createDataFrame([(1, 1, "old"), (1, 2, "new")], "k bigint, seq bigint, name string")

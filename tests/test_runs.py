@@ -4,6 +4,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
+from wagewright.catalogue import REGISTRY
 from wagewright.functions.numeric import zero
 from wagewright.operators.daily_run import Run, daily_run
 from wagewright.operators.loading import manifest, write_partitioned
@@ -75,6 +76,19 @@ def test_kept_and_settled(spark):
     assert settled(df.withColumn("x", F.col("id") * 2)).agg(F.sum("x")).first()[0] == 90
 
 
+def test_streams_read_a_folder_of_part_files(spark):
+    root = folder()
+    table(spark, SF, "events").repartition(4).write.parquet(f"{root}/events.parquet")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    for key in ("stream_event_counts", "stream_tumbling_window", "stream_watermark_closed_windows"):
+        want = sorted(map(tuple, REGISTRY[key].run(spark, SF).collect()))
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+        try:
+            assert want and sorted(map(tuple, REGISTRY[key].run(spark, root).collect())) == want
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_late_rows_change_nothing(spark):
     landing, out, check = folder() + "/in", folder() + "/out", folder() + "/check"
     events = table(spark, SF, "events")

@@ -37,18 +37,26 @@ def lookup_join(
     return out
 
 
-def interval_join(facts: DataFrame, day: str, intervals: DataFrame, start: str, end: str) -> DataFrame:
+def interval_join(facts: DataFrame, day: str, intervals: DataFrame, start: str, end: str, on: tuple[str, ...] = ()) -> DataFrame:
     """Facts to the date intervals that contain them (both ends included).
 
     Each interval is spread over the months it touches, which gives the join an
-    equality key; the exact range is the residual condition. The spread
-    intervals are stored, so the planner knows their size.
+    equality key beside the columns ``on`` that both sides share; the exact range
+    is the residual condition. The spread intervals are stored, so the planner
+    knows their size. A null end is open: it reaches the last fact's day. An
+    interval without a start, or whose end lies before its start, holds no day.
     """
-    months = F.sequence(F.trunc(F.col(start), "month"), F.trunc(F.col(end), "month"), F.expr("interval 1 month"))
-    spread = settled(intervals.withColumn("_month", F.explode(months)), "intervals")
+    last = facts.agg(F.max(F.to_date(day)).alias("_last")).scalar()
+    until = F.coalesce(F.col(end), last)
+    months = F.sequence(F.trunc(F.col(start), "month"), F.trunc(until, "month"), F.expr("interval 1 month"))
+    spread = intervals.withColumn("_month", F.explode(F.when(F.col(start) <= until, months)))
+    spread = settled(spread.withColumnsRenamed({k: f"_on_{k}" for k in on}), "intervals")
     keyed = facts.withColumn("_fact_month", F.trunc(F.col(day), "month"))
-    hit = (F.col("_fact_month") == F.col("_month")) & F.col(day).between(F.col(start), F.col(end))
-    return keyed.join(spread, hit).drop("_month", "_fact_month")
+    inside = (F.col(day) >= F.col(start)) & (F.col(end).isNull() | (F.col(day) <= F.col(end)))
+    hit = (F.col("_fact_month") == F.col("_month")) & inside
+    for k in on:
+        hit = hit & (F.col(k) == F.col(f"_on_{k}"))
+    return keyed.join(spread, hit).drop("_month", "_fact_month", *[f"_on_{k}" for k in on])
 
 
 def asof_join(

@@ -257,7 +257,7 @@ def join_five_way(spark: SparkSession, sf_dir: str) -> DataFrame:
     "left_join_group_counts", "dept_name:s employees:l active:l inactive:l suppliers:l",
     """SELECT n_name AS dept_name, count(emp_id) AS employees, count(*) FILTER (WHERE status='Active') AS active,
        count(*) FILTER (WHERE status='Inactive') AS inactive,
-       (SELECT count(*) FROM supplier WHERE s_nationkey=n_nationkey AND s_acctbal>9000) AS suppliers
+       (SELECT count(*) FROM supplier WHERE s_nationkey=n_nationkey) AS suppliers
        FROM nation LEFT JOIN r_emp ON dept_id=n_nationkey GROUP BY n_nationkey, n_name""",
 )
 def left_join_group_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -268,7 +268,7 @@ def left_join_group_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count_if(F.col("c_acctbal") < 0).alias("inactive"),
     )
     firms = (
-        table(spark, sf_dir, "supplier").filter("s_acctbal > 9000")
+        table(spark, sf_dir, "supplier")
         .groupBy(F.col("s_nationkey").cast("bigint").alias("dept_id")).agg(F.count("*").alias("suppliers"))
     )
     return roles.departments_base(spark, sf_dir).join(people, "dept_id", "left").join(firms, "dept_id", "left").fillna(0)
@@ -384,12 +384,12 @@ def anti_join_no_payroll(spark: SparkSession, sf_dir: str) -> DataFrame:
     "broadcast_lookup_join", "payroll_id:l dept_id:l supplier:s supplier_balance:d",
     """SELECT payroll_id, e.dept_id, coalesce(s_name,'') AS supplier, coalesce(s_acctbal,0) AS supplier_balance
        FROM r_ord p JOIN r_emp e ON p.emp_id=e.emp_id LEFT JOIN
-       (SELECT s_nationkey, s_name, s_acctbal FROM supplier WHERE s_acctbal>8000
+       (SELECT s_nationkey, s_name, s_acctbal FROM supplier
         QUALIFY row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey DESC)=1) s ON s_nationkey=e.dept_id""",
 )
 def broadcast_lookup_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Last supplier per department as the lookup value; misses take the defaults."""
-    firms = table(spark, sf_dir, "supplier").filter("s_acctbal > 8000").select(
+    firms = table(spark, sf_dir, "supplier").select(
         F.col("s_nationkey").cast("bigint").alias("dept_id"), "s_suppkey",
         F.col("s_name").alias("supplier"), F.col("s_acctbal").alias("supplier_balance"),
     )
@@ -408,11 +408,11 @@ def broadcast_lookup_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""SELECT payroll_id, coalesce(emp_code,'') AS emp_code, coalesce(name,'') AS full_name, coalesce(dept_name,'') AS dept_name,
         coalesce(location,'') AS location, gross, net, coalesce(days_absent,0) AS days_absent, coalesce(overtime,0) AS overtime,
         {r(pct('net','gross'),1)} AS take_home_pct, {r(pct('days_present','working_days'),1)} AS attendance_pct
-        FROM r_pay p LEFT JOIN (SELECT * FROM r_emp WHERE status='Active') e ON p.emp_id=e.emp_id LEFT JOIN
+        FROM r_pay p LEFT JOIN r_emp e ON p.emp_id=e.emp_id LEFT JOIN
         (SELECT emp_id, count(*) FILTER (WHERE status='Absent') AS days_absent, sum(greatest(hours-8,0)) AS overtime FROM r_att GROUP BY 1) a ON p.emp_id=a.emp_id""",
 )
 def merge_three_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    people = roles.employees(spark, sf_dir, location=True).filter("status = 'Active'").select(
+    people = roles.employees(spark, sf_dir, location=True).select(
         "emp_id", "emp_code", F.col("name").alias("full_name"), "dept_name", "location"
     )
     present = roles.attendance(spark, sf_dir).groupBy("emp_id").agg(

@@ -14,14 +14,13 @@ from wagewright.sources.role_sql import r
 from wagewright.sources.tables import table
 from wagewright.streaming import jobs
 
-FILE = "events.parquet"
 V = "CAST(value AS DECIMAL(18,2))"
 
 
 @query("stream_event_counts", "event_type:s events:l amount:d", f"SELECT event_type, count(*) AS events, sum({V}) AS amount FROM events GROUP BY 1")
 def stream_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, check = scratch(spark, "counts"), scratch(spark, "checkpoint")
-    jobs.each_batch(jobs.running_totals(jobs.event_stream(jobs.small_state(spark), sf_dir, FILE)), jobs.keep_batch(out), check, "complete")
+    jobs.each_batch(jobs.running_totals(jobs.table_stream(jobs.small_state(spark), sf_dir)), jobs.keep_batch(out), check, "complete")
     return jobs.latest_batch(spark, out)
 
 
@@ -33,7 +32,7 @@ WINDOW_SQL = f"SELECT strftime(date_trunc('day',ts),'%Y-%m-%d %H:%M') AS window_
 @query("stream_tumbling_window", WINDOW, WINDOW_SQL)
 def stream_tumbling_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, check = scratch(spark, "windows"), scratch(spark, "checkpoint")
-    jobs.each_batch(jobs.tumbling(jobs.event_stream(jobs.small_state(spark), sf_dir, FILE)), jobs.keep_batch(out), check, "complete")
+    jobs.each_batch(jobs.tumbling(jobs.table_stream(jobs.small_state(spark), sf_dir)), jobs.keep_batch(out), check, "complete")
     return jobs.latest_batch(spark, out)
 
 
@@ -44,7 +43,7 @@ CLOSED_SQL = f"{WINDOW_SQL} HAVING date_trunc('day',ts)+INTERVAL 1 DAY <= (SELEC
 def stream_watermark_closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append mode emits a window once the watermark (one hour behind) has passed its end."""
     out, check = scratch(spark, "closed"), scratch(spark, "checkpoint")
-    jobs.append_to(jobs.tumbling(jobs.event_stream(jobs.small_state(spark), sf_dir, FILE), delay="1 hour"), out, check)
+    jobs.append_to(jobs.tumbling(jobs.table_stream(jobs.small_state(spark), sf_dir), delay="1 hour"), out, check)
     return spark.read.parquet(out)
 
 

@@ -346,10 +346,12 @@ LIFECYCLE = [("1-URGENT", 1500, 2300), ("2-HIGH", 1000, 2000), ("3-MEDIUM", 700,
            (SELECT priority, date_diff('day', CAST(pay_date AS DATE), DATE '2002-01-01') AS age, tr, del FROM r_ord LEFT JOIN (VALUES {', '.join(f"('{p}',{a},{b})" for p, a, b in LIFECYCLE)}) l(p,tr,del) ON p=priority) GROUP BY 1,2""")
 def retention_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A prefix without a rule keeps everything."""
-    lifecycle = spark.createDataFrame(LIFECYCLE, "priority string, transition_days int, delete_days int")
     age = F.datediff(F.lit("2002-01-01").cast("date"), F.to_date("pay_date"))
-    rows = roles.payroll_headers(spark, sf_dir).select("priority", age.alias("age")).join(lifecycle, "priority", "left")
-    action = F.when(F.col("age") >= F.col("delete_days"), "expire").when(F.col("age") >= F.col("transition_days"), "transition").otherwise("keep")
+    rows = roles.payroll_headers(spark, sf_dir).select("priority", age.alias("age"))
+    action = F.lit("keep")
+    for prefix, archive, remove in LIFECYCLE:
+        ruled = F.when(F.col("age") >= remove, "expire").when(F.col("age") >= archive, "transition").otherwise("keep")
+        action = F.when(F.col("priority") == prefix, ruled).otherwise(action)
     return rows.groupBy(F.col("priority").alias("prefix"), action.alias("action")).agg(
         F.count("*").alias("objects"), F.max("age").alias("oldest_days")
     )

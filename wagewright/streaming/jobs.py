@@ -23,7 +23,7 @@ def small_state(spark: SparkSession, partitions: int = 8) -> SparkSession:
     queries want few, whatever the batch jobs of the caller use.
     """
     own = spark.newSession()
-    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    own.conf.set("spark.sql.session.timeZone", "UTC")  # the tables' times carry no zone: windows must not move with the caller's
     own.conf.set("spark.sql.shuffle.partitions", str(min(partitions, int(spark.conf.get("spark.sql.shuffle.partitions")))))
     return own
 
@@ -36,6 +36,16 @@ def event_stream(spark: SparkSession, folder: str, pattern: str = "*.parquet", f
     return reader.parquet(folder).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def table_stream(spark: SparkSession, sf_dir: str, name: str = "events") -> DataFrame:
+    """The events table as a stream, whether it is one file or a folder of part files."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    # Listed by Spark's reader, so that any store it reads will do; a lone file is watched through its parent folder.
+    held = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path").first()
+    if held is None or held["path"].rstrip("/").endswith(f"/{name}.parquet"):
+        return event_stream(spark, sf_dir, f"{name}.parquet")
+    return event_stream(spark, path)
+
+
 def drain(query) -> None:
     """Wait for an available-now query; an error in it is raised here."""
     query.awaitTermination()
