@@ -5,7 +5,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from wagewright.operators.history import heavy_keys, latest_n, over_history
+from wagewright.operators.history import latest_n, over_history
 from wagewright.operators.joins import asof_join, interval_join, lookup_join
 from wagewright.operators.warehouse import type2_apply, type2_history
 
@@ -27,8 +27,7 @@ EXPRS = {
 def test_hot_entity_in_chunks(spark):
     df = events(spark)
     plain = df.withColumns({n: e(Window.partitionBy("k").orderBy("t", "id")) for n, e in EXPRS.items()})
-    cut = over_history(df, ["k"], "t", "id", EXPRS, back=4, ahead=1, heavy_rows=50, chunk_rows=37)
-    assert heavy_keys(df, ["k"], 50).count() >= 1
+    cut = over_history(df, ["k"], "t", "id", EXPRS, back=4, ahead=1, chunk_rows=37)
     assert sorted(map(tuple, cut.collect()), key=lambda r: r[2]) == sorted(map(tuple, plain.collect()), key=lambda r: r[2])
 
 
@@ -36,7 +35,7 @@ def test_chunk_smaller_than_the_frame(spark):
     """A chunk is never shorter than the rows it has to lend."""
     df = events(spark, 120)
     plain = df.withColumn("roll", EXPRS["roll"](Window.partitionBy("k").orderBy("t", "id")))
-    cut = over_history(df, ["k"], "t", "id", {"roll": EXPRS["roll"]}, back=4, heavy_rows=10, chunk_rows=2)
+    cut = over_history(df, ["k"], "t", "id", {"roll": EXPRS["roll"]}, back=4, chunk_rows=2)
     assert sorted(map(tuple, cut.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
 
 
@@ -57,8 +56,8 @@ def test_asof_hot_key(spark):
     for r in facts.collect():
         past = [(v[1], v[2], v[3]) for v in known if v[0] == r["k"] and v[1] <= r["at"]]
         want[r["f"]] = max(past)[2] if past else None
-    for limit in (None, 20):
-        got = asof_join(facts, versions, ["k"], "at", "f", "since", "vid", ["vid", "name"], heavy_rows=limit)
+    for slices in (None, 20):
+        got = asof_join(facts, versions, ["k"], "at", "f", "since", "vid", ["vid", "name"], slices=slices)
         assert {r["f"]: r["name"] for r in got.collect()} == want
 
 
@@ -88,7 +87,7 @@ def test_lookup_last_wins_and_defaults(spark):
 def test_type2_history_and_load(spark):
     states = spark.sql("""SELECT * FROM VALUES (1, timestamp'2026-01-01', 1, 'A'), (1, timestamp'2026-02-01', 2, 'A'),
         (1, timestamp'2026-03-01', 3, 'B'), (1, timestamp'2026-04-01', 4, 'A') AS t(k, at, id, s)""")
-    for limits in ({}, {"heavy_rows": 1, "chunk_rows": 1}):
+    for limits in ({}, {"chunk_rows": 1}):
         dim = type2_history(states, "k", "at", "id", ["s"], **limits).orderBy("effective_from").collect()
         assert [(r["s"], r["is_current"]) for r in dim] == [("A", 0), ("B", 0), ("A", 1)]
         assert dim[0]["effective_to"] == dim[1]["effective_from"]

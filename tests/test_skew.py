@@ -1,21 +1,16 @@
-"""Tables where one key, amount and user hold a third of the rows; results must stay exact.
-
-The row limits of the history operators are lowered, so their paths for hot
-keys run here.
-"""
+"""Tables where one key, amount and user hold a third of the rows; results must stay exact."""
 
 import duckdb
 import pytest
 
 from wagewright.catalogue import REGISTRY
-from wagewright.operators import history, joins
 from wagewright.sources.tables import TABLES
 
 from test_oracle import SF, bag
 
 KEYS = """rolling_mean_50 payroll_spikes revision_history scd2_dim_employee scd2_asof_lookup latest_n_per_entity dedup_keep_first
 global_rank_bucketed gini_index nearest_rank_percentiles agg_multi_function percent_of_total cumulative_column group_by_key_lists
-stream_partition_offsets apply_revisions dept_payroll_cost ytd_salary correlated_loans top_earner_per_dept iqr_outliers
+merge_three_datasets apply_revisions dept_payroll_cost ytd_salary correlated_loans top_earner_per_dept iqr_outliers
 audit_snapshot_diff upsert_replace end_to_end_kpis payroll_components row_number_in_group rank_dense_rank ntile_quartiles""".split()
 
 
@@ -36,10 +31,7 @@ def skewed(tmp_path_factory):
 
 
 @pytest.mark.parametrize("key", KEYS)
-def test_hot_tables(spark, skewed, key, monkeypatch):
-    for module in (history, joins):
-        monkeypatch.setattr(module, "HEAVY_ROWS", 100)
-    monkeypatch.setattr(history, "CHUNK_ROWS", 60)
+def test_hot_tables(spark, skewed, key):
     folder, con = skewed
     df = REGISTRY[key].run(spark, folder)
     got = bag([tuple(r) for r in df.collect()], df.columns)

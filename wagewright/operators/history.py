@@ -9,13 +9,12 @@ from pyspark.sql import functions as F
 
 from wagewright.operators.ordering import ranked
 
-HEAVY_ROWS = 2_000_000
-CHUNK_ROWS = 500_000
 
-
-def heavy_keys(df: DataFrame, keys: list[str], limit: int = HEAVY_ROWS) -> DataFrame:
-    """Keys whose rows would make a window task too long."""
-    return df.groupBy(*keys).count().filter(F.col("count") > limit).select(*keys)
+def micros(column: str, zoned: bool) -> Column:
+    """A date or time as whole microseconds in its order; one without a zone doesn't depend on the session's."""
+    if zoned:
+        return F.unix_micros(F.col(column).cast("timestamp"))
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(column).cast("timestamp_ntz"))
 
 
 def over_history(
@@ -26,28 +25,24 @@ def over_history(
     exprs: dict[str, Callable[[WindowSpec], Column]],
     back: int = 0,
     ahead: int = 0,
-    heavy_rows: int | None = None,
     chunk_rows: int | None = None,
 ) -> DataFrame:
     """Add window expressions that look at most ``back`` rows back and ``ahead`` rows forward.
 
-    Ordinary entities use a window per key. An entity with more than
-    ``heavy_rows`` rows is numbered, cut into chunks, and each chunk borrows
-    the neighbouring rows it has to see, so no task gets a whole hot entity.
-    ``tie`` must be unique; ``order`` is a number, date or timestamp.
+    The caller, never the data, picks the plan. By default each key has one
+    window, which streams over its sorted rows and spills. With ``chunk_rows``
+    every history is numbered and cut into chunks of that many rows, and each
+    chunk borrows the neighbouring rows it has to see: for entities whose
+    history is too long for one task, at the price of two more shuffles.
+    ``tie`` must be unique; ``order`` is a number, date or timestamp, not null with ``chunk_rows``.
     """
-    heavy_rows, chunk_rows = heavy_rows or HEAVY_ROWS, chunk_rows or CHUNK_ROWS
-    chunk_rows = max(chunk_rows, back, ahead, 1)
-    plain = Window.partitionBy(*keys).orderBy(order, tie)
-    heavy = heavy_keys(df, keys, heavy_rows)
-    if heavy.isEmpty():
+    if chunk_rows is None:
+        plain = Window.partitionBy(*keys).orderBy(order, tie)
         return df.withColumns({n: e(plain) for n, e in exprs.items()})
-
-    light = df.join(heavy, keys, "left_anti").withColumns({n: e(plain) for n, e in exprs.items()})
-    hot = df.join(heavy, keys, "left_semi")
-    kind = dict(hot.dtypes)[order]
-    number = F.unix_micros(F.col(order).cast("timestamp")) if kind.startswith(("timestamp", "date")) else F.col(order)
-    numbered = ranked(hot.withColumn("_at", number), "_at", tie, keys, want=("row_number",))
+    chunk_rows = max(chunk_rows, back, ahead, 1)
+    kind = dict(df.dtypes)[order]
+    number = micros(order, kind == "timestamp") if kind.startswith(("timestamp", "date")) else F.col(order)
+    numbered = ranked(df.withColumn("_at", number), "_at", tie, keys, want=("row_number",))
     at = F.col("row_number") - 1
     chunk, offset = F.floor(at / chunk_rows), at % chunk_rows
     copies = F.array_compact(
@@ -59,12 +54,8 @@ def over_history(
     )
     spread = numbered.withColumn("_home", chunk).withColumn("_chunk", F.explode(copies))
     inside = Window.partitionBy(*keys, "_chunk").orderBy("row_number")
-    cut = (
-        spread.withColumns({n: e(inside) for n, e in exprs.items()})
-        .filter(F.col("_chunk") == F.col("_home"))
-        .select(*df.columns, *exprs)
-    )
-    return light.select(*df.columns, *exprs).unionByName(cut)
+    filled = spread.withColumns({n: e(inside) for n, e in exprs.items()})
+    return filled.filter(F.col("_chunk") == F.col("_home")).select(*df.columns, *exprs)
 
 
 def latest_n(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:

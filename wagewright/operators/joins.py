@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wagewright.operators.history import HEAVY_ROWS, heavy_keys
-from wagewright.operators.ordering import SLICE, TIE, with_slices
+from wagewright.operators.history import micros
+from wagewright.operators.ordering import PART, join_parts, with_slices
 from wagewright.session import settled
 
 
@@ -68,54 +68,44 @@ def asof_join(
     version_time: str,
     version_id: str,
     carry: list[str],
-    heavy_rows: int | None = None,
+    slices: int | None = None,
 ) -> DataFrame:
     """The version valid at each fact's time: the last one starting at or before it.
 
     Facts and versions are merged into one ordered stream per key, so a key with
     many facts and many versions never multiplies the two. Facts older than
-    every version get NULL. Very long keys are cut into slices and the last
-    version of the earlier slices is carried in.
+    every version get NULL. The stream is always cut into slices of time, whose
+    number is ``slices`` or the session's shuffle partitions, and the last
+    version of a key's earlier slices is carried in, so a hot key is spread.
+    Versions and facts without a time are no match and match none.
     """
-    def stamp(c: str) -> Column:
-        return F.unix_micros(F.col(c).cast("timestamp"))
-
+    zoned = "timestamp" in (dict(facts.dtypes)[fact_time], dict(versions.dtypes)[version_time])
     payload = F.struct(*[F.col(c) for c in carry])
     fact_cols = [c for c in facts.columns if c not in keys]
     old = versions.select(
-        *keys, stamp(version_time).alias("_at"), F.lit(0).alias("_kind"), F.col(version_id).cast("bigint").alias("_id"),
+        *keys, micros(version_time, zoned).alias("_at"), F.lit(0).alias("_kind"), F.col(version_id).cast("bigint").alias("_id"),
         payload.alias("_version"),
     )
     new = facts.select(
-        *keys, stamp(fact_time).alias("_at"), F.lit(1).alias("_kind"), F.col(fact_id).cast("bigint").alias("_id"),
+        *keys, micros(fact_time, zoned).alias("_at"), F.lit(1).alias("_kind"), F.col(fact_id).cast("bigint").alias("_id"),
         F.struct(*fact_cols).alias("_fact"),
     )
     both = old.unionByName(new, allowMissingColumns=True)
     order = ["_at", "_kind", "_id"]
 
-    def fill(df: DataFrame, *parts: str) -> DataFrame:
-        seen = F.last("_version", ignorenulls=True).over(
-            Window.partitionBy(*keys, *parts).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        )
-        return df.withColumn("_seen", seen)
-
-    def unpack(df: DataFrame) -> DataFrame:
-        return df.filter(F.col("_kind") == 1).select(
-            *keys, *[F.col("_fact")[c].alias(c) for c in fact_cols], *[F.col("_seen")[c].alias(c) for c in carry]
-        )
-
-    heavy = heavy_keys(both, keys, heavy_rows or HEAVY_ROWS)
-    if heavy.isEmpty():
-        return unpack(fill(both))
-    light = fill(both.join(heavy, keys, "left_anti"))
     # At one instant versions come first, in one slice; facts after them in any order, so a hash spreads them.
     spread = 1 + F.pmod(F.xxhash64("_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    hot = both.join(heavy, keys, "left_semi").withColumn("_rank_tie", F.when(F.col("_kind") == 0, F.lit(0.0)).otherwise(spread))
-    cut = fill(with_slices(hot, "_at", "_rank_tie"), SLICE, TIE)
-    last = cut.groupBy(*keys, SLICE, TIE).agg(
+    timed = both.filter(F.col("_at").isNotNull()).withColumn("_tie_at", F.when(F.col("_kind") == 0, F.lit(0.0)).otherwise(spread))
+    here = Window.partitionBy(*keys, *PART).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    cut = with_slices(timed, "_at", "_tie_at", slices=slices).withColumn("_seen", F.last("_version", ignorenulls=True).over(here))
+    last = cut.groupBy(*keys, *PART).agg(
         F.max(F.when(F.col("_version").isNotNull(), F.struct(*order, "_version"))).alias("_last")
     )
-    earlier = Window.partitionBy(*keys).orderBy(SLICE, TIE).rowsBetween(Window.unboundedPreceding, -1)
-    carried = last.select(*keys, SLICE, TIE, F.last("_last", ignorenulls=True).over(earlier)["_version"].alias("_carried"))
-    cut = cut.join(carried, [*keys, SLICE, TIE]).withColumn("_seen", F.coalesce("_seen", "_carried"))
-    return unpack(light.select(*both.columns, "_seen")).unionByName(unpack(cut.select(*both.columns, "_seen")))
+    earlier = Window.partitionBy(*keys).orderBy(*PART).rowsBetween(Window.unboundedPreceding, -1)
+    carried = last.select(*keys, *PART, F.last("_last", ignorenulls=True).over(earlier)["_version"].alias("_carried"))
+    seen = join_parts(cut, carried, list(keys)).withColumn("_seen", F.coalesce("_seen", "_carried"))
+    untimed = both.filter(F.col("_at").isNull()).withColumn("_seen", F.lit(None).cast(both.schema["_version"].dataType))
+    filled = seen.select(*both.columns, "_seen").unionByName(untimed)
+    return filled.filter(F.col("_kind") == 1).select(
+        *keys, *[F.col("_fact")[c].alias(c) for c in fact_cols], *[F.col("_seen")[c].alias(c) for c in carry]
+    )

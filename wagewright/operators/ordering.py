@@ -5,7 +5,9 @@ row depends only on its value, so every use of it agrees and a lost task can be
 rerun. Ranks are taken inside (group, slice) and shifted by the totals of the
 earlier slices, so neither one global ordering nor one large group has to pass
 through one task. A value that fills whole slices by itself (a hot tie) gets a
-slice of its own, cut further along the tie-break column.
+part of its own, cut further along the tie-break column. Slices are found on
+doubles, which keep the order of every numeric type; values that share a
+crowded double are told apart by their own type.
 """
 
 from __future__ import annotations
@@ -19,7 +21,8 @@ from pyspark.sql import functions as F
 from wagewright.functions.numeric import money
 from wagewright.session import parallelism
 
-SLICE, TIE, HOT, KEY = "_slice", "_tie", "_hot", "_key"
+SLICE, EXACT, TIE, HOT, KEY = "_slice", "_exact", "_tie", "_hot", "_key"
+PART = [SLICE, EXACT, TIE]
 
 
 def _bucketed(df: DataFrame, col: str, cuts: list[float], out: str) -> DataFrame:
@@ -37,19 +40,24 @@ def _quantiles(df: DataFrame, col: str, slices: int) -> list[float]:
 def with_slices(
     df: DataFrame, value: str, tie: str, descending: bool = False, slices: int | None = None
 ) -> DataFrame:
-    """Add slice columns that grow with (value, tie); value and tie are numeric, not null."""
+    """Add the columns PART, which grow with (value, tie); value and tie are numeric, not null.
+
+    ``EXACT`` is the value itself where its double is crowded (``HOT``), else null: such a part
+    holds one value, and only there ``TIE`` cuts further. A descending value has descending EXACT.
+    """
     slices = slices or parallelism(df.sparkSession)
     key = F.col(value).cast("double")
     keyed = df.withColumn(KEY, -key if descending else key)
     found = _quantiles(keyed.select(KEY), KEY, slices)
-    hot = sorted({a for a, b in zip(found, found[1:]) if a == b})
-    # One slice holds exactly the hot value: [hot, next double above it).
-    cuts = sorted({*found, *(math.nextafter(h, math.inf) for h in hot)})
+    crowded = sorted({a for a, b in zip(found, found[1:]) if a == b})
+    # One slice holds exactly the crowded double: [c, next double above it).
+    cuts = sorted({*found, *(math.nextafter(c, math.inf) for c in crowded)})
     out = _bucketed(keyed, KEY, cuts, SLICE)
-    if not hot:
-        return out.withColumn(HOT, F.lit(False)).withColumn(TIE, F.lit(0.0)).drop(KEY)
-    is_hot = F.col(KEY).isin(hot)
-    out = out.withColumn(HOT, is_hot).withColumn("_tie_key", F.col(tie).cast("double"))
+    kind = df.schema[value].dataType
+    if not crowded:
+        return out.withColumns({HOT: F.lit(False), EXACT: F.lit(None).cast(kind), TIE: F.lit(0.0)}).drop(KEY)
+    is_hot = F.col(KEY).isin(crowded)
+    out = out.withColumn(HOT, is_hot).withColumn(EXACT, F.when(is_hot, F.col(value))).withColumn("_tie_key", F.col(tie).cast("double"))
     ties = sorted(set(_quantiles(out.filter(HOT).select("_tie_key"), "_tie_key", slices)))
     out = _bucketed(out, "_tie_key", ties, "_tie_all")
     return out.withColumn(TIE, F.when(F.col(HOT), F.col("_tie_all")).otherwise(F.lit(0.0))).drop("_tie_key", "_tie_all", KEY)
@@ -77,25 +85,26 @@ def ranked(
     by = list(by or [])
     cut = with_slices(df, value, tie, descending, slices)
     order = F.col(value).desc() if descending else F.col(value).asc()
-    here = Window.partitionBy(*by, SLICE, TIE)
+    here = Window.partitionBy(*by, *PART)
     rows = here.orderBy(order, F.col(tie).asc())
     values = here.orderBy(order)
+    exact = F.col(EXACT).desc() if descending else F.col(EXACT).asc()
 
     sums = [F.count("*").alias("_rows")]
     if running:
         sums.append(F.sum(money(running)).alias("_sum"))
-    parts = cut.groupBy(*by, SLICE, TIE).agg(*sums)
-    # At most slices * 2 rows per group: the ordering below is over totals, not rows.
-    before = Window.partitionBy(*by).orderBy(SLICE, TIE).rowsBetween(Window.unboundedPreceding, -1)
-    before_value = Window.partitionBy(*by).orderBy(SLICE).rangeBetween(Window.unboundedPreceding, -1)
+    parts = cut.groupBy(*by, *PART).agg(*sums)
+    # A few rows per slice and group: the ordering below is over totals, not rows.
+    before = Window.partitionBy(*by).orderBy(SLICE, exact, TIE).rowsBetween(Window.unboundedPreceding, -1)
     shifts = [
         F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
-        F.coalesce(F.sum("_rows").over(before_value), F.lit(0)).alias("_before_value"),
         F.sum("_rows").over(Window.partitionBy(*by)).alias("group_rows"),
     ]
     if running:
         shifts.append(F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_sum_before"))
-    shift = parts.select(*by, SLICE, TIE, *shifts)
+    shift = parts.select(*by, *PART, *shifts)
+    if "rank" in want:
+        shift = shift.withColumn("_before_value", F.min("_before").over(Window.partitionBy(*by, SLICE, EXACT)))
 
     local: dict[str, Column] = {"_row": F.row_number().over(rows)}
     if "rank" in want:
@@ -104,20 +113,19 @@ def ranked(
         local["_dense"] = F.dense_rank().over(values)
     if running:
         local["_run"] = F.sum(money(running)).over(rows.rowsBetween(Window.unboundedPreceding, 0))
-    out = _join(cut.withColumns(local), shift, by)
+    out = join_parts(cut.withColumns(local), shift, by)
 
     result: dict[str, Column] = {"row_number": F.col("_before") + F.col("_row")}
     if "rank" in want:
-        # Inside a hot slice all values are equal, whatever the tie slice.
+        # Inside a hot part all values are equal, whatever the tie slice.
         result["rank"] = F.when(F.col(HOT), F.col("_before_value") + 1).otherwise(F.col("_before") + F.col("_rank"))
     if running:
         result["running_total"] = (F.col("_sum_before") + F.col("_run")).cast("decimal(28,2)")
     if "dense_rank" in want:
-        distinct = cut.select(*by, SLICE, value).distinct().groupBy(*by, SLICE).agg(F.count("*").alias("_values"))
-        below = distinct.select(
-            *by, F.col(SLICE), F.coalesce(F.sum("_values").over(before_value), F.lit(0)).alias("_values_before")
-        )
-        out = _join(out, below, by, [SLICE])
+        distinct = cut.select(*by, SLICE, EXACT, value).distinct().groupBy(*by, SLICE, EXACT).agg(F.count("*").alias("_values"))
+        lower = Window.partitionBy(*by).orderBy(SLICE, exact).rowsBetween(Window.unboundedPreceding, -1)
+        below = distinct.select(*by, SLICE, EXACT, F.coalesce(F.sum("_values").over(lower), F.lit(0)).alias("_values_before"))
+        out = join_parts(out, below, by, [SLICE, EXACT])
         result["dense_rank"] = F.when(F.col(HOT), F.col("_values_before") + 1).otherwise(F.col("_values_before") + F.col("_dense"))
     keep = [c for c in ("row_number", "rank", "dense_rank", "group_rows") if c in want]
     keep += ["running_total"] if running else []
@@ -125,13 +133,13 @@ def ranked(
     return out.select(*[F.col(c) for c in df.columns], *keep)
 
 
-def _join(left: DataFrame, right: DataFrame, by: list[str], extra: list[str] | None = None) -> DataFrame:
-    """Join on the group and slice columns, NULL groups included."""
-    keys = by + (extra or [SLICE, TIE])
+def join_parts(left: DataFrame, right: DataFrame, by: list[str], parts: list[str] | None = None) -> DataFrame:
+    """Join on the group and part columns; a null group or EXACT equals a null one."""
+    keys = by + (parts or PART)
     renamed = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
     cond = None
     for k in keys:
-        one = left[k].eqNullSafe(renamed[f"_r_{k}"]) if k in by else left[k] == renamed[f"_r_{k}"]
+        one = left[k] == renamed[f"_r_{k}"] if k in (SLICE, TIE) else left[k].eqNullSafe(renamed[f"_r_{k}"])
         cond = one if cond is None else cond & one
     return left.join(renamed, cond).drop(*[f"_r_{k}" for k in keys])
 
