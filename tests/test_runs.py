@@ -92,7 +92,7 @@ def test_streams_read_a_folder_of_part_files(spark):
 def test_late_rows_change_nothing(spark):
     landing, out, check = folder() + "/in", folder() + "/out", folder() + "/check"
     events = table(spark, SF, "events")
-    small = jobs.small_state(spark, 2)
+    small = jobs.stream_session(spark, 2)
     counts = []
     for batch in (events.filter("ts < '2024-01-16'"), events.filter("ts >= '2024-01-16'"), events.filter("ts < '2024-01-03'"), None):
         if batch is not None:

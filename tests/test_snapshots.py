@@ -1,18 +1,8 @@
-import tempfile
-
-import pytest
 from pyspark.sql import functions as F
 
+from wagewright.operators import snapshots as snap
 from wagewright.operators.loading import insert_ignore, upsert
-from wagewright.operators.snapshots import SnapshotTable, changes
-
-
-@pytest.fixture
-def table(spark):
-    t = SnapshotTable(spark, tempfile.mkdtemp(prefix="run-"), "id")
-    t.write(rows(spark, [(1, "a", 1.0), (2, "b", 2.0)]), at="2026-01-01T00:00:00")
-    t.write(rows(spark, [(3, "c", 3.0)]), at="2026-01-02T00:00:00")
-    return t
+from wagewright.operators.snapshots import changes
 
 
 def rows(spark, data):
@@ -20,62 +10,72 @@ def rows(spark, data):
 
 
 def content(df):
-    return sorted(tuple(r) for r in df.collect())
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def base(spark):
+    return rows(spark, [(1, "a", 1.0), (2, "b", 2.0), (3, "c", 3.0), (4, None, None)])
 
 
-def test_only_touched_folders_are_rewritten(table):
-    before = [p["folder"] for p in table._entry()["parts"]]
-    assert table.update("id = 3", {"v": F.col("v") * 10}) == 1
-    after = [p["folder"] for p in table._entry()["parts"]]
-    assert after[0] == before[0] and after[1] != before[1]
-    assert content(table.read()) == [(1, "a", 1.0), (2, "b", 2.0), (3, "c", 30.0)]
-    assert content(table.read(version=1))[2] == (3, "c", 3.0)
+def counts(changed):
+    return tuple(snap.tally(changed, "id").first())
 
 
-def test_delete_ignores_null_predicate(spark, table):
-    table.write(rows(spark, [(4, None, None)]))
-    assert table.delete("v > 1.5") == 2
-    assert [r[0] for r in content(table.read().select("id"))] == [1, 4]
+def test_update_in_the_columns_own_type(spark):
+    got = snap.update(base(spark), "v > 1.5", {"v": F.col("v") * 10, "s": F.col("id")})
+    assert content(snap.state(got)) == [(1, "a", 1.0), (2, "2", 20.0), (3, "3", 30.0), (4, None, None)]
+    assert counts(got) == (4, 2, 2, True)
 
 
-def test_merge_keeps_missing_columns(spark, table):
-    source = spark.createDataFrame([(2, 20.0), (2, 21.0), (9, 9.0)], "id bigint, v double")
-    out = table.merge(source, [F.col("v").desc()])
-    assert (out["updated"], out["inserted"]) == (1, 1)
-    assert sorted(map(tuple, table.read().select("id", "s", "v").fillna({"s": "-"}).collect())) == [(1, "a", 1.0), (2, "b", 21.0), (3, "c", 3.0), (9, "-", 9.0)]
-    assert table.merge(source, [F.col("v").desc()], update=False, insert=False)["updated"] == 0
+def test_update_decides_on_the_old_values(spark):
+    got = snap.state(snap.update(base(spark), "v < 2.5", {"v": F.lit(9.0), "s": F.when(F.col("v") < 2.5, "x").otherwise("y")}))
+    assert content(got)[:2] == [(1, "x", 9.0), (2, "x", 9.0)]
+
+
+def test_delete_ignores_null_predicate(spark):
+    got = snap.delete(base(spark), "v > 1.5")
+    assert [r[0] for r in content(snap.state(got))] == [1, 4]
+    assert counts(got) == (2, 0, 2, True)
+
+
+def test_merge_keeps_columns_the_source_lacks(spark):
+    source = spark.createDataFrame([(2, 20.0, "u"), (2, 21.0, "w"), (9, 9.0, "n"), (None, 5.0, "z")], "id bigint, v double, extra string")
+    target = base(spark).unionByName(rows(spark, [(None, "n", 0.0)]))
+    order = [F.col("v").desc()]
+    got = snap.merge(target, source, "id", order)
+    assert content(snap.state(got)) == content(rows(spark, [(1, "a", 1.0), (2, "b", 21.0), (3, "c", 3.0), (4, None, None), (9, None, 9.0), (None, "n", 0.0), (None, None, 5.0)]))
+    assert counts(got) == (7, 3, 1, False)
+    assert content(snap.state(snap.merge(target, source, "id", order, missing=False))) == content(rows(spark, [(1, "a", 1.0), (2, "b", 21.0), (3, "c", 3.0), (4, None, None), (None, "n", 0.0)]))
+    assert counts(snap.merge(target, source, "id", order, matched=False, missing=False)) == (5, 0, 0, False)
 
 
-def test_travel_rollback_and_expiry(table):
-    table.delete("id = 1", at="2026-01-03T00:00:00")
-    assert table.read(timestamp="2026-01-01 10:00:00").count() == 2 and table.read(timestamp="2026-01-02 10:00:00").count() == 3
-    table.rollback(0, at="2026-01-04T00:00:00")
-    assert content(table.read()) == content(table.read(version=0))
-    assert [r["version"] for r in table.expirable("2026-01-03").orderBy("version").collect()] == [0, 1]
-    assert [r["operation"] for r in table.history().orderBy("version").collect()] == ["WRITE", "WRITE", "DELETE", "ROLLBACK"]
-    with pytest.raises(ValueError):
-        table.read(timestamp="2020-01-01")
+def test_merge_with_a_null_in_the_source_sets_null(spark):
+    source = rows(spark, [(1, None, 7.0)])
+    assert content(snap.state(snap.merge(base(spark), source, "id", [F.col("v")])))[0] == (1, None, 7.0)
 
 
-def test_added_column(spark, table):
-    table.add_column("bonus", "double", "5")
-    table.write(rows(spark, [(7, "z", 7.0)]).withColumn("bonus", F.lit(None).cast("double")))
-    got = {r["id"]: r["bonus"] for r in table.read().collect()}
-    assert got == {1: 5.0, 2: 5.0, 3: 5.0, 7: None}
-    table.update("id = 1", {"bonus": F.lit(1.0)})
-    assert {r["id"]: r["bonus"] for r in table.read().collect()} == {1: 1.0, 2: 5.0, 3: 5.0, 7: None}
+def test_append_widens_and_defaults_hold_for_old_rows(spark):
+    old = snap.state(snap.add_column(base(spark), "bonus", "double", "5"))
+    assert snap.state(snap.add_column(old, "bonus", "double", "6")).agg(F.sum("bonus")).first()[0] == 20.0
+    got = snap.append(old, rows(spark, [(7, "z", 7.0)]).withColumn("note", F.lit("late")))
+    assert {r["id"]: (r["bonus"], r["note"]) for r in snap.state(got).filter("id IN (1, 7)").collect()} == {1: (5.0, None), 7: (None, "late")}
+    assert counts(got) == (5, 1, 0, True)
 
 
-def test_two_writers_cannot_commit_one_version(spark, table):
-    entry = table._entry()
-    table.write(rows(spark, [(8, "x", 8.0)]))
-    with pytest.raises(Exception):
-        table._commit("WRITE", entry, [], 0, 0, 0, table.read().schema)
+def test_empty_table(spark):
+    none = base(spark).limit(0)
+    assert counts(snap.delete(none, "v > 1")) == (0, 0, 0, True)
+    assert counts(snap.merge(none, base(spark), "id", [F.col("v")])) == (4, 4, 0, True)
 
 
-def test_overwrite(spark, table):
-    table.write(rows(spark, [(5, "e", 5.0)]), mode="overwrite")
-    assert content(table.read()) == [(5, "e", 5.0)]
+def test_state_at_an_instant_in_any_zone(spark):
+    held = spark.sql("""SELECT id, CAST(f AS timestamp_ntz) AS valid_from, CAST(t AS timestamp_ntz) AS valid_to FROM VALUES
+        (1, '2026-01-01', '2026-01-03'), (2, '2026-01-02', NULL), (3, '2026-01-02 10:00:00', '2026-01-02 11:00:00') AS x(id, f, t)""")
+    own = spark.newSession()
+    for zone in ("UTC", "Asia/Kolkata"):
+        own.conf.set("spark.sql.session.timeZone", zone)
+        for at, ids in {"2025-12-31": [], "2026-01-01": [1], "2026-01-02 10:00:00": [1, 2, 3], "2026-01-02 11:00:00": [1, 2], "2026-01-03": [2]}.items():
+            assert sorted(r["id"] for r in snap.valid_at(held, at).collect()) == ids
 
 
 def test_change_capture(spark):

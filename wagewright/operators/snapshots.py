@@ -1,239 +1,96 @@
-"""Versioned tables: Parquet folders plus a small commit log, all written by Spark.
+"""Changes to a keyed table as plain jobs: append, update, delete, merge, diff, and reading an earlier state.
 
-A version is a list of data folders. An append adds one folder; an update,
-delete or merge rewrites only the folders that hold touched rows; adding a
-column or rolling back writes a log entry and no data. The driver sees one log
-row per commit and never a data row.
+A change takes a frame and returns it with the column ``CHANGE``, which says
+what happened to each row. The caller writes that once (``session.settled``);
+``state`` is the table after the change and ``tally`` counts the change.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
-from dataclasses import dataclass
-from datetime import datetime, timezone
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from wagewright.operators.joins import first_per_key
 
-LOG_SCHEMA = (
-    "version bigint, operation string, committed_at timestamp, rows bigint, added bigint, removed bigint, "
-    "keys_complete boolean, checksum bigint, schema string, parts array<struct<folder: string, fills: map<string, string>>>"
-)
-
-
-@dataclass(frozen=True)
-class Written:
-    folder: str
-    rows: int
-    checksum: int
-    keys_complete: bool
-
-
-class SnapshotTable:
-    def __init__(self, spark: SparkSession, root: str, key: str):
-        self.spark, self.root, self.key = spark, root, key
-
-    # -- log ------------------------------------------------------------------
-    def log(self) -> DataFrame:
-        return self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.root}/log/*")
-
-    def _entry(self, version: int | None = None):
-        try:
-            log = self.log()
-        except Exception as e:  # no commit yet
-            if "PATH_NOT_FOUND" in str(e):
-                return None
-            raise
-        wanted = log if version is None else log.filter(F.col("version") == version)
-        return wanted.orderBy(F.col("version").desc()).first()
-
-    def _commit(self, operation, last, parts, rows, added, removed, schema, written=(), at=None) -> int:
-        version = 0 if last is None else last["version"] + 1
-        when = datetime.fromisoformat(at).replace(tzinfo=timezone.utc) if at else datetime.now(timezone.utc)
-        check = reduce(lambda a, b: a ^ b, [w.checksum for w in written], 0)
-        row = (version, operation, when, rows, added, removed, all(w.keys_complete for w in written), check, schema.json(), parts)
-        # A second writer of the same version fails here: the folder exists.
-        self.spark.createDataFrame([row], LOG_SCHEMA).coalesce(1).write.mode("error").parquet(f"{self.root}/log/version={version}")
-        return version
-
-    def _store(self, df: DataFrame) -> Written:
-        """Write one data folder; counts and checksum are observed in the same pass."""
-        folder = f"data/{uuid.uuid4().hex}"
-        seen = Observation()
-        hashed = F.coalesce(F.bit_xor(F.xxhash64(*[F.col(c) for c in df.columns])), F.lit(0))
-        whole = F.coalesce(F.bool_and(F.col(self.key).isNotNull()), F.lit(True))
-        df.observe(seen, F.count(F.lit(1)).alias("n"), hashed.alias("h"), whole.alias("k")).write.parquet(f"{self.root}/{folder}")
-        return Written(folder, seen.get["n"], seen.get["h"], seen.get["k"])
-
-    # -- reading ----------------------------------------------------------------
-    def _scan(self, folders: list[str], schema: T.StructType, tag: bool) -> DataFrame:
-        df = self.spark.read.schema(schema).parquet(*[f"{self.root}/{f}" for f in folders])
-        if not tag:
-            return df
-        return df.select("*", F.regexp_extract(F.col("_metadata.file_path"), "(data/[0-9a-f]{32})/", 1).alias("_folder"))
-
-    def _part(self, part, schema: T.StructType, tag: bool = False) -> DataFrame:
-        df = self._scan([part["folder"]], schema, tag)
-        for name, value in (part["fills"] or {}).items():
-            df = df.withColumn(name, F.coalesce(F.col(name), F.lit(value).cast(schema[name].dataType)))
-        return df
-
-    def _parts(self, entry, tag: bool = False) -> DataFrame:
-        schema = _schema(entry)
-        if not entry["parts"]:
-            return self.spark.createDataFrame([], schema)
-        # Folders without column defaults, usually all, are one scan.
-        plain = [p["folder"] for p in entry["parts"] if not p["fills"]]
-        frames = [self._scan(plain, schema, tag)] if plain else []
-        frames += [self._part(p, schema, tag) for p in entry["parts"] if p["fills"]]
-        return reduce(DataFrame.unionByName, frames)
-
-    def read(self, version: int | None = None, timestamp: str | None = None) -> DataFrame:
-        """The current rows, those of a version, or those of the last commit at or before a time."""
-        if timestamp is not None:
-            at = self.log().filter(F.col("committed_at") <= F.lit(timestamp).cast("timestamp"))
-            version = at.agg(F.max("version")).first()[0]
-            if version is None:
-                raise ValueError(f"no version at {timestamp}")
-        entry = self._entry(version)
-        if entry is None:
-            raise ValueError(f"no version {version}")
-        return self._parts(entry)
-
-    def history(self) -> DataFrame:
-        return self.log().select("version", "operation", "committed_at", "rows", "added", "removed", "keys_complete", "checksum")
-
-    def detail(self) -> DataFrame:
-        last = self._entry()
-        return self.log().filter(F.col("version") == last["version"]).select(
-            F.lit(self.root).alias("location"), F.col("version").alias("current_version"), F.col("rows").alias("current_rows"),
-            F.size("parts").alias("folders"), "schema",
-        )
-
-    def expirable(self, before: str) -> DataFrame:
-        """Versions older than a time that are not the current one."""
-        last = self._entry()["version"]
-        old = F.col("committed_at") < F.lit(before).cast("timestamp")
-        return self.log().filter(old & (F.col("version") != last)).select("version", "committed_at", "rows")
-
-    # -- writing ----------------------------------------------------------------
-    def write(self, df: DataFrame, mode: str = "append", at: str | None = None) -> int:
-        """Append or overwrite; the schema grows to the union of the columns."""
-        last = self._entry()
-        new = self._store(df)
-        schema = df.schema
-        if last is not None:
-            known = _schema(last)
-            schema = T.StructType(known.fields + [f for f in df.schema.fields if f.name not in known.fieldNames()])
-        schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
-        keep = [] if last is None or mode == "overwrite" else _plain(last["parts"])
-        old_rows = 0 if last is None else last["rows"]
-        removed = old_rows if mode == "overwrite" else 0
-        rows = new.rows + (0 if mode == "overwrite" else old_rows)
-        return self._commit("WRITE", last, keep + [(new.folder, {})], rows, new.rows, removed, schema, [new], at)
-
-    def _rewrite(self, last, touched: dict[str, int], change) -> tuple[list, list[Written], T.StructType]:
-        """New parts with the touched folders replaced by ``change`` of their rows."""
-        schema = _schema(last)
-        parts, written = [], []
-        for part in last["parts"]:
-            if part["folder"] in touched:
-                new = self._store(change(self._part(part, schema)))
-                written.append(new)
-                parts.append((new.folder, {}))
-            else:
-                parts += _plain([part])
-        return parts, written, schema
-
-    def _touched(self, rows: DataFrame) -> dict[str, int]:
-        """Matching rows per folder: one entry per data folder of the version."""
-        return {r["_folder"]: r["n"] for r in rows.groupBy("_folder").agg(F.count("*").alias("n")).collect()}
-
-    def update(self, where: Column | str, changes: dict[str, Column], at: str | None = None) -> int:
-        """Change matching rows; returns how many matched."""
-        where = F.expr(where) if isinstance(where, str) else where
-        last = self._entry()
-        touched = self._touched(self._parts(last, tag=True).filter(where))
-        hit = F.coalesce(where, F.lit(False))
-
-        def change(df: DataFrame) -> DataFrame:
-            kinds = dict(df.dtypes)
-            return df.withColumns({c: F.when(hit, v).otherwise(F.col(c)).cast(kinds[c]) for c, v in changes.items()})
-
-        parts, written, schema = self._rewrite(last, touched, change)
-        n = sum(touched.values())
-        self._commit("UPDATE", last, parts, last["rows"], n, n, schema, written, at)
-        return n
-
-    def delete(self, where: Column | str, at: str | None = None) -> int:
-        """Remove matching rows; returns how many matched. NULL does not match."""
-        where = F.expr(where) if isinstance(where, str) else where
-        last = self._entry()
-        touched = self._touched(self._parts(last, tag=True).filter(where))
-        keep = ~F.coalesce(where, F.lit(False))
-        parts, written, schema = self._rewrite(last, touched, lambda df: df.filter(keep))
-        n = sum(touched.values())
-        self._commit("DELETE", last, parts, last["rows"] - n, 0, n, schema, written, at)
-        return n
-
-    def merge(self, source: DataFrame, order: list[Column], update: bool = True, insert: bool = True, at: str | None = None) -> dict:
-        """Upsert on the key. Matched rows keep the columns the source lacks."""
-        key, last = self.key, self._entry()
-        unique = first_per_key(source, [key], order)
-        keys = unique.select(key)
-        target = self._parts(last, tag=True)
-        touched = self._touched(target.join(keys, key, "left_semi").select("_folder")) if update else {}
-        shared = [c for c in unique.columns if c != key and c in target.columns]
-
-        def change(df: DataFrame) -> DataFrame:
-            src = unique.select(key, F.struct(*shared).alias("_src"), F.lit(True).alias("_hit"))
-            joined = df.join(src, key, "left")
-            picked = {c: F.when(F.col("_hit"), F.col("_src")[c]).otherwise(F.col(c)) for c in shared}
-            return joined.withColumns(picked).select(*df.columns)
-
-        parts, written, schema = self._rewrite(last, touched, change)
-        inserted = 0
-        if insert:
-            fresh = self._store(unique.join(target.select(key), key, "left_anti").select(*[c for c in schema.fieldNames() if c in unique.columns]))
-            inserted = fresh.rows
-            if inserted:
-                written.append(fresh)
-                parts.append((fresh.folder, {}))
-        updated = sum(touched.values())
-        version = self._commit("MERGE", last, parts, last["rows"] + inserted, updated + inserted, updated, schema, written, at)
-        return {"version": version, "updated": updated, "inserted": inserted}
-
-    def add_column(self, name: str, kind: str, default: str | None = None, at: str | None = None) -> int:
-        """Schema change only: rows written before read the default, later ones their own value."""
-        last = self._entry()
-        schema = _schema(last)
-        parts = _plain(last["parts"])
-        if name not in schema.fieldNames():
-            schema = schema.add(name, T.DataType.fromDDL(kind), True)
-            if default is not None:
-                parts = [(folder, {**fills, name: default}) for folder, fills in parts]
-        return self._commit("SCHEMA_CHANGE", last, parts, last["rows"], 0, 0, schema, at=at)
-
-    def rollback(self, version: int, at: str | None = None) -> int:
-        """Make an older version current again by a commit that points at its folders."""
-        last, old = self._entry(), self._entry(version)
-        if old is None:
-            raise ValueError(f"no version {version}")
-        schema = _schema(old)
-        return self._commit("ROLLBACK", last, _plain(old["parts"]), old["rows"], 0, 0, schema, at=at)
-
-
-def _schema(entry) -> T.StructType:
-    return T.StructType.fromJson(json.loads(entry["schema"]))
-
-
-def _plain(parts) -> list[tuple[str, dict]]:
-    return [(p["folder"], dict(p["fills"] or {})) for p in parts]
+CHANGE = "_change"
+KEPT, UPDATED, INSERTED, DELETED = "kept", "updated", "inserted", "deleted"
+
+
+def _tagged(df: DataFrame, tag: str | Column) -> DataFrame:
+    return df.withColumn(CHANGE, F.lit(tag) if isinstance(tag, str) else tag)
+
+
+def _met(where: Column | str) -> Column:
+    """A predicate that is null isn't met."""
+    return F.coalesce(F.expr(where) if isinstance(where, str) else where, F.lit(False))
+
+
+def append(target: DataFrame | None, new: DataFrame) -> DataFrame:
+    """New rows after the old ones; the schema grows to the union of the columns."""
+    fresh = _tagged(new, INSERTED)
+    return fresh if target is None else _tagged(target, KEPT).unionByName(fresh, allowMissingColumns=True)
+
+
+def update(target: DataFrame, where: Column | str, values: dict[str, Column]) -> DataFrame:
+    """Rows that meet the predicate take the values, in the columns' own types."""
+    hit, kinds = _met(where), dict(target.dtypes)
+    changed = {c: F.when(F.col(CHANGE) == UPDATED, v.cast(kinds[c])).otherwise(F.col(c)) for c, v in values.items()}
+    return _tagged(target, F.when(hit, UPDATED).otherwise(KEPT)).withColumns(changed)
+
+
+def delete(target: DataFrame, where: Column | str) -> DataFrame:
+    return _tagged(target, F.when(_met(where), DELETED).otherwise(KEPT))
+
+
+def merge(target: DataFrame, source: DataFrame, key: str, order: list[Column], matched: bool = True, missing: bool = True) -> DataFrame:
+    """Upsert by one join on the key; of several source rows of a key the first in ``order`` counts.
+
+    Matched rows keep the columns the source lacks, inserted rows get null
+    there, and columns only the source has are left out. A null key never matches.
+    """
+    shared = [c for c in target.columns if c != key and c in source.columns]
+    old = target.select(F.col(key), F.struct(*target.columns).alias("_old"))
+    new = first_per_key(source, [key], order).select(F.col(key), F.struct(key, *shared).alias("_new"))
+    both = old.join(new, key, "full")
+    had, has = F.col("_old").isNotNull(), F.col("_new").isNotNull()
+    tag = F.when(~had, INSERTED).when(has & F.lit(matched), UPDATED).otherwise(KEPT)
+    both = _tagged(both, tag)
+    rows = both if missing else both.filter(F.col(CHANGE) != INSERTED)
+    taken = F.col(CHANGE).isin(UPDATED, INSERTED)
+    kinds = dict(target.dtypes)
+    picked = [
+        F.when(taken, F.col("_new")[c].cast(kinds[c])).otherwise(F.col("_old")[c]).alias(c) if c in shared or c == key else F.col("_old")[c].alias(c)
+        for c in target.columns
+    ]
+    return rows.select(*picked, CHANGE)
+
+
+def add_column(target: DataFrame, name: str, kind: str, default: str | None = None) -> DataFrame:
+    """Rows so far read the default; a column that exists is left as it is."""
+    return _tagged(target if name in target.columns else target.withColumn(name, F.lit(default).cast(kind)), KEPT)
+
+
+def state(changed: DataFrame) -> DataFrame:
+    """The table after a change."""
+    return changed.filter(F.col(CHANGE) != DELETED).drop(CHANGE)
+
+
+def tally(changed: DataFrame, key: str) -> DataFrame:
+    """One row: rows after the change, rows added and removed (an update does both), whether every key is set."""
+    def times(*tags: str) -> Column:
+        return F.count_if(F.col(CHANGE).isin(*tags))
+
+    whole = F.bool_and(F.col(key).isNotNull() | (F.col(CHANGE) == DELETED))
+    return changed.agg(
+        times(KEPT, UPDATED, INSERTED).alias("rows"), times(UPDATED, INSERTED).alias("added"),
+        times(UPDATED, DELETED).alias("removed"), F.coalesce(whole, F.lit(True)).alias("keys_complete"),
+    )
+
+
+def valid_at(history: DataFrame, at: Column | str, start: str = "valid_from", end: str = "valid_to") -> DataFrame:
+    """Rows of a dated table that held at an instant: from ``start`` on, before ``end``; a null end is open."""
+    at = F.lit(at).cast("timestamp_ntz") if isinstance(at, str) else at
+    return history.filter((F.col(start) <= at) & (F.col(end).isNull() | (F.col(end) > at)))
 
 
 def changes(old: DataFrame, new: DataFrame, key: str, tracked: list[str], table_name: str) -> DataFrame:

@@ -71,12 +71,12 @@ def ingest_multi_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The wide payroll extract, the side extracts and a folder of CSV datasets."""
     root = scratch(spark, "landing")
     folder = {
-        "departments": table(spark, sf_dir, "nation").select(F.col("n_name").alias("name")),
-        "suppliers": table(spark, sf_dir, "supplier").select(F.col("s_name").alias("name")),
+        "departments": table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("code"), F.col("n_name").alias("name")),
+        "suppliers": table(spark, sf_dir, "supplier").select(F.col("s_name").alias("name"), F.col("s_acctbal").alias("balance")),
     }
     for stem, df in folder.items():
         write_csv(df, f"{root}/{stem}.csv")
-    landed = read_csv_folder(spark, root, ["name"]).select(F.concat(F.lit("csv:"), "dataset").alias("source"))
+    landed = read_csv_folder(spark, root, ["name"]).filter("name <> ''").select(F.concat(F.lit("csv:"), "dataset").alias("source"))
     extracts = {
         "payroll": roles.wide_payroll(spark, sf_dir).filter("status = 'Paid'"),
         "attendance": roles.attendance(spark, sf_dir),

@@ -1,4 +1,4 @@
-"""Versioned tables, merges, time travel and change capture."""
+"""Updates, deletes, merges, earlier states and change capture."""
 
 from __future__ import annotations
 
@@ -7,9 +7,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wagewright.operators.snapshots import SnapshotTable, changes
+from wagewright.operators import snapshots as snap
 from wagewright.registry import query
-from wagewright.session import scratch
+from wagewright.session import settled
 from wagewright.sources import roles
 
 COLS = ["payroll_id", "emp_id", "period", "gross", "status"]
@@ -21,30 +21,18 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return roles.payroll_headers(spark, sf_dir).select(*COLS, "priority", "pay_year")
 
 
-def loaded(spark: SparkSession, sf_dir: str) -> SnapshotTable:
-    """Version 0 holds the records before 1997, version 1 adds the others."""
-    rows = records(spark, sf_dir)
-    t = SnapshotTable(spark, scratch(spark, "snapshots"), "payroll_id")
-    t.write(rows.filter("pay_year < 1997"), at="2024-01-01T00:00:00")
-    t.write(rows.filter("pay_year >= 1997"), at="2024-01-02T00:00:00")
-    return t
-
-
 UPDATED = "(SELECT * REPLACE (CASE WHEN status='Draft' AND priority='1-URGENT' AND pay_year<1997 THEN 'Approved' ELSE status END AS status) FROM " + BASE + ")"
 
 
 @query("snapshot_update", OUT, f"SELECT {', '.join(COLS)} FROM {UPDATED}")
 def snapshot_update(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = loaded(spark, sf_dir)
-    t.update("status = 'Draft' AND priority = '1-URGENT' AND pay_year < 1997", {"status": F.lit("Approved")})
-    return t.read()
+    where = "status = 'Draft' AND priority = '1-URGENT' AND pay_year < 1997"
+    return snap.state(snap.update(records(spark, sf_dir), where, {"status": F.lit("Approved")}))
 
 
 @query("snapshot_delete", OUT, f"SELECT {', '.join(COLS)} FROM {BASE} WHERE NOT (gross<5000)")
 def snapshot_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = loaded(spark, sf_dir)
-    t.delete("gross < 5000")
-    return t.read()
+    return snap.state(snap.delete(records(spark, sf_dir), "gross < 5000"))
 
 
 def merge_source(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,25 +45,29 @@ def merge_source(spark: SparkSession, sf_dir: str) -> DataFrame:
        f"""SELECT payroll_id, emp_id, period, CASE WHEN hit THEN gross*2 ELSE gross END AS gross, CASE WHEN hit THEN 'Revised' ELSE status END AS status, CASE WHEN pay_year<2000 THEN priority END AS priority
            FROM (SELECT *, (status='Approved' AND pay_year=1996) OR pay_year>=2000 AS hit FROM {BASE})""")
 def merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = SnapshotTable(spark, scratch(spark, "merge"), "payroll_id")
-    t.write(records(spark, sf_dir).filter("pay_year < 2000"))
-    t.merge(merge_source(spark, sf_dir), [F.col("gross").desc()])
-    return t.read()
+    target = records(spark, sf_dir).filter("pay_year < 2000")
+    return snap.state(snap.merge(target, merge_source(spark, sf_dir), "payroll_id", [F.col("gross").desc()]))
 
 
 @query("time_travel_read", "label:s records:l gross:d",
        f"""SELECT 'version 0' AS label, count(*) AS records, sum(gross) AS gross FROM {BASE} WHERE pay_year<1997 UNION ALL SELECT 'version 1', count(*), sum(gross) FROM {BASE} UNION ALL
            SELECT 'version 2', count(*), sum(gross) FROM {BASE} WHERE gross>=5000 UNION ALL SELECT 'on 2024-01-02', count(*), sum(gross) FROM {BASE} UNION ALL SELECT 'after rollback', count(*), sum(gross) FROM {BASE} WHERE pay_year<1997""")
 def time_travel_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = loaded(spark, sf_dir)
-    t.delete("gross < 5000", at="2024-01-03T00:00:00")
-    t.rollback(0, at="2024-01-04T00:00:00")
-    views = {
-        "version 0": t.read(version=0), "version 1": t.read(version=1), "version 2": t.read(version=2),
-        "on 2024-01-02": t.read(timestamp="2024-01-02 12:00:00"), "after rollback": t.read(),
+    """States of one dated table: rows from 1997 on arrive a day later, small amounts leave the day after that."""
+    held = records(spark, sf_dir).withColumns({
+        "valid_from": F.when(F.col("pay_year") < 1997, "2024-01-01").otherwise("2024-01-02").cast("timestamp_ntz"),
+        "valid_to": F.when(F.col("gross") < 5000, "2024-01-03").cast("timestamp_ntz"),
+    })
+    reads = {
+        "version 0": "2024-01-01", "version 1": "2024-01-02", "version 2": "2024-01-03",
+        "on 2024-01-02": "2024-01-02 12:00:00", "after rollback": "2024-01-01",
     }
-    sums = [df.agg(F.count("*").alias("records"), F.sum("gross").alias("gross")).withColumn("label", F.lit(n)) for n, df in views.items()]
-    return reduce(DataFrame.unionByName, sums)
+    # All states in one scan: each row meets the instants asked for, summed before the shuffle.
+    asked = F.array(*[F.struct(F.lit(n).alias("label"), F.lit(t).cast("timestamp_ntz").alias("at")) for n, t in reads.items()])
+    seen = snap.valid_at(held.select("gross", "valid_from", "valid_to", F.inline(asked)), F.col("at"))
+    found = seen.groupBy("label").agg(F.count("*").alias("records"), F.sum("gross").alias("gross"))
+    labels = spark.range(1).select(F.explode(F.array(*[F.lit(n) for n in reads])).alias("label"))
+    return labels.join(found, "label", "left").fillna(0, ["records"])
 
 
 @query("schema_evolution", "payroll_id:l gross:d bonus:d note:s",
@@ -83,11 +75,9 @@ def time_travel_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A column added with a default, then an append that brings a column of its own."""
     rows = records(spark, sf_dir)
-    t = SnapshotTable(spark, scratch(spark, "evolve"), "payroll_id")
-    t.write(rows.filter("pay_year < 2000"))
-    t.add_column("bonus", "double", "25.5")
-    t.write(rows.filter("pay_year >= 2000").withColumn("note", F.lit("late")))
-    return t.read()
+    early = snap.state(snap.add_column(rows.filter("pay_year < 2000"), "bonus", "double", "25.5"))
+    late = rows.filter("pay_year >= 2000").withColumn("note", F.lit("late"))
+    return snap.state(snap.append(early, late))
 
 
 U = "count(*) FILTER (WHERE status='Draft' AND priority='1-URGENT')"
@@ -106,14 +96,27 @@ INS = "gross<5000 AND pay_year>=2000"
            SELECT 5, 'SCHEMA_CHANGE', {KEPT}+count(*) FILTER (WHERE {INS} OR (gross<5000 AND status='Approved' AND pay_year=1996)), 0, 0, 1 FROM {BASE} UNION ALL
            SELECT 6, 'ROLLBACK', count(*), 0, 0, 1 FROM {BASE}""")
 def snapshot_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The commit log after a write, append, update, delete, merge, schema change and rollback."""
-    t = loaded(spark, sf_dir)
-    t.update("status = 'Draft' AND priority = '1-URGENT'", {"status": F.lit("Approved")})
-    t.delete("gross < 5000")
-    t.merge(merge_source(spark, sf_dir), [F.col("gross").desc()])
-    t.add_column("bonus", "double", "0")
-    t.rollback(1)
-    return t.history()
+    """Rows, additions and removals of seven changes in a row; each is written once and counted from what was written."""
+    rows = records(spark, sf_dir)
+    steps: list[tuple[str, DataFrame]] = []
+
+    def step(name: str, changed: DataFrame) -> DataFrame:
+        stored = settled(changed, f"change-{len(steps)}")
+        steps.append((name, stored))
+        return snap.state(stored)
+
+    now = step("WRITE", snap.append(None, rows.filter("pay_year < 1997")))
+    now = second = step("WRITE", snap.append(now, rows.filter("pay_year >= 1997")))
+    now = step("UPDATE", snap.update(now, "status = 'Draft' AND priority = '1-URGENT'", {"status": F.lit("Approved")}))
+    now = step("DELETE", snap.delete(now, "gross < 5000"))
+    now = step("MERGE", snap.merge(now, merge_source(spark, sf_dir), "payroll_id", [F.col("gross").desc()]))
+    # A new column and a return to an earlier state change no row: nothing is written.
+    steps += [("SCHEMA_CHANGE", snap.add_column(now, "bonus", "double", "0")), ("ROLLBACK", second.withColumn(snap.CHANGE, F.lit(snap.KEPT)))]
+    counts = [
+        snap.tally(changed, "payroll_id").select(F.lit(i).alias("version"), F.lit(name).alias("operation"), "rows", "added", "removed", "keys_complete")
+        for i, (name, changed) in enumerate(steps)
+    ]
+    return reduce(DataFrame.unionByName, counts)
 
 
 TRACKED = ["status", "gross_text", "dept_id"]
@@ -132,7 +135,7 @@ def change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     old = rows.filter("pay_year < 2001")
     approve = (F.col("pay_year") == 1998) & (F.col("status") == "Draft")
     new = rows.filter("pay_year <> 1995").withColumn("status", F.when(approve, "Approved").otherwise(F.col("status")))
-    found = changes(old, new, "payroll_id", TRACKED, "payroll_records")
+    found = snap.changes(old, new, "payroll_id", TRACKED, "payroll_records")
     return found.withColumn("updated_at", F.when(F.col("action") == "UPDATE", "2002-01-01"))
 
 

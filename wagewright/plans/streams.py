@@ -1,4 +1,4 @@
-"""Streaming queries and the offset log."""
+"""Streaming queries."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wagewright.functions.numeric import cents, exact_sum, rounded
-from wagewright.operators.ordering import ranked
 from wagewright.registry import query
 from wagewright.session import scratch
 from wagewright.sources import roles
@@ -20,7 +19,7 @@ V = "CAST(value AS DECIMAL(18,2))"
 @query("stream_event_counts", "event_type:s events:l amount:d", f"SELECT event_type, count(*) AS events, sum({V}) AS amount FROM events GROUP BY 1")
 def stream_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, check = scratch(spark, "counts"), scratch(spark, "checkpoint")
-    jobs.each_batch(jobs.running_totals(jobs.table_stream(jobs.small_state(spark), sf_dir)), jobs.keep_batch(out), check, "complete")
+    jobs.each_batch(jobs.running_totals(jobs.table_stream(jobs.stream_session(spark), sf_dir)), jobs.keep_batch(out), check, "complete")
     return jobs.latest_batch(spark, out)
 
 
@@ -32,7 +31,7 @@ WINDOW_SQL = f"SELECT strftime(date_trunc('day',ts),'%Y-%m-%d %H:%M') AS window_
 @query("stream_tumbling_window", WINDOW, WINDOW_SQL)
 def stream_tumbling_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, check = scratch(spark, "windows"), scratch(spark, "checkpoint")
-    jobs.each_batch(jobs.tumbling(jobs.table_stream(jobs.small_state(spark), sf_dir)), jobs.keep_batch(out), check, "complete")
+    jobs.each_batch(jobs.tumbling(jobs.table_stream(jobs.stream_session(spark), sf_dir)), jobs.keep_batch(out), check, "complete")
     return jobs.latest_batch(spark, out)
 
 
@@ -43,7 +42,7 @@ CLOSED_SQL = f"{WINDOW_SQL} HAVING date_trunc('day',ts)+INTERVAL 1 DAY <= (SELEC
 def stream_watermark_closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append mode emits a window once the watermark (one hour behind) has passed its end."""
     out, check = scratch(spark, "closed"), scratch(spark, "checkpoint")
-    jobs.append_to(jobs.tumbling(jobs.table_stream(jobs.small_state(spark), sf_dir), delay="1 hour"), out, check)
+    jobs.append_to(jobs.tumbling(jobs.table_stream(jobs.stream_session(spark), sf_dir), delay="1 hour"), out, check)
     return spark.read.parquet(out)
 
 
@@ -55,16 +54,17 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     arrivals = [events.filter("ts < '2024-01-16'"), events.filter("ts >= '2024-01-16'"), events.filter("ts < '2024-01-05'")]
     for batch in arrivals:
         jobs.stage_files(batch, landing)
-        jobs.append_to(jobs.tumbling(jobs.event_stream(jobs.small_state(spark), landing), delay="1 hour"), out, check)
+        jobs.append_to(jobs.tumbling(jobs.event_stream(jobs.stream_session(spark), landing), delay="1 hour"), out, check)
     return spark.read.parquet(out)
 
 
 @query("stream_microbatch_dept", "dept_name:s events:l total:d avg_amount:d",
        f"SELECT dept_name, count(*) AS events, sum({V}) AS total, {r(f'CAST(sum({V}) AS DOUBLE)/count(*)')} AS avg_amount FROM events JOIN r_emp ON user_id=emp_id GROUP BY 1")
 def stream_microbatch_dept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One file per micro-batch; each batch is joined to the staff and summed per department."""
+    """Bounded micro-batches, each joined to the staff and summed per department."""
     landing, out, check = (scratch(spark, n) for n in ("landing", "micro", "checkpoint"))
-    jobs.stage_files(table(spark, sf_dir, "events"), landing, files=3)
+    events = table(spark, sf_dir, "events")
+    jobs.stage_files(events.withColumn("arrival", F.date_format("ts", "yyyy-MM-dd")), landing, by="arrival")
     staff = roles.employees(spark, sf_dir).select(F.col("emp_id").alias("user_id"), "dept_name")
 
     def work(df: DataFrame, batch_id: int) -> None:
@@ -72,7 +72,7 @@ def stream_microbatch_dept(spark: SparkSession, sf_dir: str) -> DataFrame:
         sums = per_user.join(staff, "user_id").groupBy("dept_name").agg(F.sum("n").alias("events"), F.sum("v").alias("total"))
         sums.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
-    jobs.each_batch(jobs.event_stream(spark, landing, files_per_trigger=1), work, check)
+    jobs.each_batch(jobs.event_stream(spark, landing, files_per_trigger=4 * jobs.files_per_batch(spark)), work, check)
     total = spark.read.parquet(out).groupBy("dept_name").agg(F.sum("events").alias("events"), F.sum("total").alias("total"))
     return total.withColumn("avg_amount", rounded(F.col("total").cast("double") / F.col("events")))
 
@@ -85,8 +85,8 @@ def stream_restart_exactly_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     for batch in (events.filter("ts < '2024-01-16'"), events.filter("ts >= '2024-01-16'"), None):
         if batch is not None:
-            jobs.stage_files(batch, landing, files=2)
-        jobs.append_to(jobs.event_stream(spark, landing, files_per_trigger=1), out, check)
+            jobs.stage_files(batch, landing)
+        jobs.append_to(jobs.event_stream(spark, landing, files_per_trigger=jobs.files_per_batch(spark)), out, check)
     return spark.read.parquet(out).groupBy("event_type").agg(
         F.count("*").alias("events"), F.countDistinct("event_id").alias("distinct_ids"),
         exact_sum(cents("value"), 2).alias("amount"),
@@ -95,55 +95,57 @@ def stream_restart_exactly_once(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("ingest_file_stream", "emp_id:l records:l gross:d", "SELECT emp_id, count(*) AS records, sum(gross) AS gross FROM r_ord GROUP BY 1")
 def ingest_file_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chunked ingest: one landed file per micro-batch, every row loaded once."""
+    """Chunked ingest: bounded micro-batches of landed files, every row loaded once."""
     landing, out, check = (scratch(spark, n) for n in ("landing", "chunks", "checkpoint"))
     rows = roles.payroll_headers(spark, sf_dir).select("payroll_id", "emp_id", "gross")
-    rows.repartitionByRange(4, "payroll_id").write.parquet(landing)
-    stream = spark.readStream.schema("payroll_id bigint, emp_id bigint, gross decimal(18,2)").option("maxFilesPerTrigger", 1).parquet(landing)
+    jobs.stage_files(rows, landing)
+    stream = spark.readStream.schema("payroll_id bigint, emp_id bigint, gross decimal(18,2)").option("maxFilesPerTrigger", jobs.files_per_batch(spark)).parquet(landing)
     jobs.append_to(stream, out, check)
     return spark.read.parquet(out).groupBy("emp_id").agg(F.count("*").alias("records"), F.sum("gross").alias("gross"))
 
 
-# ---- offset log -------------------------------------------------------------------
-PARTITIONS = 4
-LOG_SQL = f"(SELECT event_id, user_id, ts, event_type, user_id%{PARTITIONS} AS part, row_number() OVER (PARTITION BY user_id%{PARTITIONS} ORDER BY event_id)-1 AS log_offset FROM events)"
-
-
-def offset_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Partition from the key, offset from the arrival order within the partition."""
-    rows = table(spark, sf_dir, "events").select(
-        "event_id", "user_id", "ts", "event_type", F.pmod("user_id", F.lit(PARTITIONS)).alias("part")
-    )
-    return ranked(rows, "event_id", "event_id", ["part"]).withColumn("log_offset", F.col("row_number") - 1)
+# ---- progress of a stream over landed files -------------------------------------------
+HALF = "2024-01-16"
 
 
-@query("stream_partition_offsets", "event_id:l part:l log_offset:l", f"SELECT event_id, part, log_offset FROM {LOG_SQL}")
+@query("stream_partition_offsets", "event_id:l batch:l arrival:s",
+       f"SELECT event_id, CASE WHEN ts<TIMESTAMP '{HALF}' THEN 0 ELSE 1 END AS batch, CASE WHEN ts<TIMESTAMP '{HALF}' THEN 'first' ELSE 'second' END AS arrival FROM events")
 def stream_partition_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return offset_log(spark, sf_dir)
+    """Every row with the micro-batch and the landed folder it came from; two arrivals on one checkpoint."""
+    landing, out, check = (scratch(spark, n) for n in ("landing", "tagged", "checkpoint"))
+    events = table(spark, sf_dir, "events")
+    for name, batch in (("first", events.filter(f"ts < '{HALF}'")), ("second", events.filter(f"ts >= '{HALF}'"))):
+        jobs.stage_files(batch, f"{landing}/{name}")
+        stream = jobs.event_stream(jobs.stream_session(spark), f"{landing}/*", with_file=True)
+        jobs.each_batch(stream, jobs.tagged(out), check)
+    return spark.read.parquet(out).withColumn("arrival", F.regexp_extract("landed_file", "/(first|second)/[^/]+$", 1))
 
 
-@query("consumer_lag", "consumer:s part:l log_end:l committed:l lag:l",
-       f"""SELECT consumer, part, log_end, committed, log_end-committed AS lag FROM (SELECT part, max(log_offset)+1 AS log_end, max(log_offset)+1 AS payroll, coalesce(max(CASE WHEN ts<TIMESTAMP '2024-01-16' THEN log_offset END)+1,0) AS audit, 0 AS idle FROM {LOG_SQL} GROUP BY 1)
-           UNPIVOT (committed FOR consumer IN (payroll, audit, idle))""")
+@query("consumer_lag", "event_type:s landed:l processed:l lag:l",
+       f"SELECT event_type, count(*) AS landed, count(*) FILTER (WHERE ts<TIMESTAMP '{HALF}') AS processed, count(*) FILTER (WHERE NOT ts<TIMESTAMP '{HALF}') AS lag FROM events GROUP BY 1")
 def consumer_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Log end minus committed offset; a group that never committed counts from 0."""
-    log = offset_log(spark, sf_dir)
-    ends = log.groupBy("part").agg(F.max("log_offset").alias("last"))
-    log_end = ends.select("part", (F.col("last") + 1).alias("log_end"))
-    audit = log.filter("ts < '2024-01-16'").groupBy("part").agg((F.max("log_offset") + 1).alias("committed"))
-    commits = log_end.select("part", F.col("log_end").alias("committed"), F.lit("payroll").alias("consumer")).unionByName(
-        audit.withColumn("consumer", F.lit("audit"))
-    )
-    groups = log_end.withColumn("consumer", F.explode(F.array(*[F.lit(g) for g in ("payroll", "audit", "idle")])))
-    return groups.join(commits, ["part", "consumer"], "left").fillna(0, ["committed"]).withColumn("lag", F.col("log_end") - F.col("committed"))
+    """Rows that landed after a stream last ran and wait for its next run, per event type."""
+    landing, out, check = (scratch(spark, n) for n in ("landing", "lag", "checkpoint"))
+    events = table(spark, sf_dir, "events")
+    jobs.stage_files(events.filter(f"ts < '{HALF}'"), landing)
+    jobs.append_to(jobs.event_stream(jobs.stream_session(spark), landing), out, check)
+    jobs.stage_files(events.filter(f"ts >= '{HALF}'"), landing)
+
+    def per_type(folder: str, name: str) -> DataFrame:
+        return spark.read.parquet(folder).groupBy("event_type").agg(F.count("*").alias(name))
+
+    both = per_type(landing, "landed").join(per_type(out, "processed"), "event_type", "left").fillna(0, ["processed"])
+    return both.withColumn("lag", F.col("landed") - F.col("processed"))
 
 
-@query("replay_from_offset", "part:l event_type:s replayed:l first_offset:l last_offset:l",
-       f"SELECT part, event_type, count(*) AS replayed, min(log_offset) AS first_offset, max(log_offset) AS last_offset FROM {LOG_SQL} WHERE log_offset >= 100*(part+1) GROUP BY 1,2")
+@query("replay_from_offset", "event_type:s replayed:l first_event:l last_event:l amount:d",
+       f"SELECT event_type, count(*) AS replayed, min(event_id) AS first_event, max(event_id) AS last_event, sum({V}) AS amount FROM events WHERE ts>=TIMESTAMP '{HALF}' GROUP BY 1")
 def replay_from_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reading again from a start offset per partition."""
-    starts = spark.createDataFrame([(p, 100 * (p + 1)) for p in range(PARTITIONS)], "part bigint, start_offset bigint")
-    log = offset_log(spark, sf_dir).join(starts, "part").filter(F.col("log_offset") >= F.col("start_offset"))
-    return log.groupBy("part", "event_type").agg(
-        F.count("*").alias("replayed"), F.min("log_offset").alias("first_offset"), F.max("log_offset").alias("last_offset")
+    """A processed stream read again from a point in event time, on a checkpoint of its own."""
+    session, out = jobs.stream_session(spark), scratch(spark, "replay")
+    again = jobs.table_stream(session, sf_dir).filter(f"ts >= timestamp'{HALF}'")
+    jobs.append_to(again, out, scratch(spark, "checkpoint"))
+    return spark.read.parquet(out).groupBy("event_type").agg(
+        F.count("*").alias("replayed"), F.min("event_id").alias("first_event"), F.max("event_id").alias("last_event"),
+        exact_sum(cents("value"), 2).alias("amount"),
     )

@@ -137,9 +137,8 @@ def star_dim_period(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_department(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Surrogate key by position: the dimension has one row per department."""
-    rows = roles.departments_base(spark, sf_dir)
-    return rows.withColumn("dept_key", F.row_number().over(Window.orderBy("dept_id")))
+    """The surrogate key is a function of the natural key alone, so a new department renumbers none; 0 stays free."""
+    return roles.departments_base(spark, sf_dir).withColumn("dept_key", (F.col("dept_id") + 1).cast("bigint"))
 
 
 def dim_employee(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,18 +43,20 @@ def text_schema(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-def read_csv(spark: SparkSession, path: str, names: list[str], **options) -> DataFrame:
-    """Header CSV, every column text; blank fields come back as ''."""
-    raw = (
-        spark.read.schema(text_schema(names))
-        .option("header", True)
-        .option("escape", '"')
-        .options(**options)
-        .csv(path)
-    )
+def read_csv(spark: SparkSession, path: str, names: list[str], line_breaks: bool = True, **options) -> DataFrame:
+    """Header CSV, every column text; blank fields come back as ''.
+
+    With ``line_breaks`` a quoted field may hold them, and each file is read by one task; without,
+    a large file is split. Writers here leave one file per task, so the default costs no parallelism.
+    """
+    raw = _csv(spark, line_breaks).schema(text_schema(names)).options(**options).csv(path)
     return raw.select(*[F.coalesce(F.col(f"`{n}`"), F.lit("")).alias(n) for n in names])
 
 
+def _csv(spark: SparkSession, line_breaks: bool):
+    return spark.read.option("header", True).option("escape", '"').option("multiLine", line_breaks)
+
+
 def write_csv(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
     writer = df.write.mode("overwrite").option("header", True).option("escape", '"')
     if partition_by:
@@ -64,8 +68,25 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def read_csv_folder(spark: SparkSession, root: str, names: list[str]) -> DataFrame:
-    """Every ``<root>/<stem>.csv`` (a file, or a folder Spark wrote) as rows tagged with the stem."""
-    raw = spark.read.schema(text_schema(names)).option("header", True).option("escape", '"').csv(f"{root.rstrip('/')}/*.csv")
-    stem = F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)\.csv(?:/[^/]*)?$", 1)
-    return raw.select(*[F.coalesce(F.col(f"`{n}`"), F.lit("")).alias(n) for n in names], stem.alias("dataset"))
+def csv_datasets(spark: SparkSession, root: str, line_breaks: bool = True) -> dict[str, DataFrame]:
+    """Every ``<root>/<stem>.csv`` (a file, or a folder Spark wrote) as a frame of the columns its own header names.
+
+    The driver holds one name per dataset and reads one header of each; blank fields come back as ''.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(root)
+    stem = F.regexp_extract("path", r"/([^/]+)\.csv(?:/[^/]*)?$", 1)
+    stems = sorted(r[0] for r in files.select(stem).distinct().collect())
+    frames = {}
+    for name in stems:
+        raw = _csv(spark, line_breaks).csv(f"{root.rstrip('/')}/{name}.csv")
+        frames[name] = raw.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in raw.columns])
+    return frames
+
+
+def read_csv_folder(spark: SparkSession, root: str, names: list[str], line_breaks: bool = True) -> DataFrame:
+    """The named columns of every dataset below ``root``, by header name, tagged with the stem; one a file lacks is ''."""
+    parts = [
+        df.select(*[(F.col(f"`{n}`") if n in df.columns else F.lit("")).alias(n) for n in names], F.lit(stem).alias("dataset"))
+        for stem, df in csv_datasets(spark, root, line_breaks).items()
+    ]
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], text_schema([*names, "dataset"]))

@@ -13,27 +13,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wagewright.functions.numeric import cents, exact_sum
+from wagewright.operators.loading import write_partitioned
+from wagewright.session import parallelism
 from wagewright.sources.tables import SCHEMAS
 
-def small_state(spark: SparkSession, partitions: int = 8) -> SparkSession:
-    """A session for stateful queries whose state is a few rows per window or type.
 
-    The number of state partitions is fixed when a query first starts. Partial
-    aggregation leaves each batch a handful of rows to shuffle, so these
-    queries want few, whatever the batch jobs of the caller use.
+def stream_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
+    """A session for stateful queries over the event tables.
+
+    The number of state partitions is fixed when a query first starts:
+    ``partitions``, or the session's own shuffle partitions.
     """
     own = spark.newSession()
     own.conf.set("spark.sql.session.timeZone", "UTC")  # the tables' times carry no zone: windows must not move with the caller's
-    own.conf.set("spark.sql.shuffle.partitions", str(min(partitions, int(spark.conf.get("spark.sql.shuffle.partitions")))))
+    own.conf.set("spark.sql.shuffle.partitions", str(partitions or spark.conf.get("spark.sql.shuffle.partitions")))
     return own
 
 
-def event_stream(spark: SparkSession, folder: str, pattern: str = "*.parquet", files_per_trigger: int | None = None) -> DataFrame:
-    """Events as they land in a folder; ``ts`` becomes a timestamp a watermark can use."""
+def event_stream(
+    spark: SparkSession, folder: str, pattern: str = "*.parquet", files_per_trigger: int | None = None, with_file: bool = False
+) -> DataFrame:
+    """Events as they land in a folder; ``ts`` becomes a timestamp a watermark can use, ``landed_file`` names the file."""
     reader = spark.readStream.schema(SCHEMAS["events"]).option("pathGlobFilter", pattern)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(folder).withColumn("ts", F.col("ts").cast("timestamp"))
+    rows = reader.parquet(folder)
+    if with_file:
+        rows = rows.withColumn("landed_file", F.col("_metadata.file_path"))
+    return rows.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str = "events") -> DataFrame:
@@ -99,6 +106,22 @@ def tumbling(events: DataFrame, width: str = "1 day", delay: str | None = None)
     )
 
 
-def stage_files(events: DataFrame, folder: str, files: int = 1) -> None:
-    """Land events as new files in a watched folder."""
-    events.repartitionByRange(files, "event_id").write.mode("append").parquet(folder)
+def stage_files(events: DataFrame, folder: str, by: str | None = None) -> None:
+    """Land rows as new files in a watched folder, from every task as it stands; ``by`` parts the files by a column."""
+    if by:
+        write_partitioned(events, folder, [by], mode="append")
+    else:
+        events.write.mode("append").parquet(folder)
+
+
+def tagged(out: str) -> Callable[[DataFrame, int], None]:
+    """Write each row with the batch it came in; a replayed batch overwrites itself."""
+    def work(df: DataFrame, batch_id: int) -> None:
+        df.withColumn("batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(f"{out}/run_batch={batch_id}")
+
+    return work
+
+
+def files_per_batch(spark: SparkSession) -> int:
+    """A bounded batch: as many files as a quarter of the session's tasks."""
+    return max(1, parallelism(spark) // 4)
