@@ -20,6 +20,26 @@ def test_checks(spark):
     ]
 
 
+def test_an_erroring_check_fails_alone(spark):
+    rows = frame(spark)
+    wrong = [q.consistent("no_column", "missing > 1"), q.consistent("no_syntax", "net >>> ("), q.unique("absent"), q.within("absent", 0, 1)]
+    fine = [q.complete("code"), q.unique("id")]
+    got = {r["check_name"]: (r["total"], r["violations"], r["passed"]) for r in q.run_checks(rows, wrong + fine).collect()}
+    none = (None, None, 0)
+    want = {"no_column": none, "no_syntax": none, "uniqueness_absent": none, "range_absent": none, "completeness_code": (5, 1, 0), "uniqueness_id": (4, 0, 1)}
+    assert got == want
+    bad_cast = q.consistent("bad_cast", "cast(code AS int) > 0")
+    got = {r["check_name"]: (r["total"], r["violations"], r["passed"]) for r in q.run_suite(rows, [bad_cast, *wrong, *fine]).collect()}
+    assert got == {"bad_cast": none, **want}
+
+
+def test_uniqueness_without_values(spark):
+    rows = frame(spark).withColumn("empty", F.lit(None).cast("string"))
+    got = {r["check_name"]: (r["total"], r["violations"], r["passed"]) for r in q.run_checks(rows, [q.unique("empty"), q.unique("net")]).collect()}
+    assert got == {"uniqueness_empty": (0, 0, 1), "uniqueness_net": (4, 0, 1)}
+    assert {r["total"] for r in q.run_checks(rows.limit(0), [q.unique("empty"), q.unique("net")]).collect()} == {0}
+
+
 def test_score_levels(spark):
     for passed, status, points in ((12, "PASS", 100.0), (7, "FAIL", 58.3), (8, "WARN", 66.7)):
         rows = spark.createDataFrame([(int(i < passed),) for i in range(12)], "passed int")

@@ -2,14 +2,16 @@
 
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from wagewright.catalogue import REGISTRY
 from wagewright.functions.numeric import zero
-from wagewright.operators.daily_run import Run, daily_run
+from wagewright.operators.daily_run import Run, Stage, daily_run
 from wagewright.operators.loading import manifest, write_partitioned
+from wagewright.plans.relational import merged_documents
 from wagewright.session import kept, settled
-from wagewright.sources.tables import read_csv, read_csv_folder, run_sql, table, write_csv
+from wagewright.sources.tables import csv_datasets, read_csv, read_csv_folder, run_sql, table, write_csv
 from wagewright.streaming import jobs
 
 SF = "/root/testdata/sf0.001"
@@ -31,8 +33,21 @@ def test_daily_run(spark):
     assert run.violations() == [] and run.violations(60) == ["pass rate below 60 %"]
     assert spark.read.parquet(run.path("fact")).count() == 2
     log = spark.read.parquet(run.path("run_log"))
-    assert log.count() == 5 and log.filter("status = 'success'").count() == 5
-    assert Run("x", {"ingested": 2, "clean": 2, "stored": 1}).violations() == ["stored rows differ from clean rows"]
+    assert log.count() == 5 and log.filter("status = 'success' AND seconds >= 0 AND error IS NULL").count() == 5
+    broken = Run("x", [Stage("ingested", 2), Stage("clean", 2), Stage("stored", 1)])
+    assert broken.violations() == ["stored rows differ from clean rows"]
+
+
+def test_failed_stage_is_logged(spark):
+    root = folder() + "/run"
+    with pytest.raises(Exception, match="no rate"):
+        daily_run(spark, records(spark), lambda df: df.withColumn("x", F.raise_error(F.lit("no rate"))), root, "t1")
+    log = {r["stage"]: r for r in spark.read.parquet(f"{root}/run_log").collect()}
+    assert set(log) == {"ingested", "clean", "issues", "stored"}
+    assert log["stored"]["status"] == "failed" and log["stored"]["rows"] is None and log["stored"]["error"]
+    assert {log[s]["status"] for s in ("ingested", "clean", "issues")} == {"success"}
+    total = spark.read.parquet(f"{root}/run_summary").first()
+    assert (total["status"], total["failed"], total["rows_in"], total["rows_out"]) == ("failed", 1, 4, None)
 
 
 def test_csv_keeps_blanks_and_quotes(spark):
@@ -51,6 +66,25 @@ def test_csv_folder_by_stem(spark):
     assert got == [("single", "z"), ("written", "a"), ("written", "b")]
 
 
+def test_csv_columns_by_header_and_line_breaks(spark):
+    root = folder()
+    for name, text in {"a": "name,city\nann,\"Ulm\nSüd\"\n", "b": "city,name\nBonn,bob\n", "c": "name,age\ncy,7\n"}.items():
+        with open(f"{root}/{name}.csv", "w") as f:
+            f.write(text)
+    got = sorted(map(tuple, read_csv_folder(spark, root, ["name", "city"]).collect()))
+    assert got == [("ann", "Ulm\nSüd", "a"), ("bob", "Bonn", "b"), ("cy", "", "c")]
+    assert {k: df.columns for k, df in csv_datasets(spark, root).items()} == {"a": ["name", "city"], "b": ["city", "name"], "c": ["name", "age"]}
+    assert read_csv_folder(spark, folder(), ["name"]).count() == 0
+
+
+def test_deep_merge_at_every_depth(spark):
+    docs = spark.sql("""SELECT named_struct('a', 1, 'b', named_struct('c', 2, 'd', named_struct('e', 3, 'f', 4))) AS base,
+        named_struct('b', named_struct('d', named_struct('e', 30, 'f', CAST(NULL AS INT), 'g', 5)), 'z', 9) AS over""")
+    kept_null = merged_documents(docs, "base", "over", "doc").select("doc.a", "doc.b.c", "doc.b.d.e", "doc.b.d.f", "doc.b.d.g", "doc.z").first()
+    assert tuple(kept_null) == (1, 2, 30, 4, 5, 9)
+    assert merged_documents(docs, "base", "over", "doc", present=True).select("doc.b.d.e", "doc.b.d.f").first() == (30, None)
+
+
 def test_sql_with_arguments_raises_on_error(spark):
     assert run_sql(spark, SF, "SELECT count(*) AS n FROM {nation} WHERE n_nationkey < :k", k=5).first()["n"] == 5
     try:

@@ -5,6 +5,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import (
+    AnalysisException, ArithmeticException, ArrayIndexOutOfBoundsException, DateTimeException, NumberFormatException, ParseException, SparkRuntimeException,
+)
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +27,7 @@ class Check:
     threshold: float = 100.0
     low: float = 0.0
     high: float = 0.0
-    rule: Column | None = None
+    rule: Column | str | None = None
 
 
 def complete(field: str, threshold: float = 100.0) -> Check:
@@ -41,7 +44,12 @@ def within(field: str, low: float, high: float) -> Check:
 
 def consistent(name: str, rule: Column | str) -> Check:
     """A predicate every row must meet; NULL counts as a violation."""
-    return Check(name, "consistency", rule=F.expr(rule) if isinstance(rule, str) else rule)
+    return Check(name, "consistency", rule=rule)
+
+
+def _met(check: Check) -> Column:
+    rule = F.expr(check.rule) if isinstance(check.rule, str) else check.rule
+    return F.coalesce(rule, F.lit(False))
 
 
 def _one_pass(check: Check) -> tuple[Column, Column, Column]:
@@ -52,46 +60,71 @@ def _one_pass(check: Check) -> tuple[Column, Column, Column]:
     if check.kind == "range":
         x = zero(check.field).cast("double")
         return F.count_if(~x.between(check.low, check.high)), F.min(x), F.max(x)
-    return F.count_if(~F.coalesce(check.rule, F.lit(False))), none, none
+    return F.count_if(~_met(check)), none, none
 
 
-def _passed(check: Check) -> Column:
-    if check.kind == "completeness":
-        filled = F.coalesce(F.try_divide((F.col("total") - F.col("violations")) * 100.0, F.col("total")), F.lit(0.0))
-        return (filled >= check.threshold).cast("int")
-    return (F.col("violations") == 0).cast("int")
+def _duplicates(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """Duplicated values of several fields in one pass; blank and zero values are skipped.
 
+    Each row gives a (check, value) pair per field. Grouped by both, so a frequent
+    value is combined before it is shuffled; a check without values still gives a row.
+    """
+    kinds = dict(df.dtypes)
+    pairs, names = [], []
+    for i, c in enumerate(checks):
+        field = F.col(c.field)
+        used = ~is_blank(c.field) if kinds[c.field] == "string" else field.isNotNull() & (field != 0)
+        pairs.append(F.struct(F.lit(i).alias("_check"), F.when(used, field.cast("string")).alias("_value")))
+        names.append(F.when(F.col("_check") == i, F.lit(c.name)))
+    counts = df.select(F.inline(F.array(*pairs))).groupBy("_check", "_value").agg(F.count("_value").alias("_n"))
+    every = df.sparkSession.range(len(checks)).select(F.col("id").cast("int").alias("_check"), F.lit(None).cast("string").alias("_value"), F.lit(0).cast("bigint").alias("_n"))
+    sums = counts.unionByName(every).groupBy("_check").agg(F.sum("_n").alias("total"), F.count_if(F.col("_n") > 1).alias("violations"))
+    none = F.lit(None).cast("double")
+    # One row per check: in the order given, as the row checks are.
+    return sums.coalesce(1).sortWithinPartitions("_check").select(
+        F.coalesce(*names).alias("check_name"), "total", "violations",
+        (F.col("violations") == 0).cast("int").alias("passed"), none.alias("low"), none.alias("high"),
+    )
 
-def _duplicates(df: DataFrame, check: Check) -> DataFrame:
-    """Duplicated values of a field; blank and zero values are skipped.
 
-    Grouped by value, so a frequent value is combined before it is shuffled.
-    """
-    kind = dict(df.dtypes)[check.field]
-    value = F.col(check.field)
-    used = ~is_blank(check.field) if kind == "string" else value.isNotNull() & (value != 0)
-    counts = df.filter(used).groupBy(check.field).agg(F.count("*").alias("_n"))
-    return counts.agg(
-        F.lit(check.name).alias("check_name"),
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("total"),
-        F.count_if(F.col("_n") > 1).alias("violations"),
-    ).select("check_name", "total", "violations", _passed(check).alias("passed"),
-             F.lit(None).cast("double").alias("low"), F.lit(None).cast("double").alias("high"))
+def _refused(df: DataFrame, check: Check) -> str | None:
+    """Why a check can't be planned over these columns; no job runs."""
+    try:
+        if check.kind == "uniqueness":
+            df.select(check.field).schema
+        else:
+            df.agg(*[c.alias(f"_{i}") for i, c in enumerate(_one_pass(check))]).schema
+    except (AnalysisException, ParseException) as e:
+        return e.getCondition() or str(e)
+    return None
+
+
+def _failed(df: DataFrame, names: list[str]) -> DataFrame:
+    return df.sparkSession.createDataFrame(
+        [(n, None, None, 0, None, None) for n in names], "check_name string, total bigint, violations bigint, passed int, low double, high double"
+    )
 
 
 def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """One result row per check: all row checks share one aggregation pass.
+    """One result row per check: all row checks share one pass, all uniqueness checks another.
 
-    Each uniqueness check reads the rows again, so an input with joins should
-    be stored first (``session.settled``).
+    A check that names no column of the input or can't be parsed is a failed
+    row without counts, and the others go on. An error that a value raises
+    (a bad cast, say) only shows when the plan runs: see ``run_suite``.
     """
+    refused = [_refused(df, c) for c in checks]
+    bad = [c.name for c, why in zip(checks, refused) if why]
+    checks = [c for c, why in zip(checks, refused) if not why]
     single = [c for c in checks if c.kind != "uniqueness"]
-    parts = [_duplicates(df, c) for c in checks if c.kind == "uniqueness"]
+    distinct = [c for c in checks if c.kind == "uniqueness"]
+    parts = [_duplicates(df, distinct)] if distinct else []
+    if bad or not checks:
+        parts.append(_failed(df, bad))
     if single:
         aggs = []
         for i, c in enumerate(single):
-            bad, low, high = _one_pass(c)
-            aggs += [bad.alias(f"v{i}"), low.alias(f"lo{i}"), high.alias(f"hi{i}")] if c.kind == "range" else [bad.alias(f"v{i}")]
+            wrong, low, high = _one_pass(c)
+            aggs += [wrong.alias(f"v{i}"), low.alias(f"lo{i}"), high.alias(f"hi{i}")] if c.kind == "range" else [wrong.alias(f"v{i}")]
         row = df.agg(F.count("*").alias("total"), *aggs)
         none = F.lit(None).cast("double")
         entries = [
@@ -110,6 +143,31 @@ def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+#: Errors that a value or a rule causes; a lost executor or a missing file isn't among them.
+RULE_ERRORS = (ArithmeticException, ArrayIndexOutOfBoundsException, DateTimeException, NumberFormatException, SparkRuntimeException)
+
+
+def run_suite(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """``run_checks`` carried out now, with errors raised by values isolated as well.
+
+    The driver holds one row per check. If the shared pass raises, each check
+    runs by itself and those that raise again are failed rows without counts.
+    """
+    def rows(some: list[Check]) -> list:
+        return [tuple(r) for r in run_checks(df, some).select(*RESULT).collect()]
+
+    try:
+        found = rows(checks)
+    except RULE_ERRORS:
+        found = []
+        for c in checks:
+            try:
+                found += rows([c])
+            except RULE_ERRORS:
+                found.append((c.name, None, None, 0, None, None))
+    return df.sparkSession.createDataFrame(found, _failed(df, []).schema)
+
+
 def examples(df: DataFrame, check: Check, order: str, n: int = 3) -> DataFrame:
     """The first n rows (or duplicated values) that break a check."""
     if check.kind == "uniqueness":
@@ -119,7 +177,7 @@ def examples(df: DataFrame, check: Check, order: str, n: int = 3) -> DataFrame:
     bad = {
         "completeness": is_blank(check.field) if check.field else None,
         "range": ~zero(check.field).cast("double").between(check.low, check.high) if check.field else None,
-        "consistency": ~F.coalesce(check.rule, F.lit(False)) if check.rule is not None else None,
+        "consistency": ~_met(check) if check.rule is not None else None,
     }[check.kind]
     rows = df.filter(bad).orderBy(order).limit(n)
     return rows.select(F.lit(check.name).alias("check_name"), F.col(order).cast("string").alias("example"), F.lit(1).alias("times"))

@@ -291,7 +291,7 @@ for _kind in ("completeness", "uniqueness", "range", "consistency"):
 
 @query("dq_report", CHECK_COLS, check_sql("r_bad_pay", PAY_SUITE))
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dq.run_checks(settled(roles.defective_payroll(spark, sf_dir)), suite(PAY_SUITE))
+    return dq.run_suite(roles.defective_payroll(spark, sf_dir), suite(PAY_SUITE))
 
 
 @query("dq_examples", "check_name:s example:s times:l",
@@ -318,7 +318,7 @@ SCORES = " UNION ALL ".join([_score_sql("employees", EMP_VIEW, EMP_SUITE), _scor
 def dq_scoreboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     suites = [
         ("employees", employee_frame(spark, sf_dir), EMP_SUITE),
-        ("payroll_records", settled(roles.defective_payroll(spark, sf_dir)), PAY_SUITE),
+        ("payroll_records", roles.defective_payroll(spark, sf_dir), PAY_SUITE),
         ("attendance", roles.attendance(spark, sf_dir), ATT_SUITE),
     ]
     scores = reduce(DataFrame.unionByName, [dq.score(dq.run_checks(df, suite(spec)), n) for n, df, spec in suites])

@@ -7,6 +7,7 @@ import operator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wagewright.functions.numeric import mean, ratio, rounded, stored_money, zero
 from wagewright.operators.history import latest_n
@@ -40,12 +41,13 @@ ORDER_FIELDS = ["payroll_id", "emp_id", "period", "gross", "status", "note"]
 
 
 @query(
-    "csv_roundtrip_scan", "payroll_id:l period:s gross:d status:s blank_note:l",
-    """SELECT payroll_id, period, gross, status, CASE WHEN payroll_id%7=0 THEN 1 ELSE 0 END AS blank_note FROM r_ord""",
+    "csv_roundtrip_scan", "payroll_id:l period:s gross:d status:s blank_note:l note:s",
+    """SELECT payroll_id, period, gross, status, CASE WHEN payroll_id%7=0 THEN 1 ELSE 0 END AS blank_note,
+       CASE WHEN payroll_id%7=0 THEN '' ELSE 'due "' || chr(10) || priority || '", net' END AS note FROM r_ord""",
 )
 def csv_roundtrip_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = roles.payroll_headers(spark, sf_dir).withColumn(
-        "note", roles.blank_every("payroll_id", 7, F.concat(F.lit('due "'), "priority", F.lit('", net')))
+        "note", roles.blank_every("payroll_id", 7, F.concat(F.lit('due "\n'), "priority", F.lit('", net')))
     )
     path = scratch(spark, "csv")
     write_csv(rows.select(*ORDER_FIELDS), path)
@@ -55,7 +57,7 @@ def csv_roundtrip_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "period",
         F.col("gross").try_cast("decimal(18,2)").alias("gross"),
         "status",
-        (F.col("note") == "").cast("int").alias("blank_note"),
+        (F.col("note") == "").cast("int").alias("blank_note"), "note",
     )
 
 
@@ -511,9 +513,32 @@ def flatten_and_chunk(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def deep_merge(base: str, override: str, fields: list[str]) -> Column:
-    """Struct merge: a field set in the override wins, the others stay."""
-    return F.struct(*[F.coalesce(F.col(override)[f], F.col(base)[f]).alias(f) for f in fields])
+def deep_merge(base: Column, override: Column, kind: T.StructType, over: T.StructType, present: bool = False) -> Column:
+    """Struct merge, at every depth: a field of the override wins, fields it lacks stay, its new fields are added.
+
+    A null field of the override leaves the base's, unless ``present``: then every
+    field the override's type has wins, null too. A null override changes nothing.
+    """
+    names = kind.fieldNames() + [n for n in over.fieldNames() if n not in kind.fieldNames()]
+    parts = []
+    for n in names:
+        if n not in over.fieldNames():
+            part = base[n]
+        elif n not in kind.fieldNames():
+            part = override[n]
+        elif isinstance(kind[n].dataType, T.StructType) and isinstance(over[n].dataType, T.StructType):
+            part = deep_merge(base[n], override[n], kind[n].dataType, over[n].dataType, present)
+        elif present:
+            part = F.when(override.isNull(), base[n]).otherwise(override[n])
+        else:
+            part = F.coalesce(override[n], base[n])
+        parts.append(part.alias(n))
+    return F.when(base.isNull() & override.isNull(), F.lit(None)).otherwise(F.struct(*parts))
+
+
+def merged_documents(df: DataFrame, base: str, override: str, out: str, present: bool = False) -> DataFrame:
+    kinds = df.schema
+    return df.withColumn(out, deep_merge(F.col(base), F.col(override), kinds[base].dataType, kinds[override].dataType, present))
 
 
 @query(
@@ -527,21 +552,24 @@ def nested_override_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     people = table(spark, sf_dir, "customer").join(
         table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
     )
+    blank = F.lit(None).cast("string")
     docs = people.select(
         F.col("c_custkey").alias("emp_id"),
-        F.struct(stored_money("c_acctbal").alias("basic"), F.col("n_name").alias("location"), F.col("c_mktsegment").alias("gender")).alias("base"),
+        F.struct(
+            stored_money("c_acctbal").alias("basic"),
+            F.struct(F.col("n_name").alias("location"), F.struct(F.col("c_mktsegment").alias("gender")).alias("person")).alias("home"),
+        ).alias("base"),
         F.struct(
             F.when(F.col("c_acctbal") < 0, F.lit(0).cast("decimal(18,2)")).alias("basic"),
-            F.lit(None).cast("string").alias("location"),
-            F.when(F.col("c_mktsegment") == "BUILDING", "SITE").alias("gender"),
+            F.struct(blank.alias("location"), F.struct(F.when(F.col("c_mktsegment") == "BUILDING", "SITE").alias("gender")).alias("person")).alias("home"),
         ).alias("override"),
         F.create_map(F.lit("bonus"), F.lit(100.0)).alias("extra"),
         F.create_map(F.lit("bonus"), F.when(F.col("c_acctbal") > 9000, 500.0)).alias("extra_override"),
     )
-    merged = docs.withColumn("doc", deep_merge("base", "override", ["basic", "location", "gender"])).withColumn(
+    merged = merged_documents(docs, "base", "override", "doc").withColumn(
         "extra", F.map_zip_with("extra", "extra_override", lambda _k, a, b: F.coalesce(b, a))
     )
-    return merged.select("emp_id", "doc.basic", "doc.location", "doc.gender", F.col("extra")["bonus"].alias("bonus"))
+    return merged.select("emp_id", "doc.basic", "doc.home.location", "doc.home.person.gender", F.col("extra")["bonus"].alias("bonus"))
 
 
 @query(

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wagewright.functions import calendar as cal
@@ -78,26 +79,34 @@ def etl_elt_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
 INGEST_BAD = "(emp_code='' OR TRY_CAST(CASE WHEN trim(basic_salary)='' THEN '0' ELSE basic_salary END AS DOUBLE) IS NULL OR TRY_CAST(basic_salary AS DOUBLE)<0)"
 
 
-@query("ingest_batches", "total:l loaded:l failed:l chunks:l table_rows:l net:d",
-       f"""SELECT count(*) AS total, count(*) FILTER (WHERE NOT bad) AS loaded, count(*) FILTER (WHERE bad) AS failed, (count(*)+99)//100 AS chunks, count(DISTINCT CASE WHEN NOT bad THEN emp_id END) AS table_rows,
+@query("ingest_batches", "total:l loaded:l failed:l replaced:l table_rows:l net:d",
+       f"""SELECT count(*) AS total, count(*) FILTER (WHERE NOT bad) AS loaded, count(*) FILTER (WHERE bad) AS failed, (SELECT count(*) FROM {RAW_SQL} WHERE NOT coalesce({INGEST_BAD},false) AND emp_id%3=0) AS replaced,
+           count(DISTINCT CASE WHEN NOT bad OR emp_id%3=0 THEN emp_id END) AS table_rows,
            (SELECT sum(round(basic*CAST(1.52 AS DECIMAL(4,2))+1200-least(basic,CAST(15000 AS DECIMAL(18,2)))*CAST(0.12 AS DECIMAL(4,2)),2)) FROM {RAW_SQL} WHERE NOT coalesce({INGEST_BAD},false)) AS net
            FROM (SELECT emp_id, coalesce({INGEST_BAD},false) AS bad FROM r_dirty_emp UNION ALL SELECT emp_id, coalesce({INGEST_BAD},false) FROM r_dirty_emp WHERE emp_id%50=0)""")
 def ingest_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One load: validate, split, replace by key, error table, statistics. Some rows are sent twice."""
+    """One load over a table that holds every third employee without pay: validate, split, replace by key, error table.
+
+    Some rows are sent twice. The sent rows are parsed once and written in one
+    pass, parted by outcome; totals are observed in that pass.
+    """
     rows = roles.dirty_employees(spark, sf_dir)
-    sent = rows.unionByName(rows.filter("emp_id % 50 = 0"))
-    good, bad = loading.split_ingest(sent)
-    target, errors = scratch(spark, "ingested"), scratch(spark, "ingest-errors")
-    empty = good.limit(0)
-    loading.upsert(empty, good, ["emp_id"], [F.col("emp_code")]).write.parquet(target)
-    bad.write.parquet(errors)
-    stats = sent.agg(F.count("*").alias("total"))
-    failed = spark.read.parquet(errors).agg(F.count("*").alias("failed")).scalar()
-    loaded = spark.read.parquet(target).agg(F.struct(F.count("*").alias("n"), F.sum("net").alias("net")).alias("s")).scalar()
-    return stats.select(
-        "total", (F.col("total") - failed).alias("loaded"), failed.alias("failed"), F.ceil(F.col("total") / 100).alias("chunks"),
-        loaded["n"].alias("table_rows"), loaded["net"].alias("net"),
-    )
+    good, bad = loading.split_ingest(rows.unionByName(rows.filter("emp_id % 50 = 0")))
+    landed, seen = scratch(spark, "ingested"), Observation()
+    both = good.withColumn("outcome", F.lit("loaded")).unionByName(bad.withColumn("outcome", F.lit("failed")), allowMissingColumns=True)
+    loaded = F.col("outcome") == "loaded"
+    counted = both.observe(seen, F.count(F.lit(1)).alias("total"), F.count_if(loaded).alias("loaded"), F.count_if(~loaded).alias("failed"))
+    counted.write.partitionBy("outcome").parquet(landed)
+    accepted = spark.read.schema(both.schema).parquet(landed).filter(loaded).select(*good.columns)
+    held = rows.filter("emp_id % 3 = 0").select(
+        "emp_id", *[F.lit(None).cast(f.dataType).alias(f.name) for f in good.schema.fields if f.name not in ("emp_id", "net")],
+        F.lit(0).cast("decimal(18,2)").alias("net"),
+    ).select(*good.columns)
+    table_now = loading.upsert(held, accepted, ["emp_id"], [F.col("emp_code")])
+    replaced = accepted.select("emp_id").distinct().join(held.select("emp_id"), "emp_id", "left_semi").agg(F.count("*").alias("replaced"))
+    now = table_now.agg(F.count("*").alias("table_rows"), F.sum("net").alias("net"))
+    counts = seen.get
+    return now.withColumns({n: F.lit(counts[n]) for n in ("total", "loaded", "failed")}).withColumn("replaced", replaced.scalar())
 
 
 KEYED = "emp_id:l period:s payroll_id:l gross:d status:s"
@@ -154,22 +163,65 @@ FACT = f"""(SELECT payroll_id, emp_id, dept_id+1 AS dept_key, pay_year*10000+pay
    {r(pct('tds','gross'))} AS effective_tax_rate, {r(pct('net','gross'))} AS take_home_ratio FROM r_wide WHERE status='Paid')"""
 
 
+TITLE = "CASE WHEN pay_basic>=200000 THEN 4 WHEN pay_basic>=100000 THEN 3 WHEN pay_basic>=50000 THEN 2 ELSE 1 END"
+
+
+def level_of(basic: str) -> Column:
+    """Rank of the salary band, 1 to 4, read from the label so that the limits stand in one place."""
+    band = salary_band(F.col(basic))
+    return F.when(band == "Senior", 4).when(band == "Lead", 3).when(band == "Mid", 2).otherwise(1).cast("bigint")
+
+
+@query("star_dim_designation", "desig_key:l dept_key:l title:s level:l staff:l",
+       f"""SELECT (dept_id+1)*10+lv AS desig_key, dept_id+1 AS dept_key, ['Junior','Mid','Lead','Senior'][lv] || ' ' || dept_name AS title, lv AS level, count(*) AS staff
+           FROM (SELECT dept_id, dept_name, {TITLE} AS lv FROM r_emp) GROUP BY dept_id, dept_name, lv""")
+def star_dim_designation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Designations in use: a band within a department, keyed by both, so none is renumbered."""
+    people = roles.employees(spark, sf_dir).select("dept_id", "dept_name", salary_band(F.col("pay_basic")).alias("band"), level_of("pay_basic").alias("level"))
+    used = people.groupBy("dept_id", "dept_name", "band", "level").agg(F.count("*").alias("staff"))
+    dept_key = F.col("dept_id") + 1
+    return used.select(
+        (dept_key * 10 + F.col("level")).alias("desig_key"), dept_key.alias("dept_key"),
+        F.concat_ws(" ", "band", "dept_name").alias("title"), "level", "staff",
+    )
+
+
+@query("star_dim_grade", "grade_key:l grade_code:s hra_pct:d da_pct:d staff:l",
+       "SELECT grade_id AS grade_key, grade_code, hra_pct, da_pct, count(*) AS staff FROM r_emp JOIN r_grade ON pay_basic>=basic_min AND pay_basic<basic_max GROUP BY 1,2,3,4")
+def star_dim_grade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grades in use with the staff in each."""
+    graded = roles.employees(spark, sf_dir).select(roles.grade_of(F.col("pay_basic")).alias("g")).select("g.*")
+    return graded.groupBy(F.col("grade_id").cast("bigint").alias("grade_key"), "grade_code", "hra_pct", "da_pct").agg(F.count("*").alias("staff"))
+
+
 def fact_payroll(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Paid records with every surrogate key resolved; rows that miss one are dropped."""
+    """Paid records with employee, department and period; the period's columns follow from its own month."""
     paid = roles.payroll(spark, sf_dir).filter("status = 'Paid'")
     people = dim_employee(spark, sf_dir).select("emp_key", "emp_id", "emp_code", "name", "dept_id", "gender", "pay_basic", "salary_band")
     depts = dim_department(spark, sf_dir).select("dept_key", "dept_id", "dept_name")
-    # Stored like any dimension: its file size lets the planner broadcast it.
-    periods = settled(star_dim_period(spark, sf_dir), "dim-period").select("period_key", "period", "quarter", "fiscal_year")
-    return paid.join(people, "emp_id").join(depts, "dept_id").join(periods, "period").withColumns({
+    year, month = F.col("pay_year"), F.col("pay_month")
+    return paid.join(people, "emp_id").join(depts, "dept_id").withColumns({
+        "period_key": cal.month_key(year, month).cast("bigint"), "fiscal_year": cal.fiscal_year(year, month),
+        "quarter": F.concat(F.lit("Q"), F.ceil(month / 3).cast("string")),
         "effective_tax_rate": rounded(ratio("tds", "gross", 100)), "take_home_ratio": rounded(ratio("net", "gross", 100)),
     })
 
 
-@query("star_fact_payroll", "payroll_id:l emp_id:l dept_key:l period_key:l gross:d net:d tds:d effective_tax_rate:d take_home_ratio:d",
-       f"SELECT payroll_id, emp_id, dept_key, period_key, gross, net, tds, effective_tax_rate, take_home_ratio FROM {FACT}")
+@query("star_fact_payroll", "payroll_id:l emp_id:l dept_key:l desig_key:l grade_key:l period_key:l gross:d net:d tds:d effective_tax_rate:d take_home_ratio:d",
+       f"""SELECT payroll_id, emp_id, dept_key, dept_key*10+{TITLE} AS desig_key, grade_id AS grade_key, period_key, gross, net, tds, effective_tax_rate, take_home_ratio
+           FROM {FACT} f JOIN r_grade g ON f.pay_basic>=g.basic_min AND f.pay_basic<g.basic_max""")
 def star_fact_payroll(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fact_payroll(spark, sf_dir)
+    """All five surrogate keys resolved against their dimensions; rows that miss one are dropped."""
+    def stored(dim: DataFrame, label: str, *names: str) -> DataFrame:
+        return settled(dim, label).select(*names)  # the file size decides whether it is broadcast
+
+    desigs = stored(star_dim_designation(spark, sf_dir), "dim-designation", "desig_key", "dept_key", "level")
+    grades = stored(star_dim_grade(spark, sf_dir), "dim-grade", "grade_key", "grade_code")
+    periods = stored(star_dim_period(spark, sf_dir), "dim-period", "period_key")
+    fact = fact_payroll(spark, sf_dir).withColumns({
+        "level": level_of("pay_basic"), "grade_code": roles.grade_of(F.col("pay_basic"))["grade_code"],
+    })
+    return fact.join(desigs, ["dept_key", "level"]).join(grades, "grade_code").join(periods, "period_key")
 
 
 @query("star_fact_attendance", "att_id:l emp_id:l dept_key:l period_key:l att_date:s att_status:s hours:d is_present:l is_late:l",
@@ -413,13 +465,35 @@ def kpi_document_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [whole, unfold("dept_name_breakdown", "dept"), unfold("gender_breakdown", "gender")])
 
 
-@query("run_stage_metrics", "stage:s rows:l status:s",
-       f"""SELECT 'ingested' AS stage, count(*) AS rows, 'success' AS status FROM r_bad_pay UNION ALL SELECT 'clean', count(*), 'success' FROM {CLEAN} UNION ALL SELECT 'stored', count(*), 'success' FROM {CLEAN}
-           UNION ALL SELECT 'issues', (SELECT count(*) FROM r_bad_pay)-(SELECT count(*) FROM {CLEAN}), 'success' UNION ALL SELECT 'exported', count(DISTINCT dept_name), 'success' FROM {CLEAN}""")
+GOOD_RUN = f"""SELECT 'good' AS run, 'ingested' AS stage, count(*) AS rows, 'success' AS status, 0 AS has_error FROM r_bad_pay UNION ALL SELECT 'good', 'clean', count(*), 'success', 0 FROM {CLEAN} UNION ALL SELECT 'good', 'stored', count(*), 'success', 0 FROM {CLEAN}
+   UNION ALL SELECT 'good', 'issues', (SELECT count(*) FROM r_bad_pay)-(SELECT count(*) FROM {CLEAN}), 'success', 0 UNION ALL SELECT 'good', 'exported', count(DISTINCT dept_name), 'success', 0 FROM {CLEAN}"""
+
+
+@query("run_stage_metrics", "run:s stage:s rows:l status:s has_error:l",
+       f"""SELECT * FROM ({GOOD_RUN}) UNION ALL SELECT 'broken', stage, CASE WHEN stage<>'stored' THEN rows END, CASE WHEN stage='stored' THEN 'failed' ELSE 'success' END, CASE WHEN stage='stored' THEN 1 ELSE 0 END FROM ({GOOD_RUN}) WHERE stage<>'exported'
+           UNION ALL SELECT run, 'whole run', rows, CASE WHEN run='good' THEN 'success' ELSE 'failed' END, CASE WHEN run='good' THEN 0 ELSE 1 END FROM (SELECT unnest(['good','broken']) AS run, (SELECT count(*) FROM r_bad_pay) AS rows)""")
 def run_stage_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The run log after a full run with its stores and exports."""
-    run = daily_run(spark, validated(spark, sf_dir).drop("errors"), enrich, scratch(spark, "run"), "2002-01-01T00:00:00")
-    return spark.read.parquet(run.path("run_log")).select("stage", "rows", "status")
+    """The run log and the summaries after a full run and after one whose enrichment fails."""
+    root = scratch(spark, "run")
+    records = validated(spark, sf_dir).drop("errors")
+
+    def broken(clean: DataFrame) -> DataFrame:
+        return clean.withColumn("rate", F.raise_error(F.lit("no rate for this period")))
+
+    for name, step in (("good", enrich), ("broken", broken)):
+        try:
+            daily_run(spark, records, step, f"{root}/{name}", name)
+        except PySparkException:
+            if name == "good":
+                raise
+    stages = spark.read.parquet(f"{root}/*/run_log").select(
+        F.col("run_ts").alias("run"), "stage", "rows", "status", F.col("error").isNotNull().cast("int").alias("has_error")
+    )
+    runs = spark.read.parquet(f"{root}/*/run_summary").select(
+        F.col("run_ts").alias("run"), F.lit("whole run").alias("stage"), F.col("rows_in").alias("rows"), "status",
+        (F.col("failed") > 0).cast("int").alias("has_error"),
+    )
+    return stages.unionByName(runs)
 
 
 @query("end_to_end_kpis", "dept_name:s records:l issues:l clean:l total_gross:d total_net:d total_tds:d total_pf:d avg_net:d max_net:d min_net:d avg_take_home:d avg_attendance:d",
