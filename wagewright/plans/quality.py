@@ -230,6 +230,7 @@ def load_guards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---- suites -----------------------------------------------------------------
+# The checks of each suite, with their enumerations, limits and formats.
 EMP_SUITE = [dq.complete("emp_code"), dq.complete("email"), dq.complete("dob", 90.0), dq.complete("basic_salary", 80.0),
     dq.unique("emp_code"), dq.unique("email"), dq.unique("last_name"), dq.within("salary", -1000, 9000),
     ("valid_status", "status IN ('Active','Inactive','Terminated','On-Leave')"),
