@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from wagewright.llm import page_text, pii, queries
+from wagewright.llm import page_text, pii, queries, substring
 from wagewright.llm.components import components
 from wagewright.llm.decontaminate import contaminated, distance
 from wagewright.llm.lexicon import Lexicon
@@ -146,6 +146,32 @@ def test_passages_inside_lines(spark):
         assert texts[r.doc_id][r.start : r.end].lower() in passage.lower()
 
 
+def test_passages_of_short_units(spark):
+    draw = random.Random(21)
+    short = "\n".join(sentence(draw, 3) for _ in range(20))  # lines of fewer words than a unit asks for
+    uncut = " ".join(["vex", "mol"] * 40)
+    one_line = sentence(draw, 14) + " " + "x" * 40
+    rows = [(2 * k, f"{sentence(draw, 30)}\n{p}\n{sentence(draw, 30)}") for k, p in enumerate((short, one_line))]
+    rows += [(2 * k + 1, f"{sentence(draw, 30)}\n{p}\n{sentence(draw, 30)}") for k, p in enumerate((short, one_line))]
+    rows += [(9, uncut)]
+    texts = dict(rows)
+    got = collections.defaultdict(str)
+    for r in sorted(repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect(), key=lambda r: (r.doc_id, r.start)):
+        got[r.doc_id] += texts[r.doc_id][r.start : r.end]
+    assert got[1] == short and got[3] == one_line
+    assert len(got[9]) > 200 and set(got) == {1, 3, 9}
+
+
+def test_units_cover_every_word():
+    draw = random.Random(22)
+    texts = ["", "a", "a b\nc", *[re.sub(" ", lambda m: draw.choice(" \n "), sentence(draw, draw.randint(1, 60))) for _ in range(200)], None, "!? .", "vex " * 50]
+    for text, (digest, start, end) in zip(texts, substring.units(texts, 5, 6), strict=True):
+        covered = {k for a, b in zip(start, end, strict=True) for k in range(a, b)}
+        assert covered >= {k for k, x in enumerate(text or "") if x.isalnum()} and len(digest) == len(start)
+        n = len((text or "").split())
+        assert all(len(text[a:b].split()) >= min(6, n) for a, b in zip(start, end, strict=True)) or "!" in text
+
+
 def test_leaks_against_alignment(spark):
     draw = random.Random(9)
     items = [(k, sentence(draw, 30)) for k in range(6)]

@@ -8,49 +8,99 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wagewright.llm.common import by_arrow, slices
-from wagewright.llm.words import hashed_words, mixed
+from wagewright.llm.words import hashed_words, mixed, points
 from wagewright.session import settled
 
+FACTOR = np.uint64(0xD6E8FEB86659FD93)
+INVERSE = np.uint64(pow(int(FACTOR), -1, 2**64))
 
-def units(texts: list[str | None], every: int, min_words: int):
+
+def stretches(ends: np.ndarray, first: np.ndarray, least: int, min_words: int, back: bool):
+    """First and end words of the units whose paragraphs stop at ``ends``, ``least`` or more of them in a row.
+
+    A unit goes on over following paragraphs until it has ``min_words``; ``back``: a short paragraph also has a unit that
+    reaches back. Near the end of a text units reach back, so that every word lies in one. A text with fewer words is one unit.
+    """
+    starts = np.concatenate([[0], ends[:-1]])
+    low = first[np.searchsorted(first, starts, side="right") - 1]
+    stop = first[np.searchsorted(first, starts, side="right")]
+    last = np.searchsorted(ends, stop)
+    reach = np.maximum(np.arange(len(ends)) + least - 1, np.searchsorted(ends, starts + min_words))
+    end = ends[np.minimum(reach, last)]
+    tail = reach > last
+    backward = lambda to: np.maximum(starts[np.searchsorted(starts, to - min_words, side="right") - 1], low)
+    begin = np.where(tail, np.minimum(starts, np.where(stop - low < min_words, low, backward(np.maximum(stop, min_words)))), starts)
+    if back:
+        short = (ends - starts < min_words) & (ends - low >= min_words)
+        begin = np.concatenate([begin, backward(np.maximum(ends, min_words))[short]])
+        end = np.concatenate([end, ends[short]])
+    return begin, end
+
+
+def cuts(w, every: int, window: int) -> np.ndarray:
+    """Whether a paragraph ends after each word.
+
+    It does where the word's hash is a multiple of ``every``; in ``window`` words of a text without one, at the smallest
+    hash (the last of equal ones). Both depend on the words of a passage alone, and no passage of ``window`` words is uncut.
+    """
+    cut = (w.hash >> np.uint64(11)) % np.uint64(every) == 0
+    edge = np.unique(np.concatenate([[0], np.flatnonzero(cut) + 1, w.first[1:]]))
+    for k in np.flatnonzero(np.diff(edge) > window):
+        lo, hi = edge[k], edge[k + 1]
+        view = np.lib.stride_tricks.sliding_window_view(w.hash[lo:hi][::-1], window)
+        for a in range(0, len(view), 65_536):
+            least = view[a : a + 65_536].argmin(1)
+            cut[hi - 1 - a - np.arange(len(least)) - least] = True
+    return cut
+
+
+def units(texts: list[str | None], every: int, min_words: int, window: int = 20):
     """For each text: digests, first and end code points of its units.
 
-    A paragraph ends after a word whose hash is a multiple of ``every``, so the same passage is cut at the same
-    words wherever it stands, in a line of its own or inside another. A unit is two paragraphs in a row, and
-    overlaps its neighbours by one. Case, punctuation and white space don't count.
+    A paragraph ends at a word its neighbourhood tells (``cuts``), so the same passage is cut at the same words wherever
+    it stands, in a line of its own or inside another. A unit is two paragraphs in a row, and overlaps its neighbours by
+    one. Whole lines, and paragraphs between blank lines, are units too. None is left out for its length: short ones
+    are extended. Case, punctuation and white space don't count.
     """
     for a, b in slices(texts):
         w = hashed_words(texts[a:b], plain=True)
-        cut = (w.hash >> np.uint64(11)) % np.uint64(every) == 0
-        for i in range(b - a):
-            lo, hi = w.first[i], w.first[i + 1]
-            ends = np.flatnonzero(cut[lo:hi]) + 1
-            if not len(ends) or ends[-1] != hi - lo:
-                ends = np.append(ends, hi - lo)
-            starts = np.concatenate([[0], ends[:-1]])
-            if hi == lo:
-                yield np.empty(0, np.uint64), starts[:0], ends[:0]
-                continue
-            place = np.arange(hi - lo) - np.repeat(starts, ends - starts)
-            part = np.add.reduceat(mixed(w.hash[lo:hi] + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), starts)
-            if len(ends) == 1:
-                digest, first, last = mixed(part), starts, ends
-            else:
-                digest, first, last = mixed(mixed(part[:-1]) * np.uint64(3) + part[1:]), starts[:-1], ends[1:]
-            long_ = last - first >= min_words
-            yield digest[long_], w.start[lo:hi][first[long_]], w.end[lo:hi][last[long_] - 1]
+        n = len(w.hash)
+        if not n:
+            yield from [(np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64))] * (b - a)
+            continue
+        cp, at = points(texts[a:b])
+        line = np.searchsorted(np.flatnonzero(cp == 10), w.start + at[w.text])
+        # A line without a letter or digit is blank.
+        step = np.append(np.diff(line), 2)
+        end_of_text = np.zeros(n, dtype=bool)
+        end_of_text[w.first[1:][w.first[1:] > 0] - 1] = True
+        first = np.unique(w.first)
+        found = [
+            stretches(np.flatnonzero(stops | end_of_text) + 1, first, least, min_words, back)
+            for stops, least, back in ((cuts(w, every, window), 2, False), (step > 0, 1, True), (step > 1, 1, True))
+        ]
+        key = np.unique(np.stack([np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found])], axis=1), axis=0)
+        begin, end = key[:, 0], key[:, 1]
+        # Sums of hash * factor ** place, taken back to place 0, so that equal words have equal digests at any place.
+        power = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - 1, FACTOR)]))
+        inverse = np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - 1, INVERSE)]))
+        total = np.concatenate([[np.uint64(0)], np.cumsum(mixed(w.hash) * power)])
+        digest = mixed(mixed((total[end] - total[begin]) * inverse[begin]) + (end - begin).astype(np.uint64))
+        bounds = np.searchsorted(begin, w.first)
+        for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
+            yield digest[lo:hi], w.start[begin[lo:hi]], w.end[end[lo:hi] - 1]
 
 
 def repeated_passages(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", every: int = 5, min_words: int = 6, min_chars: int = 100
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", every: int = 5, min_words: int = 6, min_chars: int = 100, bridge: int = 40
 ) -> DataFrame:
     """Passages to remove: ``doc_id``, ``start``, ``end`` (code points, end exclusive), ``n_chars``, ``first_doc_id``.
 
     Units are grouped by a 64-bit digest over all documents; the occurrence with the smallest (id, offset) stays and
-    all others are marked. Marked units that touch are one passage, and passages of at least ``min_chars``
-    are returned: by chance alone no two units in a row share a digest. ``first_doc_id`` holds the earliest
-    occurrence of the passage's first unit. A unit that all documents hold is counted map-side and joined back, with
-    the join's large partitions split; offsets of one document only meet in its own group.
+    all others are marked. Marked units that touch are one passage. Passages no more than ``bridge`` apart form a run, and those
+    of runs with at least ``min_chars`` marked are returned, without what lies between them: a unit or two can be
+    shared by chance. ``first_doc_id`` holds the earliest occurrence of the units that begin in the passage's first one.
+    A unit that all documents hold is counted map-side and joined back, with the join's large partitions split; offsets of one document only meet in its own group.
 
     Null and blank texts have no units. Rows that repeat an id and text are one occurrence; rows with one id and
     different texts are one document whose offsets count in each text. A null id ranks before all others.
@@ -74,17 +124,24 @@ def repeated_passages(
     again = settled(known.filter(~F.col("first").eqNullSafe(F.col("last"))).select("digest", "first"), "digests")
     marked = rows.join(again, "digest").filter(~F.struct("id", "start").eqNullSafe(F.col("first")))
     spans = marked.groupBy("id", "start").agg(
-        F.max(F.col("start") + F.col("size")).alias("end"), F.min(F.col("first.id")).alias("first_id")
+        F.max(F.col("start") + F.col("size")).alias("end"), F.min(F.struct("first.id")).alias("source")
     )
     before = Window.partitionBy("id").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     upto = Window.partitionBy("id").orderBy("start").rowsBetween(Window.unboundedPreceding, 0)
     fresh = F.coalesce(F.col("start") > F.max("end").over(before) + 1, F.lit(True))
     runs = spans.withColumn("fresh", fresh.cast("int")).withColumn("run", F.sum("fresh").over(upto))
+    # Near its edges a passage's cuts can follow what stands beside it, so its first unit alone may not be a unit everywhere.
+    runs = runs.withColumn("head", F.first("end").over(Window.partitionBy("id", "run").orderBy("start")))
+    source = F.min(F.when(F.col("start") < F.col("head"), F.col("source")))
+    parts = runs.groupBy("id", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), source.getField("id").alias("first_doc_id"))
+    in_order = Window.partitionBy("id").orderBy("start")
+    apart = F.coalesce(F.col("start") - F.lag("end").over(in_order) > bridge, F.lit(True))
+    chains = parts.withColumn("apart", apart.cast("int")).withColumn("chain", F.sum("apart").over(in_order))
+    marked_chars = F.sum(F.col("end") - F.col("start")).over(Window.partitionBy("id", "chain"))
     return (
-        runs.groupBy("id", "run")
-        .agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min_by("first_id", "start").alias("first_doc_id"))
+        chains.withColumn("marked", marked_chars)
+        .filter(F.col("marked") >= min_chars)
         .select(F.col("id").alias("doc_id"), "start", "end", (F.col("end") - F.col("start")).alias("n_chars"), "first_doc_id")
-        .filter(F.col("n_chars") >= min_chars)
     )
 
 
