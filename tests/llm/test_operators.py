@@ -342,3 +342,22 @@ def test_pipeline_stages(spark):
             assert not out.filter("doc_id = 9004").count()
         docs = out
     assert docs.count() and P.STAGES[0][1](spark, spark.read.parquet(f"{SF}/documents.parquet").limit(0), SF).count() == 0
+
+
+def test_pipeline_rows_without_own_id(spark):
+    import corpus_pipeline as P
+
+    draw = random.Random(31)
+    leak = spark.read.parquet(f"{SF}/benchmark.parquet").filter("text is not null").first().text
+    a, b, c, d, e, f, g, h = (sentence(draw, 60) for _ in range(8))
+    leaky = f"{sentence(draw, 20)} {leak} {sentence(draw, 20)}"
+    rows = [(1, a), (None, a), (None, b), (None, c), (None, c + " tail"), (5, d), (5, e), (5, d), (6, f), (7, f), (7, g), (None, ""), (3, ""), (None, leaky), (8, leaky), (8, h)]
+    docs = spark.createDataFrame([(i, t, "en", "x", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = P.settled(P.keep_one_of_each(spark, docs.repartition(7), SF), "test-rows")
+    got = collections.Counter((r.doc_id, r.text) for r in kept.collect())
+    assert tuple(kept.columns) == P.COLUMNS and max(got.values()) == 1
+    tails = {x for x in got if x[1] in (c, c + " tail")}
+    assert len(tails) == 1
+    assert set(got) - tails == {(1, a), (None, b), (5, d), (5, e), (6, f), (7, g), (None, ""), (3, ""), (8, leaky), (8, h)}
+    left = {(r.doc_id, r.text) for r in P.drop_leaks(spark, docs, SF).collect()}
+    assert left == {x for x in rows if x[1] != leaky}

@@ -30,6 +30,11 @@ def stripped(text: Column) -> Column:
     return F.btrim(text, F.lit(SPACES))
 
 
+def text_hash(text: str) -> Column:
+    """Tells rows of one id, or without an id, apart by their text."""
+    return F.xxhash64(F.lit(7), F.col(text)).alias("text_hash")
+
+
 def words(text: Column) -> Column:
     """Runs of characters other than white space; none for a null or blank text."""
     return F.filter(F.split(stripped(F.coalesce(text, F.lit(""))), SPACE_RUN), lambda w: w != "")

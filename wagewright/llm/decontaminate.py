@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wagewright.llm.common import by_arrow, slices
+from wagewright.llm.common import by_arrow, slices, text_hash
 from wagewright.llm.words import alnum, lowered, mixed, points
 
 MULTIPLIER = 0x5851F42D4C957F2D
@@ -182,8 +182,9 @@ def contaminated(
     q: int = 10,
     budget: float = 0.08,
     block_chars: int = 1_000_000,
+    hashed: bool = False,
 ) -> DataFrame:
-    """Benchmark items found in documents: ``doc_id``, ``item_id``, ``n_edits``, ``start``, ``end`` (code points).
+    """Benchmark items found in documents: ``doc_id``, ``item_id``, ``n_edits``, ``start``, ``end`` (code points); with ``hashed`` also the document's ``text_hash``.
 
     Compared are lower-case letters and digits. An item of m of them with an edit budget of e = floor(``budget`` * m) must
     leave m - q + 1 - q * e of its q-grams whole (the q-gram lemma), on diagonals no further apart than e; bands of diagonals
@@ -195,8 +196,8 @@ def contaminated(
     searched. Repeated rows are searched each, and equal finds appear once. Other columns are left out. An empty
     table on either side gives no rows.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("body"))
-    schema = "doc_id long, item_id long, n_edits int, start long, end long"
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("body"), *[text_hash(text_col)] * hashed)
+    schema = "doc_id long, item_id long, n_edits int, start long, end long" + ", text_hash long" * hashed
 
     def search(ids, texts):
         built = []
@@ -209,9 +210,10 @@ def contaminated(
                 out += [(a + t, ids[i], edits, start, end) for t, i, edits, start, end in index.found(body[a:b])]
             cols = list(zip(*out, strict=True)) if out else [()] * 5
             kinds = [None, pa.int64(), pa.int32(), pa.int64(), pa.int64()]
-            doc = batch.column(0).take(pa.array(cols[0], pa.int64()))
+            at = pa.array(cols[0], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [doc, *[pa.array(c, k) for c, k in zip(cols[1:], kinds[1:], strict=True)]], names=["doc_id", "item_id", "n_edits", "start", "end"]
+                [batch.column(0).take(at), *[pa.array(c, k) for c, k in zip(cols[1:], kinds[1:], strict=True)], *[c.take(at) for c in batch.columns[2:]]],
+                names=["doc_id", "item_id", "n_edits", "start", "end"] + ["text_hash"] * hashed,
             )
 
         return by_arrow(rows, work, schema)
