@@ -310,6 +310,26 @@ def test_page_text(spark):
     assert page_text.site_of("https://u@Www.Example.org:80/x") == "www.example.org"
 
 
+def test_page_text_in_named_wrappers(spark):
+    real = "<h1>Head {n}</h1><p>own text {n}</p>"
+    wraps = [
+        "<form id=aspnetForm><nav>menu</nav><main>{0}</main></form>", "<div class='layout has-sidebar'><article>{0}</article><div class=sidebar>side</div></div>",
+        "<article class='post has-comments'>{0}<div class=comments><article class=comment>reader</article></div></article>",
+        "<article>{0}</article><div id=comments><article class=comment>reader</article></div>",
+    ]
+    rows = [(k, f"http://w{k}.example/", "<body>" + w.format(real.format(n=k))) for k, w in enumerate(wraps)]
+    # The tree takes what all articles of a host repeat, and leaves an unnamed lead that differs outside of the article.
+    for n in range(8):
+        rows.append((10 + n, f"http://t.example/{n}", f"<div class=lead>lead {n}</div><div class=strip>always</div><article><p>text {n}</p><div class=box>same line</div></article>"))
+    # Copies of one article under several addresses stay whole.
+    rows += [(30 + n, f"http://m.example/{n}", f"<nav>menu {n}</nav><article><p>one text</p></article>") for n in range(5)]
+    rows += [(40 + n, f"http://n.example/{n}", f"<div>x {n}</div><article><p>one text</p></article>") for n in range(5)]
+    got = {r.page_id: r.text for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[k] for k in range(4)] == [f"Head {k}\n\nown text {k}" for k in range(4)]
+    assert [got[10 + n] for n in range(8)] == [f"lead {n}\n\ntext {n}" for n in range(8)]
+    assert all(got[30 + n] == "one text" and got[40 + n] == f"x {n}\n\none text" for n in range(5))
+
+
 def test_perspectives(spark):
     rows = [(1, 0, "system", "be kind"), (1, 1, "ann", "hi"), (1, 2, "bob", None), (1, 3, None, "?"), (1, 3, None, "?"), (None, 0, "eve", "x"), (2, 0, "system", "alone")]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")

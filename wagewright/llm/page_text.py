@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import html
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import pyarrow as pa
 import xxhash
@@ -23,6 +23,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset("a abbr b bdi bdo big cite code del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
 CHROME = frozenset("nav footer aside form button dialog menu head".split())
 CHROME_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu".split())
+#: Chrome that can hold parts marked as articles of their own: each reader's comment, each related page.
+HOLDERS = frozenset("nav footer aside dialog menu navigation contentinfo complementary comment comments reply replies respond disqus related recommended".split())
 MAIN = frozenset("article main".split())
 #: Words in a class or id that name something other than the article.
 CHROME_WORDS = frozenset(
@@ -33,6 +35,8 @@ CHROME_WORDS = frozenset(
 #: An end tag that is left out: a tag of the key ends an open one of these.
 ENDS = {"li": ("li",), "p": ("p",), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",)}
 BLANK = re.compile(r"\s+")
+#: Page chrome by its name; outside of a page's article or main; on a page without one; inside.
+PRIORS = NAMED, OUTSIDE, UNMARKED, INSIDE = 0, 1, 2, 3
 
 
 @dataclass
@@ -41,7 +45,20 @@ class Open:
     style: str
     chrome: bool
     main: bool
-    children: list[str] = field(default_factory=list)
+    above: Open | None = None
+    holder: bool = False
+    #: Holds an article or main element, or is one.
+    around: bool = False
+    depth: int = 0  # holders among this element and those above
+
+    def __post_init__(self):
+        self.depth = self.holder + (self.above.depth if self.above else 0)
+
+    def line(self):
+        at = self
+        while at:
+            yield at
+            at = at.above
 
 
 def named(attributes: str) -> tuple[str, str]:
@@ -57,15 +74,16 @@ def named(attributes: str) -> tuple[str, str]:
 
 
 def blocks(page: str | None):
-    """(style path, verdict, text) of each block: True inside the article, False in page chrome, None for the site to tell.
+    """(style path, prior, text) of each block: what the page itself says of it, one of ``PRIORS``.
 
-    A page that marks an article or main part vouches for it; there everything outside is chrome.
+    A name doesn't make chrome of an element that holds an article or main element, or is one. Where comments and the like
+    hold articles of their own, those under the fewest such parts are the page's.
     """
     page = page or ""
     stack: list[Open] = [Open("", "", False, False)]
-    out: list[tuple[str, bool | None, str]] = []
+    out: list[tuple[str, Open, str]] = []
     buffer: list[str] = []
-    has_main = False
+    mains: list[Open] = []
 
     def flush():
         text = BLANK.sub(" ", html.unescape("".join(buffer))).strip()
@@ -73,7 +91,7 @@ def blocks(page: str | None):
         if text:
             block = [o for o in stack if o.tag not in INLINE]
             path = ">".join(o.style for o in block[1:])
-            out.append((path, False if any(o.chrome for o in stack) else True if any(o.main for o in stack) else None, text))
+            out.append((path, stack[-1], text))
 
     at = 0
     while at < len(page):
@@ -119,13 +137,27 @@ def blocks(page: str | None):
         own = set(words.split())
         main = tag in MAIN or role == "main"
         inside = any(o.main for o in stack)
-        chrome = tag in CHROME or role in CHROME_ROLES or (tag == "header" and not inside) or (bool(own & CHROME_WORDS) and tag not in ("body", "html"))
-        stack[-1].children.append(tag)
-        if main and not chrome and not any(o.chrome for o in stack):
-            has_main = True
-        stack.append(Open(tag, f"{tag}.{words.replace(' ', '.')}" if words else tag, chrome, main and not chrome))
+        plain = tag not in ("body", "html")
+        chrome = tag in CHROME or role in CHROME_ROLES or (tag == "header" and not inside) or (bool(own & CHROME_WORDS) and plain)
+        holder = plain and bool((own | {tag, role}) & HOLDERS)
+        node = Open(tag, f"{tag}.{words.replace(' ', '.')}" if words else tag, chrome, main, stack[-1], holder)
+        stack.append(node)
+        if main:
+            mains.append(node)
     flush()
-    return [(p, (bool(v) if has_main else v), t) for p, v, t in out]
+    least = min((m.depth for m in mains), default=0)
+    for m in mains:
+        if m.depth == least:
+            for o in m.line():
+                o.around = True
+
+    def prior(node):
+        line = list(node.line())
+        if any(o.chrome and not o.around for o in line):
+            return NAMED
+        return INSIDE if any(o.main and o.around for o in line) else OUTSIDE if mains else UNMARKED
+
+    return [(p, prior(o), t) for p, o, t in out]
 
 
 def site_of(url: str | None) -> str:
@@ -135,51 +167,57 @@ def site_of(url: str | None) -> str:
 
 
 def page_blocks(pages: DataFrame) -> DataFrame:
+    """Blocks of each page; ``path`` is a hash of host, prior and styles, ``page`` one of host and unnamed blocks."""
+
     def work(batch):
         made = [blocks(h) for h in batch.column(2).to_pylist()]
-        kind = pa.list_(pa.struct([("path", pa.string()), ("verdict", pa.bool_()), ("text", pa.string()), ("feature", pa.int64())]))
-        rows = [[{"path": p, "verdict": v, "text": t, "feature": xxhash.xxh3_64_intdigest(t) - 2**63} for p, v, t in page] for page in made]
-        sites = pa.array([site_of(u) for u in batch.column(1).to_pylist()], pa.string())
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), sites, pa.array(rows, kind)], names=["page_id", "url", "site", "blocks"])
+        kind = pa.list_(pa.struct([("path", pa.int64()), ("prior", pa.int32()), ("text", pa.string()), ("feature", pa.int64())]))
+        sites = [site_of(u) for u in batch.column(1).to_pylist()]
+        short = lambda x: xxhash.xxh3_64_intdigest(x) - 2**63
+        rows = [[{"path": short(f"{s} {v} {p}"), "prior": v, "text": t, "feature": short(t)} for p, v, t in page] for s, page in zip(sites, made, strict=True)]
+        page = pa.array([short(s + "".join(f" {b['path']} {b['feature']}" for b in r if b["prior"] != NAMED)) for s, r in zip(sites, rows, strict=True)], pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), page, pa.array(rows, kind)], names=["page_id", "url", "page", "blocks"])
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    return by_arrow(pages, work, f"page_id {kind}, url string, site string, blocks array<struct<path:string,verdict:boolean,text:string,feature:bigint>>")
+    return by_arrow(pages, work, f"page_id {kind}, url string, page long, blocks array<struct<path:bigint,prior:int,text:string,feature:bigint>>")
 
 
-def style_tree(undecided: DataFrame, fade: float) -> DataFrame:
-    """``importance`` of each element (``site``, ``path``) of the merged trees, from 0 to 1.
+def style_tree(found: DataFrame, fade: float) -> DataFrame:
+    """``importance`` of each element (``path``) of the merged trees, from 0 to 1, and its number of pages ``m``.
 
     Pages of a site with the same blocks count once. A block of text found on c of the m pages that share its
     element has the entropy log c / log m, so what every page repeats weighs 0 and what one page alone has weighs 1. An
     element's content importance is the mean of 1 - entropy below it; its presentation importance is the entropy of the
     block layouts found there. They are mixed by ``fade`` to the power of the number of layouts.
     """
-    layout = undecided.groupBy("site", "path", "page").agg(F.count("*").alias("n"))
-    shown = layout.groupBy("site", "path", "n").agg(F.count("*").alias("pages"))
-    total = shown.groupBy("site", "path").agg(F.sum("pages").alias("m"), F.count("*").alias("kinds"))
+    layout = found.groupBy("path", "prior", "page").agg(F.count("*").alias("n"))
+    shown = layout.groupBy("path", "prior", "n").agg(F.count("*").alias("pages"))
+    total = shown.groupBy("path").agg(F.sum("pages").alias("m"), F.count("*").alias("kinds"))
     share = F.col("pages") / F.col("m")
-    styles = shown.join(total, ["site", "path"]).groupBy("site", "path", "m", "kinds").agg(F.sum(-share * F.log(share)).alias("h"))
-    styles = styles.select("site", "path", "m", "kinds", F.when(F.col("m") > 1, F.col("h") / F.log("m")).otherwise(1.0).alias("presentation"))
-    content = undecided.groupBy("site", "path", "feature").agg(F.count_distinct("page").alias("c"))
-    met = content.join(styles, ["site", "path"])
+    styles = shown.join(total, "path").groupBy("path", "prior", "m", "kinds").agg(F.sum(-share * F.log(share)).alias("h"))
+    styles = settled(styles.select("path", "prior", "m", "kinds", F.when(F.col("m") > 1, F.col("h") / F.log("m")).otherwise(1.0).alias("presentation")), "styles")
+    content = found.groupBy("path", "feature").agg(F.count("*").alias("c"))
+    met = content.join(styles, "path")
     own = F.when(F.col("m") > 1, 1 - F.log("c") / F.log("m")).otherwise(1.0)
-    means = met.groupBy("site", "path").agg(
-        F.avg(own).alias("content"), F.first("presentation").alias("presentation"), F.first("kinds").alias("kinds"), F.first("m").alias("m")
-    )
+    means = met.groupBy("path").agg(F.avg(own).alias("content"), *[F.first(c).alias(c) for c in ("prior", "presentation", "kinds", "m")])
     faded = F.pow(F.lit(fade), F.col("kinds"))
-    return means.select("site", "path", "m", ((1 - faded) * F.col("presentation") + faded * F.col("content")).alias("importance"))
+    return means.select("path", "prior", "m", ((1 - faded) * F.col("presentation") + faded * F.col("content")).alias("importance"))
 
 
 def main_text(
-    pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_importance: float = 0.3, min_pages: int = 3, fade: float = 0.9
+    pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_importance: float = 0.3, min_pages: int = 3, fade: float = 0.9,
+    outside: float = 0.5, article: float = 3.0,
 ) -> DataFrame:
     """``page_id``, ``url``, ``text``, ``n_chars`` for each row.
 
-    A page is parsed into blocks of text, each with the path of styles above it. Elements that the standard or
-    their names tell apart (menus, headers, footers, sidebars, notices, adverts, forms, comments; article and main) have
-    fixed importance. Other branches are merged over all pages of a host into a site style tree; branches of low
-    importance there are removed from each page. Sites with fewer than ``min_pages`` pages with a branch keep it.
-    Only paths and hashes of undecided blocks are shuffled to learn the trees, and a host with a third of all pages is
+    A page is parsed into blocks of text, each with the path of styles above it. Elements that the standard or their names
+    call menus, headers, footers, sidebars, notices, adverts, forms or comments go, unless they hold the article: such text differs
+    from page to page as articles do, so a tree can't tell. All other blocks are merged over all pages of a host into a site
+    style tree, which decides elements found on ``min_pages`` pages or more by their importance: those with at least
+    ``min_importance`` stay. What the page marks is a factor of the importance, ``article`` inside its article or main part and
+    ``outside`` elsewhere on a page that has one. An element with fewer pages stays unless it is outside; and an
+    article of which the tree would leave nothing stays whole.
+    Only hashes of blocks are shuffled to learn the trees, and a host with a third of all pages is
     counted map-side. Pages are read a second time to apply the removals, which are broadcast while they are few.
 
     Character references are decoded, white space in a block is one space, blocks are joined by two line feeds. A null or
@@ -188,22 +226,21 @@ def main_text(
     """
     own = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("body"))
     made = page_blocks(own)
-    open_ = F.exists("blocks", lambda b: b.verdict.isNull())
-    page = F.xxhash64("site", F.transform("blocks", lambda b: b.feature))
-    undecided = settled(
-        made.filter(open_)
-        .select("site", page.alias("page"), F.explode(F.filter("blocks", lambda b: b.verdict.isNull())).alias("b"))
-        .select("site", "page", F.col("b.path").alias("path"), F.col("b.feature").alias("feature"))
-        .distinct(),
-        "blocks",
-    )
-    low = style_tree(undecided, fade).filter((F.col("importance") < min_importance) & (F.col("m") >= min_pages))
-    # What to drop from a page depends on its site and blocks alone, so equal pages share a row.
-    drops = settled(
-        undecided.join(low.select("site", "path"), ["site", "path"]).groupBy(F.col("page").alias("drop_page")).agg(F.collect_set("path").alias("drop_paths")),
-        "drops",
+    merged = F.filter("blocks", lambda b: b.prior != NAMED)
+    found = made.select("page", F.explode(merged).alias("b")).select("page", F.col("b.path").alias("path"), F.col("b.prior").alias("prior"), F.col("b.feature").alias("feature"))
+    found = settled(found.distinct(), "blocks")
+    tree = style_tree(found, fade).filter(F.col("m") >= min_pages)
+    weight = F.when(F.col("prior") == INSIDE, F.lit(article)).when(F.col("prior") == OUTSIDE, F.lit(outside)).otherwise(F.lit(1.0))
+    keeps = F.col("importance") * weight >= min_importance
+    # Elements of which the tree says something else than the page. Written, so that the join can split a hot element's partition.
+    turned = settled(tree.filter(keeps != (F.col("prior") >= UNMARKED)).select("path"), "turned")
+    # What to turn on a page depends on its host and blocks alone, so equal pages share a row.
+    turns = settled(
+        found.select("page", "path").distinct().join(turned, "path").groupBy(F.col("page").alias("turn_page")).agg(F.collect_set("path").alias("turned")),
+        "turns",
     )
-    met = made.withColumn("page", page).join(drops, F.col("page") == F.col("drop_page"), "left")
-    stays = lambda b: F.coalesce(b.verdict, ~F.coalesce(F.array_contains("drop_paths", b.path), F.lit(False)))
-    text = F.array_join(F.transform(F.filter("blocks", stays), lambda b: b.text), "\n\n")
+    met = made.join(turns, F.col("page") == F.col("turn_page"), "left").withColumn("turned", F.coalesce("turned", F.array().cast("array<bigint>")))
+    stays = lambda b: (b.prior != NAMED) & ((b.prior >= UNMARKED) != F.array_contains("turned", b.path))
+    met = met.withColumn("article", F.exists("blocks", lambda b: (b.prior == INSIDE) & stays(b)))
+    text = F.array_join(F.transform(F.filter("blocks", lambda b: stays(b) | ((b.prior == INSIDE) & ~F.col("article"))), lambda b: b.text), "\n\n")
     return met.select("page_id", "url", text.alias("text")).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
