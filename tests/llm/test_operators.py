@@ -189,6 +189,21 @@ def test_leaks_against_alignment(spark):
     assert all(r.n_edits <= 4 for r in got)
 
 
+def test_leaks_of_short_items(spark):
+    draw = random.Random(19)
+    sizes = [10, 13, 16, 19, 25, 29, 38, 39, 66]
+    items = [(n, "".join(draw.choice("abcdefghi") for _ in range(n))) for n in sizes]
+    rows, want = [], set()
+    for n, item in items:
+        edits, changed = int(0.08 * n), list(item)
+        for k in range(edits):  # as far apart as they spoil the most
+            changed[(k + 1) * n // (edits + 1)] = "z"
+        rows.append((n, f"{'uvwx ' * 9}{''.join(changed)}{' uvwx' * 9}"))
+        want.add((n, n, edits))
+    got = contaminated(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id, r.n_edits) for r in got.collect()} == want
+
+
 def test_distance():
     draw = random.Random(4)
     for _ in range(60):

@@ -77,7 +77,7 @@ class Index:
         self.items = [values[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
         size = np.array([len(x) for x in self.items], dtype=np.int64)
         self.edits = np.floor(budget * size).astype(np.int64)
-        # Each edit spoils q of the size - q + 1 q-grams; one that is left is the least there is.
+        # Each edit spoils q of the size - q + 1 q-grams; indexes() picks a q that leaves one at least.
         self.least = np.maximum(size - q + 1 - q * self.edits, 1)
         hash_, at = grams(values, text, q)
         hash_ = hash_[at]
@@ -145,6 +145,16 @@ class Index:
             bands[c] = bands.get(c, 0) + n
 
 
+def indexes(ids: list[int], texts: list[str | None], q: int, budget: float) -> list[Index]:
+    """An index for each length of q-grams: the largest up to ``q`` of which a find within budget keeps one whole."""
+    _, text, _ = letters(texts)
+    size = np.bincount(text, minlength=len(ids))
+    fit = np.minimum(q, size // (np.floor(budget * size).astype(np.int64) + 1))
+    # Items with fewer than q letters and digits aren't searched.
+    groups = [(int(own), np.flatnonzero((fit == own) & (size >= q))) for own in np.unique(fit[size >= q])]
+    return [Index([ids[k] for k in at], [texts[k] for k in at], own, budget) for own, at in groups]
+
+
 def pieces(count: np.ndarray, limit: int):
     """Ranges of rows whose counts sum to about ``limit``."""
     group = np.cumsum(count) // limit
@@ -188,7 +198,8 @@ def contaminated(
 
     Compared are lower-case letters and digits. An item of m of them with an edit budget of e = floor(``budget`` * m) must
     leave m - q + 1 - q * e of its q-grams whole (the q-gram lemma), on diagonals no further apart than e; bands of diagonals
-    that hold so many are verified by an alignment limited to the band. The benchmark is a stated query set: it is
+    that hold so many are verified by an alignment limited to the band. Where the lemma leaves none, the item's q-grams are
+    shorter, so that no find within budget is dropped. The benchmark is a stated query set: it is
     taken in blocks of about ``block_chars`` characters, so a task holds one block's index however long the benchmark,
     and the documents are read once per block.
 
@@ -204,10 +215,10 @@ def contaminated(
 
         def work(batch):
             if not built:
-                built.append(Index(ids, texts, q, budget))
-            index, body, out = built[0], batch.column(1).to_pylist(), []
+                built.append(indexes(ids, texts, q, budget))
+            body, out = batch.column(1).to_pylist(), []
             for a, b in slices(body):
-                out += [(a + t, ids[i], edits, start, end) for t, i, edits, start, end in index.found(body[a:b])]
+                out += [(a + t, index.ids[i], edits, start, end) for index in built[0] for t, i, edits, start, end in index.found(body[a:b])]
             cols = list(zip(*out, strict=True)) if out else [()] * 5
             kinds = [None, pa.int64(), pa.int32(), pa.int64(), pa.int64()]
             at = pa.array(cols[0], pa.int64())
