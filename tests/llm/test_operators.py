@@ -358,6 +358,19 @@ def test_perspectives(spark):
         assert all(r.text[m.start : m.end].endswith("<|end|>") for m in r.mask)
 
 
+def test_dialogue_query_joins_the_turns(spark):
+    turns = queries.QUERIES["op8_perspective_rotation"](spark, SF).collect()
+    want, spans = collections.defaultdict(str), collections.defaultdict(list)
+    for r in sorted(turns, key=lambda r: (r.turn or 0, r.turn is not None, r.role, r.name or "", r.rendered)):
+        key = (r.conv_id, r.perspective, (r.turn or 0) // 64)
+        if r.train:
+            spans[key].append((len(want[key]) + r.train_from, len(want[key]) + r.train_to))
+        want[key] += r.rendered
+    got = {(r.conv_id, r.perspective, r.stretch): r for r in queries.QUERIES["op8_dialogues"](spark, SF).collect()}
+    assert {k: r.text for k, r in got.items()} == dict(want)
+    assert all([(m.start, m.end) for m in r.mask] == spans[k] for k, r in got.items())
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline as P
 

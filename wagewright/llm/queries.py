@@ -12,7 +12,7 @@ from wagewright.llm.line_dedup import drop_shared_lines
 from wagewright.llm.near_dedup import near_duplicates
 from wagewright.llm.packing import pack
 from wagewright.llm.page_text import main_text
-from wagewright.llm.perspectives import perspectives
+from wagewright.llm.perspectives import dialogues, perspectives
 from wagewright.llm.pii import personal_data
 from wagewright.llm.quality_rules import RULES, STOP_WORDS, quality_rules
 from wagewright.llm.substring import repeated_passages
@@ -123,6 +123,11 @@ def op8(spark, sf_dir):
     return perspectives(table(spark, sf_dir, "conversations"))
 
 
+@query("op8_dialogues")
+def op8_dialogues(spark, sf_dir):
+    return dialogues(table(spark, sf_dir, "conversations"))
+
+
 @query("op1_substring_dedup")
 def op1(spark, sf_dir):
     return repeated_passages(table(spark, sf_dir, "documents"))
