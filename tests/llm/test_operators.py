@@ -260,6 +260,13 @@ def test_personal_data(spark):
     assert secrets == ["0123456789abcdef0123456789abcdef01234567"]
 
 
+def test_number_beside_a_base_number(spark):
+    text = "Call us at (415) 555-0100 +14155552671 any day"
+    r = pii.personal_data(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    found = {text[int(a) : int(b)] for _, a, b in (s.split(":") for s in r.spans.split(","))}
+    assert r.n_phone == 1 and "+14155552671" in found and any("555-0100" in f for f in found - {"+14155552671"})
+
+
 def test_viterbi_against_all_paths():
     field = pii.default_field()
     words = "call +1 (017) 555-7713 1.2.3.4 now".split()

@@ -295,12 +295,14 @@ def added_spans(texts: list[str], base: list[list[tuple[str, int, int]]], field:
             places.append((t, words))
     out: list[list[tuple[str, int, int]]] = [[] for _ in texts]
     for (t, words), tags in zip(places, field.decode(chains), strict=True):
+        # Words of a base span part a labelled stretch; what stands beside them is a span of its own.
+        taken = [bool(g) and any(x < b and y > a for _, a, b in base[t]) for g, (x, y) in zip(tags, (trimmed(texts[t], *w) for w in words), strict=True)]
         i = 0
         while i < len(words):
             j = i
-            while j < len(words) and tags[j] == tags[i]:
+            while j < len(words) and tags[j] == tags[i] and taken[j] == taken[i]:
                 j += 1
-            if tags[i]:
+            if tags[i] and not taken[i]:
                 start, end = trimmed(texts[t], words[i][0], words[j - 1][1])
                 if start < end and all(end <= a or start >= b for _, a, b in base[t]):
                     out[t].append((LABELS[tags[i]], start, end))
