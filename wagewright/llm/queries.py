@@ -14,6 +14,7 @@ from wagewright.llm.packing import pack
 from wagewright.llm.page_text import main_text
 from wagewright.llm.perspectives import dialogues, perspectives
 from wagewright.llm.pii import personal_data
+from wagewright.llm.prefix_trie import numbered, prefix_trie, with_heads
 from wagewright.llm.quality_rules import RULES, STOP_WORDS, quality_rules
 from wagewright.llm.substring import repeated_passages
 from wagewright.llm.toxicity import toxicity
@@ -156,3 +157,37 @@ def op9(spark, sf_dir):
 @query("op10_decontamination")
 def op10(spark, sf_dir):
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+#: CRC-32 of a byte list, bit by bit.
+CRC32 = """xor(list_reduce(list_prepend(4294967295, {bytes}), lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]),
+               lambda x, _: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END))), 4294967295)"""
+
+OP12 = rf"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos
+           FROM conversations WHERE conv_id IS NOT NULL),
+n AS (SELECT conv_id, max(pos) AS own, conv_id - conv_id % 20 AS base,
+             {CRC32.format(bytes="list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)")} % 4 AS h FROM t GROUP BY conv_id),
+i AS (SELECT n.*, least(n.h, coalesce(b.own, 0)) AS taken FROM n LEFT JOIN n b ON b.conv_id = n.base),
+r AS (SELECT i.conv_id AS c, pos AS d, role, text FROM i JOIN t ON t.conv_id = i.base AND t.pos <= i.taken
+      UNION ALL SELECT i.conv_id, pos - h + taken, role, text FROM i JOIN t USING (conv_id) WHERE pos > h),
+p AS (SELECT c, d, text, string_agg(md5(length(role) || ':' || role || text), '') OVER (PARTITION BY c ORDER BY d) AS k FROM r
+      UNION ALL SELECT conv_id, 0, '', '' FROM i),
+l AS (SELECT c, max(d) AS last FROM p GROUP BY c),
+e AS (SELECT p.d, p.k, string_agg(c::VARCHAR, ',' ORDER BY c) AS ids FROM p JOIN l USING (c) WHERE d = last GROUP BY ALL),
+v AS (SELECT d, k, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * len(list_filter(string_split_regex(any_value(text), '{SPACE}+'), lambda x: x <> '')) AS cost FROM p GROUP BY d, k),
+a AS (SELECT v.*, u.conv_id AS parent_conv_id, u.k AS up FROM v LEFT JOIN v u ON u.d = v.d - 1 AND u.k = left(v.k, greatest(length(v.k) - 32, 0))),
+kids AS (SELECT d - 1 AS d, up AS k, count(*) AS n_children FROM a WHERE d > 0 GROUP BY ALL),
+sub AS (SELECT x.d, x.k, sum(y.cost) AS saved, count_if(q.k IS NULL) AS leaves
+        FROM (SELECT DISTINCT x.d, x.k, y.d AS yd, y.k AS yk FROM p x JOIN p y ON x.c = y.c AND y.d >= x.d) x
+        JOIN v y ON y.d = x.yd AND y.k = x.yk LEFT JOIN kids q ON q.d = x.yd AND q.k = x.yk GROUP BY x.d, x.k)
+SELECT a.conv_id, a.d::BIGINT AS depth, a.parent_conv_id, a.n_convs, coalesce(n_children, 0)::BIGINT AS n_children, leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens,
+       sha256(coalesce(ids, '')) AS ends_sha256
+FROM a JOIN sub ON sub.d = a.d AND sub.k = a.k LEFT JOIN kids ON kids.d = a.d AND kids.k = a.k LEFT JOIN e ON e.d = a.d AND e.k = a.k
+"""
+
+
+@query("op12_prefix_trie", OP12)
+def op12(spark, sf_dir):
+    return prefix_trie(*with_heads(numbered(table(spark, sf_dir, "conversations"))))
