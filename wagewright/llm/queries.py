@@ -13,10 +13,12 @@ from wagewright.llm.near_dedup import near_duplicates
 from wagewright.llm.packing import pack
 from wagewright.llm.page_text import main_text
 from wagewright.llm.perspectives import dialogues, perspectives
+from wagewright.llm.phrases import collocations
 from wagewright.llm.pii import personal_data
 from wagewright.llm.prefix_trie import numbered, prefix_trie, with_heads
 from wagewright.llm.quality_rules import RULES, STOP_WORDS, quality_rules
 from wagewright.llm.substring import repeated_passages
+from wagewright.llm.subwords import quality
 from wagewright.llm.toxicity import toxicity
 from wagewright.sources.tables import table
 
@@ -191,3 +193,34 @@ FROM a JOIN sub ON sub.d = a.d AND sub.k = a.k LEFT JOIN kids ON kids.d = a.d AN
 @query("op12_prefix_trie", OP12)
 def op12(spark, sf_dir):
     return prefix_trie(*with_heads(numbered(table(spark, sf_dir, "conversations"))))
+
+
+OP11 = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS r,
+                  string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS x FROM documents),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda y: y <> '') AS w FROM (SELECT lang, unnest(x) AS piece FROM p)),
+g AS (SELECT lang, 1 AS k, unnest(w) AS phrase FROM w
+      UNION ALL SELECT lang, 2, w[i] || ' ' || w[i + 1] FROM (SELECT lang, w, unnest(range(1, len(w))) AS i FROM w)
+      UNION ALL SELECT lang, 3, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FROM (SELECT lang, w, unnest(range(1, len(w) - 1)) AS i FROM w)),
+f AS (SELECT lang, k, phrase, count(*) AS c FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(c)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, c AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND c >= 10),
+cuts AS (SELECT lang, phrase, k, a, i, array_to_string(w[1:i], ' ') AS x, array_to_string(w[i + 1:], ' ') AS y FROM (SELECT *, unnest(range(1, k)) AS i FROM c)),
+s AS (SELECT cuts.*, l.c AS l, r.c AS r, (1000000::HUGEINT * a * a // (l.c::HUGEINT * r.c))::BIGINT AS score
+      FROM cuts JOIN f l ON l.lang = cuts.lang AND l.phrase = x JOIN f r ON r.lang = cuts.lang AND r.phrase = y),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1),
+inner_ AS (SELECT lang, array_to_string(w[i:i + 1], ' ') AS phrase, max(a) AS longer FROM (SELECT *, unnest([1, 2]) AS i FROM c WHERE k = 3) GROUP BY ALL),
+kept AS (SELECT b.* FROM b LEFT JOIN inner_ USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 50 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM kept JOIN n USING (lang)
+QUALIFY rank <= 2000
+"""
+
+
+@query("op11_collocations", OP11)
+def op11(spark, sf_dir):
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op13_quality_classifier")
+def op13(spark, sf_dir):
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
