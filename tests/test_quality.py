@@ -56,14 +56,14 @@ def test_outliers(spark):
     values = [10.0] * 30 + [11.0] * 30 + [500.0]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id bigint, v double")
     assert [r["v"] for r in q.z_scores(df, "v").filter("z > 3").collect()] == [500.0]
-    assert [r["v"] for r in q.iqr_outliers(df, "v", "id").collect()] == [500.0]
-    got = q.anomaly_profile(df, "v", "id").first()
+    assert [r["v"] for r in q.iqr_outliers(df, "v").collect()] == [500.0]
+    got = q.anomaly_profile(df, "v").first()
     assert (got["total_records"], got["z_outliers"], got["iqr_outliers"]) == (61, 1, 1)
 
 
 def test_constant_has_no_outliers(spark):
     df = spark.createDataFrame([(i, 5.0) for i in range(9)], "id bigint, v double")
-    assert q.z_scores(df, "v").filter("z > 3").count() == 0 and q.iqr_outliers(df, "v", "id").count() == 0
+    assert q.z_scores(df, "v").filter("z > 3").count() == 0 and q.iqr_outliers(df, "v").count() == 0
 
 
 def test_attendance_and_spikes(spark):

@@ -9,6 +9,7 @@ from wagewright.plans import (  # noqa: F401
     scalars,
     snapshots,
     streams,
+    upkeep,
     warehouse,
     windows,
 )

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wagewright.functions.numeric import mean, money, rounded, std, total, zero
-from wagewright.operators.ordering import at_positions, lower_middle, lower_quarter, ranked, upper_middle, upper_quarter
+from wagewright.operators.ordering import lower_middle, lower_quarter, ranked, upper_middle, upper_quarter
+from wagewright.operators.selection import positions_from, value_histogram
 from wagewright.session import settled
 
 
@@ -36,24 +37,56 @@ POSITIONS = {
 POSITION_EXPRS = {"_lo": lower_middle, "_hi": upper_middle, "_q1": lower_quarter, "_q3": upper_quarter}
 
 
-def aggregate_fields(df: DataFrame, key: str, fields: dict[str, list[str]], tie: str) -> DataFrame:
+#: Partial aggregates of a field, and the named aggregates out of them: the same exact sums in two steps.
+PARTIALS: dict[str, Callable[[str], Column]] = {
+    "sum": lambda c: F.sum(c), "squares": lambda c: F.sum(F.col(c) * F.col(c)), "least": lambda c: F.min(c), "most": lambda c: F.max(c),
+}
+NEEDS = {"sum": ("sum",), "mean": ("sum",), "std": ("sum", "squares"), "std_pop": ("sum", "squares"), "min": ("least",), "max": ("most",), "range": ("least", "most"), "count": ()}
+
+
+def _finished(fn: str, f: str) -> Column:
+    n = F.sum("_n").cast("double")
+    whole = {k: (F.min if k == "least" else F.max if k == "most" else F.sum)(f"_{f}_{k}") for k in NEEDS[fn]}
+    if fn == "count":
+        return F.sum("_n")
+    if fn == "sum":
+        return whole["sum"].cast("double")
+    if fn == "mean":
+        return rounded(F.try_divide(whole["sum"].cast("double"), n))
+    if fn in ("min", "max"):
+        return whole["least" if fn == "min" else "most"].cast("double")
+    if fn == "range":
+        return (whole["most"] - whole["least"]).cast("double")
+    s = whole["sum"].cast("double")
+    centred = F.greatest(whole["squares"].cast("double") - F.try_divide(s * s, n), F.lit(0.0))
+    if fn == "std_pop":
+        return rounded(F.sqrt(F.try_divide(centred, n)))
+    return rounded(F.coalesce(F.sqrt(F.try_divide(centred, n - F.lit(1.0))), F.lit(0.0)))
+
+
+def aggregate_fields(df: DataFrame, key: str, fields: dict[str, list[str]]) -> DataFrame:
     """Named aggregates per group; a NULL value counts as 0, a missing key as "Unknown".
 
-    ``tie`` is a unique numeric column, used to place equal values. Order
-    statistics come from ranked slices, so a group may be of any size.
+    Order statistics come from histograms (``selection``), so a group may be of any size. The first such field's
+    histogram also carries the partial sums of all fields: one full read of the rows gives everything but the values
+    inside the few buckets that hold a wanted position.
     """
     names = list(fields)
-    base = df.select(F.coalesce(F.col(key), F.lit("Unknown")).alias(key), tie, *[_amount(f).alias(f) for f in names])
-    plain = [AGGREGATES[fn](f).alias(f"{f}_{fn}") for f in names for fn in fields[f] if fn in AGGREGATES]
-    if any(fn in POSITIONS for f in names for fn in fields[f]):
+    base = df.select(F.coalesce(F.col(key), F.lit("Unknown")).alias(key), *[_amount(f).alias(f) for f in names])
+    placed = [f for f in names if any(fn in POSITIONS for fn in fields[f])]
+    plain = {f"{f}_{fn}": (f, fn) for f in names for fn in fields[f] if fn in NEEDS}
+    partial = [PARTIALS[k](f).alias(f"_{f}_{k}") for f in names for k in PARTIALS if any(k in NEEDS[fn] for g, fn in plain.values() if g == f)]
+    if placed:
         base = settled(base)
-    out = base.groupBy(key).agg(F.count("*").alias("record_count"), *plain)
-    for f in names:
+        histograms = {f: value_histogram(base, f, [key], partial if f == placed[0] else []) for f in placed}
+        parts = histograms[placed[0]]
+    else:
+        parts = base.groupBy(key).agg(F.count("*").alias("_n"), *partial)
+    out = parts.groupBy(key).agg(F.sum("_n").alias("record_count"), *[_finished(fn, f).alias(name) for name, (f, fn) in plain.items()])
+    for f in placed:
         asked = [fn for fn in fields[f] if fn in POSITIONS]
-        if not asked:
-            continue
         spots = {p: POSITION_EXPRS[p]() for fn in asked for p in POSITIONS[fn]}
-        found = at_positions(base, f, tie, spots, [key])
+        found = positions_from(base, histograms[f], f, spots, [key])
         for fn in asked:
             picks = [F.col(p).cast("double") for p in POSITIONS[fn]]
             found = found.withColumn(f"{f}_{fn}", rounded(sum(picks[1:], picks[0]) / len(picks)))

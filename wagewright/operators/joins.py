@@ -77,17 +77,20 @@ def asof_join(
     every version get NULL. The stream is always cut into slices of time, whose
     number is ``slices`` or the session's shuffle partitions, and the last
     version of a key's earlier slices is carried in, so a hot key is spread.
-    Versions and facts without a time are no match and match none.
+    Versions and facts without a time are no match and match none. Whole numbers
+    will do for times.
     """
-    zoned = "timestamp" in (dict(facts.dtypes)[fact_time], dict(versions.dtypes)[version_time])
+    kinds = (dict(facts.dtypes)[fact_time], dict(versions.dtypes)[version_time])
+    zoned = "timestamp" in kinds
+    instant = (lambda c: F.col(c).cast("bigint")) if set(kinds) <= {"int", "bigint"} else (lambda c: micros(c, zoned))
     payload = F.struct(*[F.col(c) for c in carry])
     fact_cols = [c for c in facts.columns if c not in keys]
     old = versions.select(
-        *keys, micros(version_time, zoned).alias("_at"), F.lit(0).alias("_kind"), F.col(version_id).cast("bigint").alias("_id"),
+        *keys, instant(version_time).alias("_at"), F.lit(0).alias("_kind"), F.col(version_id).cast("bigint").alias("_id"),
         payload.alias("_version"),
     )
     new = facts.select(
-        *keys, micros(fact_time, zoned).alias("_at"), F.lit(1).alias("_kind"), F.col(fact_id).cast("bigint").alias("_id"),
+        *keys, instant(fact_time).alias("_at"), F.lit(1).alias("_kind"), F.col(fact_id).cast("bigint").alias("_id"),
         F.struct(*fact_cols).alias("_fact"),
     )
     both = old.unionByName(new, allowMissingColumns=True)

@@ -92,6 +92,15 @@ def write_partitioned(df: DataFrame, path: str, columns: list[str], mode: str =
     df.hint("rebalance", *columns).write.mode(mode).partitionBy(*columns).parquet(path)
 
 
+def replace_partitions(df: DataFrame, path: str, columns: list[str]) -> None:
+    """Write the partitions that ``df`` has rows of in place of the old ones; files of all other partitions stay as they are.
+
+    The same rows again give the same table, so a job that failed or ran twice is simply run again. ``df`` must not read ``path`` itself:
+    store it first.
+    """
+    df.hint("rebalance", *columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(path)
+
+
 def manifest(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """Rows and files per partition of a written table."""
     per_file = spark.read.parquet(path).groupBy(*columns, F.col("_metadata.file_path").alias("f")).agg(F.count("*").alias("n"))

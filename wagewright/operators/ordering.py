@@ -159,24 +159,6 @@ def ntile(tiles: int, row: Column | str, rows: Column | str) -> Column:
     return F.when(row <= wide, in_wide).otherwise(in_small).cast("bigint")
 
 
-def at_positions(
-    df: DataFrame, value: str, tie: str, positions: dict[str, Column], by: list[str] | None = None
-) -> DataFrame:
-    """One row per group with the values found at 1-based positions of the sorted group.
-
-    ``positions`` maps a column name to an expression over ``group_rows``. Rows
-    off every position are dropped before the last, tiny aggregation.
-    """
-    by = list(by or [])
-    rows = ranked(df.select(*by, value, tie), value, tie, by, want=("row_number", "group_rows"))
-    wanted = None
-    for expr in positions.values():
-        hit = F.col("row_number") == expr
-        wanted = hit if wanted is None else wanted | hit
-    picks = [F.max(F.when(F.col("row_number") == expr, F.col(value))).alias(name) for name, expr in positions.items()]
-    return rows.filter(wanted).groupBy(*by).agg(*picks)
-
-
 def lower_quarter() -> Column:
     return F.floor(F.col("group_rows") / 4) + 1
 

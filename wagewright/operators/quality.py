@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from wagewright.functions.numeric import mean, money, ratio, rounded, std, zero
 from wagewright.functions.text import is_blank
 from wagewright.operators.history import over_history
-from wagewright.operators.ordering import at_positions, lower_quarter, upper_quarter
+from wagewright.operators.ordering import lower_quarter, upper_quarter
+from wagewright.operators.selection import at_positions
 
 RESULT = ["check_name", "total", "violations", "passed", "low", "high"]
 
@@ -214,24 +215,24 @@ def z_scores(df: DataFrame, field: str) -> DataFrame:
     return df.withColumn("z", F.abs((x.cast("double") - stats["mu"]) / stats["sd"]))
 
 
-def iqr_fences(df: DataFrame, field: str, tie: str) -> DataFrame:
+def iqr_fences(df: DataFrame, field: str) -> DataFrame:
     """Nearest-rank quartiles and the 1.5 IQR fences, one row."""
-    amounts = df.select(zero(field).cast("decimal(18,2)").alias("_x"), tie)
-    q = at_positions(amounts, "_x", tie, {"q1": lower_quarter(), "q3": upper_quarter()})
+    amounts = df.select(zero(field).cast("decimal(18,2)").alias("_x"))
+    q = at_positions(amounts, "_x", {"q1": lower_quarter(), "q3": upper_quarter()})
     span = (F.col("q3") - F.col("q1")) * F.lit("1.5").cast("decimal(2,1)")
     return q.select("q1", "q3", (F.col("q1") - span).alias("lower"), (F.col("q3") + span).alias("upper"))
 
 
-def iqr_outliers(df: DataFrame, field: str, tie: str) -> DataFrame:
-    fences = iqr_fences(df, field, tie).select(F.struct("lower", "upper").alias("f")).scalar()
+def iqr_outliers(df: DataFrame, field: str) -> DataFrame:
+    fences = iqr_fences(df, field).select(F.struct("lower", "upper").alias("f")).scalar()
     x = zero(field).cast("decimal(18,2)")
     return df.filter(~x.between(fences["lower"], fences["upper"]))
 
 
-def anomaly_profile(df: DataFrame, field: str, tie: str, threshold: float = 3.0) -> DataFrame:
+def anomaly_profile(df: DataFrame, field: str, threshold: float = 3.0) -> DataFrame:
     x = zero(field).cast("decimal(18,2)")
-    fences = iqr_fences(df, field, tie).select(F.struct("lower", "upper").alias("f")).scalar()
-    rows = z_scores(df.select(field, tie), field).withColumn("_x", x).withColumn("_f", fences)
+    fences = iqr_fences(df, field).select(F.struct("lower", "upper").alias("f")).scalar()
+    rows = z_scores(df.select(field), field).withColumn("_x", x).withColumn("_f", fences)
     stats = rows.agg(
         F.count("*").alias("total_records"), mean(money("_x")).alias("_mu"), std("_x").alias("_sd"),
         F.count_if(F.col("z") > threshold).alias("z_outliers"),

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wagewright.functions import calendar as cal
 from wagewright.functions.text import row_hash
 from wagewright.operators.history import over_history
-from pyspark.sql import Window
+from wagewright.operators.joins import first_per_key
+from wagewright.session import settled
 
 
 def calendar_dimension(df: DataFrame, day: str) -> DataFrame:
@@ -55,29 +56,70 @@ def type2_history(df: DataFrame, key: str, changed_at: str, tie: str, tracked: l
     )
 
 
-def type2_apply(current: DataFrame, incoming: DataFrame, key: str, tracked: list[str], as_of: str) -> DataFrame:
-    """Load new states into a type-2 dimension.
+def type2_load(current: DataFrame, incoming: DataFrame, key: str, tracked: list[str], order: list[Column] | None = None, **limits) -> DataFrame:
+    """Load dated states, late ones too, into a type-2 dimension.
 
-    ``current`` holds key, tracked columns, row_hash, effective_from,
-    effective_to and is_current. Changed keys close their open version and open
-    a new one; unknown keys open one; closed versions pass through.
+    ``current`` holds key, tracked columns, row_hash, effective_from, effective_to and is_current; ``incoming`` key, tracked
+    columns and effective_from. The versions of a key are a function of time that steps where a version starts, and to
+    nothing where one ends and no other starts. An incoming state is one more step: it splits the version its date falls in
+    and holds until the next step, so later versions stay as they are. On the date of an existing start it replaces that
+    version. Of several incoming states of one key and date the first in ``order`` counts (by default the largest hash).
+    A version next to an incoming state that equals it is one with it, so loading the same rows again changes nothing.
+
+    Keys without incoming states pass through. Incoming rows without a key or date are left out. ``limits`` as in
+    ``history.over_history``: ``chunk_rows`` cuts a long history into chunks.
     """
-    day = F.lit(as_of).cast("date")
-    fresh = incoming.select(key, *tracked).withColumn("row_hash", row_hash(*tracked))
-    hashes = fresh.select(key, F.col("row_hash").alias("_new"))
-    kept = current.join(hashes, key, "left").withColumn(
-        "_close", (F.col("is_current") == 1) & F.col("_new").isNotNull() & (F.col("_new") != F.col("row_hash"))
-    )
-    kept = kept.withColumn("effective_to", F.when(F.col("_close"), day).otherwise(F.col("effective_to"))).withColumn(
-        "is_current", F.when(F.col("_close"), 0).otherwise(F.col("is_current"))
-    ).select(*current.columns)
-    open_now = current.filter("is_current = 1").select(key, F.col("row_hash").alias("_old"))
-    opened = (
-        fresh.join(open_now, key, "left")
-        .filter(F.col("_old").isNull() | (F.col("_old") != F.col("row_hash")))
-        .select(
-            key, *tracked, "row_hash", day.alias("effective_from"), F.lit(None).cast("date").alias("effective_to"),
-            F.lit(1).alias("is_current"),
-        )
+    kind = dict(current.dtypes)["effective_from"]
+    fresh = incoming.filter(F.col(key).isNotNull() & F.col("effective_from").isNotNull())
+    fresh = fresh.withColumn("effective_from", F.col("effective_from").cast(kind)).withColumn("row_hash", row_hash(*tracked))
+    fresh = first_per_key(fresh, [key, "effective_from"], order or [F.desc("row_hash")])
+    touched = settled(fresh.select(key).distinct(), "touched")  # its size decides how the old versions meet it
+    own = current.join(touched, key, "left_semi")
+
+    def steps(df: DataFrame, at: str, weight: int, empty: bool = False) -> DataFrame:
+        kinds = dict(current.dtypes)
+        state = [(F.lit(None) if empty else F.col(c)).cast(kinds[c]).alias(c) for c in [*tracked, "row_hash"]]
+        return df.select(key, F.col(at).alias("_at"), F.lit(weight).alias("_weight"), F.struct(*state).alias("_state"))
+
+    every = steps(own.filter("effective_to IS NOT NULL"), "effective_to", 0, empty=True)
+    # A version that ends on the day it starts never held.
+    every = every.unionByName(steps(own.filter("effective_to IS NULL OR effective_to > effective_from"), "effective_from", 1)).unionByName(steps(fresh, "effective_from", 2))
+    one = every.groupBy(key, "_at").agg(F.max("_weight").alias("_weight"), F.max_by("_state", "_weight").alias("_state"))
+    was = over_history(one, [key], "_at", "_weight", {"_was": lambda w: F.lag(F.struct("_weight", F.col("_state.row_hash").alias("hash"))).over(w)}, back=1, **limits)
+    same = F.col("_was.hash").eqNullSafe(F.col("_state.row_hash")) & ((F.col("_weight") != 1) | (F.col("_was._weight") == 2))
+    changed = was.filter(~same).drop("_was")
+    closed = over_history(changed, [key], "_at", "_weight", {"effective_to": lambda w: F.lead("_at").over(w)}, ahead=1, **limits)
+    loaded = closed.filter("_state.row_hash IS NOT NULL").select(
+        key, "_state.*", F.col("_at").alias("effective_from"), "effective_to", F.col("effective_to").isNull().cast("int").alias("is_current")
     )
-    return kept.unionByName(opened.select(*current.columns))
+    return current.join(touched, key, "left_anti").unionByName(loaded.select(*current.columns))
+
+
+def type2_apply(current: DataFrame, incoming: DataFrame, key: str, tracked: list[str], as_of: str, order: list[Column] | None = None, **limits) -> DataFrame:
+    """``type2_load`` of undated states, all of the day ``as_of``."""
+    dated = incoming.withColumn("effective_from", F.lit(as_of).cast("date"))
+    return type2_load(current, dated, key, tracked, order, **limits)
+
+
+def retained_versions(history: DataFrame, horizon: str | Column, start: str = "effective_from", end: str = "effective_to") -> DataFrame:
+    """The rows of a dated table that some instant from ``horizon`` on can see: open ones and those that end after it.
+
+    ``snapshots.valid_at`` gives the same rows for every instant from the horizon on. A filter, so no sort and no shuffle.
+    """
+    at = (F.lit(horizon) if isinstance(horizon, str) else horizon).cast(dict(history.dtypes)[start])
+    return history.filter(F.col(end).isNull() | ((F.col(end) > at) & (F.col(end) > F.col(start))))
+
+
+def retained_changes(history: DataFrame, keys: list[str], at: str, tie: str, horizon: str | Column, gone: Column | None = None) -> DataFrame:
+    """The same for rows that only say since when they hold: those after ``horizon``, and of each key the last one up to it.
+
+    Of rows of one instant the largest ``tie`` is the last; ``gone`` tells rows that delete their key, which are dropped when
+    they are the last up to the horizon. The last row of a key is an aggregate, combined before the shuffle; later rows aren't moved.
+    """
+    limit = (F.lit(horizon) if isinstance(horizon, str) else horizon).cast(dict(history.dtypes)[at])
+    rest = [c for c in history.columns if c not in (*keys, at, tie)]
+    last = history.filter(F.col(at) <= limit).groupBy(*keys).agg(F.max_by(F.struct(at, tie, *rest), F.struct(at, tie)).alias("_last"))
+    seen = last.select(*keys, "_last.*")
+    if gone is not None:
+        seen = seen.filter(~F.coalesce(gone, F.lit(False)))
+    return history.filter(F.col(at) > limit).unionByName(seen.select(*history.columns))

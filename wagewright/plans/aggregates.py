@@ -15,7 +15,8 @@ from wagewright.operators.aggregate import (
     pivot_table,
 )
 from wagewright.operators.joins import first_per_key
-from wagewright.operators.ordering import at_positions, gini, lower_quarter, upper_quarter
+from wagewright.operators.ordering import gini, lower_quarter, upper_quarter
+from wagewright.operators.selection import at_positions
 from wagewright.registry import query
 from wagewright.session import settled
 from wagewright.sources import roles
@@ -98,7 +99,6 @@ def agg_multi_function(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregate_fields(
         roles.wide_payroll(spark, sf_dir), "dept_name",
         {"net": ["sum", "mean", "median", "min", "max", "std", "range", "pct_25", "pct_75"], "days_present": ["mean"]},
-        tie="payroll_id",
     )
 
 
@@ -109,10 +109,8 @@ def agg_multi_function(spark: SparkSession, sf_dir: str) -> DataFrame:
        count(*) OVER (PARTITION BY dept_name) AS c FROM r_wide) GROUP BY 1""",
 )
 def nearest_rank_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = settled(roles.wide_payroll(spark, sf_dir, roles.payroll_headers(spark, sf_dir)).select("dept_name", "gross", "payroll_id"))
-    return at_positions(
-        wide, "gross", "payroll_id", {"pct_25": lower_quarter(), "pct_75": upper_quarter()}, ["dept_name"]
-    )
+    wide = settled(roles.wide_payroll(spark, sf_dir, roles.payroll_headers(spark, sf_dir)).select("dept_name", "gross"))
+    return at_positions(wide, "gross", {"pct_25": lower_quarter(), "pct_75": upper_quarter()}, ["dept_name"])
 
 
 @query(

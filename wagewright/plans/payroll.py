@@ -40,7 +40,7 @@ def payslip_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _slab_sql(inc: str, slabs: list) -> str:
+def slab_sql(inc: str, slabs: list) -> str:
     terms = []
     for lo, hi, rate in slabs:
         if rate:
@@ -51,7 +51,7 @@ def _slab_sql(inc: str, slabs: list) -> str:
 
 def _tax_sql(inc: str, rule: pay.TaxRule) -> str:
     inc = f"CAST({inc} AS DECIMAL(18,2))"
-    tax = _slab_sql(inc, rule.slabs)
+    tax = slab_sql(inc, rule.slabs)
     cut = f"greatest({tax}-{rule.rebate},0)"
     return cut if rule.rebate_limit is None else f"(CASE WHEN {inc}<={rule.rebate_limit} THEN {cut} ELSE {tax} END)"
 
@@ -138,7 +138,7 @@ INCOME_SQL = "(SELECT emp_id, CAST(pay_basic*12 AS DECIMAL(18,2)) AS income FROM
 
 
 @query("tax_new_regime", "emp_id:l income:d slab_tax:d annual_tax:d",
-       f"SELECT emp_id, income, {_slab_sql('income', pay.NEW_SLABS)} AS slab_tax, {_annual_sql('income', pay.SERVICE_TAX)} AS annual_tax FROM {INCOME_SQL}")
+       f"SELECT emp_id, income, {slab_sql('income', pay.NEW_SLABS)} AS slab_tax, {_annual_sql('income', pay.SERVICE_TAX)} AS annual_tax FROM {INCOME_SQL}")
 def tax_new_regime(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incomes(spark, sf_dir).withColumns({
         "slab_tax": pay.slab_tax("income", pay.NEW_SLABS), "annual_tax": pay.annual_tax("income", pay.SERVICE_TAX)

@@ -347,7 +347,7 @@ def zscore_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("iqr_outliers", "event_id:l value:d", f"SELECT event_id, value FROM events, {FENCE} WHERE NOT {V} BETWEEN lo AND hi")
 def iqr_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dq.iqr_outliers(table(spark, sf_dir, "events").select("event_id", "value"), "value", "event_id")
+    return dq.iqr_outliers(table(spark, sf_dir, "events").select("event_id", "value"), "value")
 
 
 @query("salary_anomaly_profile", "total_records:l mean:d std_dev:d cv_pct:d z_outliers:l iqr_outliers:l normal_low:d normal_high:d",
@@ -356,7 +356,7 @@ def iqr_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
            {r('any_value(mu)-2*any_value(sd)')} AS normal_low, {r('any_value(mu)+2*any_value(sd)')} AS normal_high
            FROM events, (SELECT {avg(V)} AS mu, {std(V)} AS sd FROM events), {FENCE}""")
 def salary_anomaly_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dq.anomaly_profile(table(spark, sf_dir, "events"), "value", "event_id")
+    return dq.anomaly_profile(table(spark, sf_dir, "events"), "value")
 
 
 @query("low_attendance", "payroll_id:l emp_id:l days_present:l attendance_pct:d flag:s",

@@ -125,3 +125,23 @@ def tagged(out: str) -> Callable[[DataFrame, int], None]:
 def files_per_batch(spark: SparkSession) -> int:
     """A bounded batch: as many files as a quarter of the session's tasks."""
     return max(1, parallelism(spark) // 4)
+
+
+def running_by_key(rows: DataFrame, key: str, at: str, tie: str, units: str) -> DataFrame:
+    """Each row with its number (``nth``, from 1) and the sum of ``units`` so far (``total``) among the rows of its key, in order of arrival.
+
+    Keyed state: two numbers per key, kept from batch to batch and over restarts on the same checkpoint. Within a batch rows are ordered by
+    ``at`` and ``tie``; the batch's size, which the source bounds, is what one key's rows can need of memory. ``key``, ``tie`` and ``units`` are whole numbers.
+    """
+    import pandas as pd
+
+    def work(group, parts, state):
+        n, total = state.get if state.exists else (0, 0)
+        frame = pd.concat(list(parts)).sort_values([at, tie], kind="stable")
+        sums = total + frame[units].cumsum()
+        out = pd.DataFrame({key: frame[key], tie: frame[tie], "nth": range(n + 1, n + len(frame) + 1), "total": sums})
+        state.update((n + len(frame), int(sums.iloc[-1])))
+        yield out.astype("int64")
+
+    schema = f"{key} long, {tie} long, nth long, total long"
+    return rows.select(key, at, tie, units).groupBy(key).applyInPandasWithState(work, schema, "n long, total long", "append", "NoTimeout")
