@@ -9,7 +9,8 @@ from wagewright.operators import ordering as o
 from wagewright.operators import selection
 from wagewright.operators.aggregate import aggregate_fields
 
-SPOTS = {"q1": o.lower_quarter(), "q3": o.upper_quarter(), "lo": o.lower_middle(), "hi": o.upper_middle(), "least": F.lit(1), "most": F.col("group_rows")}
+def spots():
+    return {"q1": o.lower_quarter(), "q3": o.upper_quarter(), "lo": o.lower_middle(), "hi": o.upper_middle(), "least": F.lit(1), "most": F.col("group_rows")}
 
 
 def check(got, values):
@@ -21,7 +22,7 @@ def check(got, values):
 @pytest.mark.parametrize("n", [1, 2, 3, 4, 7, 8, 100])
 def test_positions(spark, n):
     values = [float((i * 37) % 101) for i in range(n)]
-    check(selection.at_positions(spark.createDataFrame([(v,) for v in values], "v double"), "v", SPOTS).first(), values)
+    check(selection.at_positions(spark.createDataFrame([(v,) for v in values], "v double"), "v", spots()).first(), values)
 
 
 @pytest.mark.parametrize("parts", [2, 7, 65536])
@@ -36,7 +37,7 @@ def test_every_kind_of_number(spark, monkeypatch, parts):
     for kind, values in kinds.items():
         df = spark.createDataFrame([(draw.choice(["a", "b", None]), v) for v in values] + [("a", None)], f"g string, v {kind}").repartition(4)
         rows = df.collect()
-        got = selection.at_positions(df, "v", SPOTS, ["g"]).collect()
+        got = selection.at_positions(df, "v", spots(), ["g"]).collect()
         assert len(got) == 3
         for r in got:
             check(r, [x.v for x in rows if x.g == r.g and x.v is not None])
@@ -49,13 +50,13 @@ def test_hot_value_and_hot_group(spark):
     values = {}
     for r in df.collect():
         values.setdefault(r.g, []).append(r.v)
-    for r in selection.at_positions(df, "v", SPOTS, ["g"]).collect():
+    for r in selection.at_positions(df, "v", spots(), ["g"]).collect():
         check(r, values[r.g])
 
 
 def test_empty(spark):
     df = spark.createDataFrame([], "g string, v double")
-    assert selection.at_positions(df, "v", SPOTS, ["g"]).collect() == []
+    assert selection.at_positions(df, "v", spots(), ["g"]).collect() == []
 
 
 def test_two_ranked_fields_and_none(spark):

@@ -67,7 +67,7 @@ def slab_amount(income: Column, low: int, high: int | None) -> Column:
 def slab_tax(income: Column | str, slabs: list) -> Column:
     income = as_col(income).cast(MONEY)
     parts = [slab_amount(income, lo, hi) * dec(f"{rate / 100:.2f}", "decimal(4,2)") for lo, hi, rate in slabs if rate]
-    return reduce(lambda a, b: a + b, parts).cast("decimal(24,4)")
+    return F.when(income.isNotNull(), reduce(lambda a, b: a + b, parts)).cast("decimal(24,4)")  # least() would skip a null
 
 
 def tax_before_cess(income: Column | str, rule: TaxRule) -> Column:

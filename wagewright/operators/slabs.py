@@ -69,7 +69,8 @@ def tax_by_slabs(df: DataFrame, income: Column | str, fiscal_year: Column | str,
     income gives nulls. Of the slab reached, the surcharge rate holds for the whole tax.
     """
     lookup, most = slab_lookup(slabs)
-    x = F.greatest(as_col(income).cast(MONEY), F.lit(0).cast(MONEY))
+    x = as_col(income).cast(MONEY)
+    x = F.when(x < 0, F.lit(0).cast(MONEY)).otherwise(x)
     met = df.withColumns({"_x": x, "_year": as_col(fiscal_year).cast("string")}).join(lookup.withColumnRenamed("fiscal_year", "_year"), "_year", "left")
     # The last bound below the income, not the one it meets.
     below = F.col("_x") - F.lit("0.01").cast("decimal(3,2)")

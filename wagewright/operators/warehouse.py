@@ -64,7 +64,7 @@ def type2_load(current: DataFrame, incoming: DataFrame, key: str, tracked: list[
     nothing where one ends and no other starts. An incoming state is one more step: it splits the version its date falls in
     and holds until the next step, so later versions stay as they are. On the date of an existing start it replaces that
     version. Of several incoming states of one key and date the first in ``order`` counts (by default the largest hash).
-    A version next to an incoming state that equals it is one with it, so loading the same rows again changes nothing.
+    In these keys equal neighbours become one version, so loading the same rows again changes nothing.
 
     Keys without incoming states pass through. Incoming rows without a key or date are left out. ``limits`` as in
     ``history.over_history``: ``chunk_rows`` cuts a long history into chunks.
@@ -79,18 +79,17 @@ def type2_load(current: DataFrame, incoming: DataFrame, key: str, tracked: list[
     def steps(df: DataFrame, at: str, weight: int, empty: bool = False) -> DataFrame:
         kinds = dict(current.dtypes)
         state = [(F.lit(None) if empty else F.col(c)).cast(kinds[c]).alias(c) for c in [*tracked, "row_hash"]]
-        return df.select(key, F.col(at).alias("_at"), F.lit(weight).alias("_weight"), F.struct(*state).alias("_state"))
+        return df.select(key, F.col(at).alias("_day"), F.lit(weight).alias("_weight"), F.struct(*state).alias("_state"))
 
     every = steps(own.filter("effective_to IS NOT NULL"), "effective_to", 0, empty=True)
     # A version that ends on the day it starts never held.
     every = every.unionByName(steps(own.filter("effective_to IS NULL OR effective_to > effective_from"), "effective_from", 1)).unionByName(steps(fresh, "effective_from", 2))
-    one = every.groupBy(key, "_at").agg(F.max("_weight").alias("_weight"), F.max_by("_state", "_weight").alias("_state"))
-    was = over_history(one, [key], "_at", "_weight", {"_was": lambda w: F.lag(F.struct("_weight", F.col("_state.row_hash").alias("hash"))).over(w)}, back=1, **limits)
-    same = F.col("_was.hash").eqNullSafe(F.col("_state.row_hash")) & ((F.col("_weight") != 1) | (F.col("_was._weight") == 2))
-    changed = was.filter(~same).drop("_was")
-    closed = over_history(changed, [key], "_at", "_weight", {"effective_to": lambda w: F.lead("_at").over(w)}, ahead=1, **limits)
+    one = every.groupBy(key, "_day").agg(F.max("_weight").alias("_weight"), F.max_by("_state", "_weight").alias("_state"))
+    was = over_history(one, [key], "_day", "_weight", {"_was": lambda w: F.lag("_state.row_hash").over(w)}, back=1, **limits)
+    changed = was.filter(~F.col("_was").eqNullSafe(F.col("_state.row_hash"))).drop("_was")
+    closed = over_history(changed, [key], "_day", "_weight", {"effective_to": lambda w: F.lead("_day").over(w)}, ahead=1, **limits)
     loaded = closed.filter("_state.row_hash IS NOT NULL").select(
-        key, "_state.*", F.col("_at").alias("effective_from"), "effective_to", F.col("effective_to").isNull().cast("int").alias("is_current")
+        key, "_state.*", F.col("_day").alias("effective_from"), "effective_to", F.col("effective_to").isNull().cast("int").alias("is_current")
     )
     return current.join(touched, key, "left_anti").unionByName(loaded.select(*current.columns))
 
