@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from wagewright.llm.common import by_arrow, slices
 from wagewright.llm.words import BASE, is_space, mixed, points
+from wagewright.session import settled
 
 SIZES = (2, 3, 4, 5)  # characters in an n-gram, word ends included
 PAIR = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -147,8 +148,9 @@ def quality(
     """
     named = labels.select(F.col(id_col).alias("label_id"), F.col(label_col).alias("label")).filter(F.col("label").isin(0, 1) & ~in_sample("label_id", rest))
     named = named.groupBy("label_id").agg(F.max("label").cast("int").alias("label"))
-    rows = docs.select(F.col(id_col).alias("label_id"), F.col(text_col).alias("body")).join(named, "label_id")
-    n, chars = rows.agg(F.count("*"), F.sum(F.char_length("body"))).first()
+    # Ids and lengths find the sample's share; texts are only read where the few ids of the sample are met.
+    size = docs.select(F.col(id_col).alias("label_id"), F.char_length(text_col).cast("long").alias("size"))
+    n, chars = size.join(named, "label_id").agg(F.count("*"), F.sum("size")).first()
     share = min(1.0, train_rows / max(n, 1), train_chars / max(chars or 0, 1))
     draw = F.pmod(F.xxhash64(F.lit(13), "label_id"), F.lit(1 << 30))
 
@@ -159,9 +161,10 @@ def quality(
             ids, shares = [x.tobytes() for x, _ in found], [x.tobytes() for _, x in found]
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(ids, pa.binary()), pa.array(shares, pa.binary()), batch.column(2).slice(a, b - a)], names=["label_id", "ids", "shares", "label"])
 
-    kind = rows.schema["label_id"].dataType.simpleString()
-    chosen = rows.filter(draw < int((1 << 30) * share)).select("label_id", "body", "label")
-    seen = sorted(by_arrow(chosen, measure, f"label_id {kind}, ids binary, shares binary, label int").collect(), key=lambda r: (str(r.label_id), bytes(r.ids), bytes(r.shares)))
+    sample = settled(named.filter(draw < int((1 << 30) * share)), "sample")
+    chosen = docs.select(F.col(id_col).alias("label_id"), F.col(text_col).alias("body")).join(sample, "label_id")
+    kind = chosen.schema["label_id"].dataType.simpleString()
+    seen = sorted(by_arrow(chosen.select("label_id", "body", "label"), measure, f"label_id {kind}, ids binary, shares binary, label int").collect(), key=lambda r: (str(r.label_id), bytes(r.ids), bytes(r.shares)))
     label = np.array([r.label for r in seen], dtype=np.int64)
     value, constant = np.zeros(1 << bits), -30.0
     if 0 < label.sum() < len(label):
