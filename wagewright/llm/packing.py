@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -13,11 +14,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wagewright.llm.common import by_arrow, ship_code
+from wagewright.llm.common import by_arrow, give_back, ship_code, slices
 from wagewright.session import settled
 
 LENGTH = 1024
-TWO_SPACES = re.compile(r"\s\s")
+CONTROLS = re.compile("[\x1c-\x1f]")
 VOCABULARY = "byte_bpe_50k.json"
 
 
@@ -27,12 +28,61 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
-class Tokens:
-    """Ids of whole texts, with the ids of each word and the space before it remembered.
+#: White space that an ASCII table doesn't tell: its code points, and controls that not all call white space.
+ODD = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: Characters whose class no version of Unicode doubts.
+UNSURE = re.compile("[^\n \x21-\x7eÀ-ÖØ-öø-ÿ]")
+#: How the byte-level vocabulary cuts a text before it merges bytes, and the characters that stand for bytes in its file.
+CUTS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def byte_letters() -> dict[str, int]:
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(rest)}
+
+
+def quick_encoder(path: str):
+    """The same merges run by a faster library, or None if the file isn't a byte-level vocabulary whose merges come in the order of its ids."""
+    import tiktoken
+
+    with open(path, encoding="utf-8") as file:
+        found = json.load(file)
+    model, cut, letters = found["model"], found.get("pre_tokenizer") or {}, byte_letters()
+    pairs = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in model.get("merges", [])]
+    ids = [model["vocab"].get(p) for p in pairs]
+    if found.get("normalizer") or cut.get("type") != "ByteLevel" or cut.get("add_prefix_space") or not cut.get("use_regex", True):
+        return None
+    if None in ids or any(a >= b for a, b in zip(ids, ids[1:])) or not set(letters) <= model["vocab"].keys():
+        return None
+    ranks = {bytes(letters[c] for c in token): i for token, i in model["vocab"].items() if set(token) <= letters.keys()}
+    extra = {t["content"] for t in found.get("added_tokens", [])}
+    ranks = {k: i for k, i in ranks.items() if k.decode("utf-8", "replace") not in extra}
+    return tiktoken.Encoding("merges", pat_str=CUTS, mergeable_ranks=ranks, special_tokens={})
+
 
-    The tokenizer cuts a text before every space that a visible character follows, so such words can be encoded one
-    by one. A text with two white-space characters in a row is encoded whole.
+def units(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Where the units of the texts ``raw[at[i]:at[i + 1]]`` begin: stretches that the tokenizer never joins with what stands beside them.
+
+    A word takes the single space before it. Of a longer run of white space all but the last character are a unit, and so are
+    the last one if it isn't a space and a run that ends a text. No text is empty.
     """
+    space = ((raw >= 9) & (raw <= 13)) | (raw == 32)
+    first = np.zeros(len(raw), dtype=bool)
+    first[at[:-1]] = True
+    last = np.zeros(len(raw), dtype=bool)
+    last[at[1:] - 1] = True
+    open_ = space & (first | np.append(True, ~space[:-1]))  # a run begins
+    close = np.flatnonzero(space & (last | np.append(~space[1:], True)))  # and ends
+    begins = first | open_
+    within = close[~last[close]]  # a word follows in the same text
+    begins[within] = True
+    begins[within[raw[within] != 32] + 1] = True
+    return np.flatnonzero(begins)
+
+
+class Tokens:
+    """Ids of whole texts. With a byte-level vocabulary, units are encoded once for each call, however often they occur in its texts."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -40,34 +90,61 @@ class Tokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+        self.quick = quick_encoder(path)
+        self.feed = None if self.quick is None else self.quick.encode_to_numpy("\n")
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _pool(self, distinct: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the distinct units, and how many each has: many units in one text, parted by line feeds, whose token no unit has.
+
+        Units of plain letters, digits and signs go through the faster library, which merges the same pairs in the same order; all others don't.
+        """
+        kinds: list[list[int]] = [[], [], [], [], []]
+        for i, u in enumerate(distinct):
+            kinds[4 if not u.strip(" \t\n\x0b\x0c\r") else 2 * (UNSURE.search(u) is not None) + (u[0] == " ")].append(i)
+        ids, sizes = [], np.zeros(len(distinct), dtype=np.int64)
+        for some in kinds[:4]:
+            for a in range(0, len(some), 4000):
+                joined = "\n".join([distinct[i] for i in some[a : a + 4000]])
+                found = self._encode([joined])[0] if UNSURE.search(joined) else self.quick.encode_to_numpy(joined)
+                ends = np.append(np.flatnonzero(found == self.feed), len(found))
+                sizes[some[a : a + 4000]] = np.diff(ends, prepend=-1) - 1
+                ids.append(found[found != self.feed])
+        blank = self._encode([distinct[i] for i in kinds[4]])
+        sizes[kinds[4]] = [len(x) for x in blank]
+        order = np.concatenate([np.array(k, dtype=np.int64) for k in kinds])
+        starts = np.zeros(len(distinct), dtype=np.int64)
+        starts[order] = np.cumsum(sizes[order]) - sizes[order]
+        return np.concatenate([*ids, *blank, np.zeros(0, "<u4")]), np.stack([starts, sizes])
 
     def ids(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text and a closing 0."""
-        parts: list[list[str]] = []
-        for text in texts:
-            text = text or ""
-            if TWO_SPACES.search(text):
-                parts.append([text])
-            else:
-                first, *rest = text.split(" ")
-                parts.append([first, *[" " + w for w in rest]])
-        known = self.known
-        new = list({w for p in parts for w in p if w not in known})
-        if len(known) + len(new) > 1_000_000:
-            known.clear()
-            new = list({w for p in parts for w in p})
-        for a in range(0, len(new), 10_000):
-            known.update(zip(new[a : a + 10_000], self._encode(new[a : a + 10_000]), strict=True))
-        end = b"\0\0\0\0"
-        out = [np.frombuffer(b"".join([known[w] for w in p]) + end, dtype="<u4") for p in parts]
-        for p in parts:  # whole texts aren't worth remembering
-            if len(p) == 1 and len(p[0]) > 64:
-                known.pop(p[0], None)
+        texts = [t or "" for t in texts]
+        end = np.zeros(1, "<u4")
+        out: list[np.ndarray] = [end] * len(texts)
+        odd = [i for i, t in enumerate(texts) if self.quick is None or not t.isascii() and ODD.search(t) or t.isascii() and CONTROLS.search(t)]
+        for i, found in zip(odd, self._encode([texts[i] for i in odd]), strict=True):
+            out[i] = np.append(found, end)
+        rest = set(odd)
+        plain = [i for i, t in enumerate(texts) if t and i not in rest]
+        if not plain:
+            return out
+        body = [texts[i].encode() for i in plain]
+        raw = np.frombuffer(b"".join(body), dtype=np.uint8)
+        at = np.zeros(len(body) + 1, dtype=np.int64)
+        np.cumsum([len(b) for b in body], out=at[1:])
+        begins = units(raw, at)
+        found = pa.LargeStringArray.from_buffers(len(begins), pa.py_buffer(np.append(begins, len(raw))), pa.py_buffer(raw)).dictionary_encode()
+        pool, (starts, sizes) = self._pool(found.dictionary.to_pylist())
+        unit = found.indices.to_numpy()
+        long = sizes[unit]
+        ends = np.cumsum(long)
+        flat = pool[np.repeat(starts[unit] - (ends - long), long) + np.arange(int(ends[-1]))]
+        cut = np.append(0, ends)[np.searchsorted(begins, at)]
+        for i, a, b in zip(plain, cut[:-1], cut[1:], strict=True):
+            out[i] = np.append(flat[a:b], end)
         return out
 
 
@@ -91,11 +168,18 @@ def cut_rows(rows: DataFrame, path: str, length: int) -> DataFrame:
     """
 
     def run(batches):
+        try:
+            yield from cut(batches)
+        finally:
+            _tokens.clear()
+            give_back()
+
+    def cut(batches):
         task, seen, windows = TaskContext.get().partitionId(), np.zeros(length + 1, np.int64), 0
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for a in range(0, len(texts), 256):
-                ids = tokens(path).ids(texts[a : a + 256])
+            for a, b in slices(texts, 4_000_000):
+                ids = tokens(path).ids(texts[a:b])
                 size = np.array([len(x) for x in ids], dtype=np.int64)
                 full = size // length
                 rest = size - full * length
