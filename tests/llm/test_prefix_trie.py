@@ -62,17 +62,17 @@ def conversations(n, seed=5):
 
 
 def test_equals_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(trie, "IDS", 3)
     monkeypatch.setattr(trie, "CHUNK", 4)
     rows = conversations(180)
     rows += [(500, t, "user", "one two", "x", "x") for t in range(50)] + [(501 + 20 * k, t, "user", "one two", "x", "x") for k in range(30) for t in range(9)]
-    rows += [(2000 + k, 0, "user", "the same for all", "x", "x") for k in range(200)]
+    rows += [(2000 + k, 0, "user", "the same for all", "x", "x") for k in range(1200)]  # more than one piece of an end list
     rows += [(3000, 1, "a", "bc", "x", "x"), (3001, 1, "ab", "c", "x", "x")] * 3 + [(None, 1, "user", "lost", "x", "x"), (3002, None, None, None, "x", "x")]
     assert result(spark, rows) == brute(rows)
 
 
-def test_whole_chunks(spark):
-    rows = conversations(60, seed=8) + [(800, t, "user", "w " * (t % 7), "x", "x") for t in range(3000)] + [(801, 0, "user", "long " * 30_000, "x", "x")]
+def test_long_conversation(spark, monkeypatch):
+    monkeypatch.setattr(trie, "CHUNK", 16)
+    rows = conversations(60, seed=8) + [(800, t, "user", "w " * (t % 7), "x", "x") for t in range(150)] + [(801, 0, "user", "long " * 30_000, "x", "x")]
     assert result(spark, rows) == brute(rows)
 
 

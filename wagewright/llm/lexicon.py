@@ -5,6 +5,9 @@ from __future__ import annotations
 # Digits that stand for letters.
 LEET = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t"}
 
+#: Bytes, about, of remembered words, and remembered steps of the automaton (some 200 bytes each).
+WORDS, MOVES = 24_000_000, 120_000
+
 
 def allowed(term: str) -> int:
     """Edits that a whole term may differ by; short words differ by one edit from too many others."""
@@ -33,6 +36,7 @@ class Lexicon:
         self.move: list[dict[str, int]] = []
         self.start = self._state({0: 0})
         self.known: dict[str, tuple[float, float, float] | None] = {}
+        self.words = self.moves = 0
 
     def _insert(self, term: str, budget: int) -> int:
         node = 0
@@ -73,15 +77,25 @@ class Lexicon:
                 if cost < found.get(below, 99):
                     found[below] = cost
         self.move[state][c] = made = self._state(found)
+        self.moves += 1
         return made
 
+    def _forget(self) -> None:
+        """Drop what was remembered, so that a worker's memory doesn't grow with the words it meets."""
+        self.known.clear()
+        self.words = 0
+        if self.moves > MOVES:
+            self.sets, self.number, self.move, self.moves = [], {}, [], 0
+            self.start = self._state({0: 0})
+
     def read(self, word: str) -> tuple[float, float, float] | None:
         """Weight of the word as a term, as a misspelled term and by its stem; None for most words."""
         known = self.known
         if word in known:
             return known[word]
-        if len(known) > 400_000:
-            known.clear()
+        self.words += len(word) + 100
+        if self.words > WORDS or self.moves > MOVES:
+            self._forget()
         state, move, stem = self.start, self.move, 0.0
         sets, stems = self.sets, self.stem
         for c in word:

@@ -33,7 +33,7 @@ def term_counts(rows: DataFrame) -> DataFrame:
     def work(batch):
         counts = (Counter(), Counter())
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            words = {w for w in WORD.findall((text or "").lower()) if len(w) >= 4}
+            words = set(WORD.findall((text or "").lower()))
             counts[toxic].update(words)
             counts[toxic].update({w[:k] + "*" for w in words for k in STEMS if k < len(w)})
         keys = list(counts[0].keys() | counts[1].keys())
@@ -44,8 +44,8 @@ def term_counts(rows: DataFrame) -> DataFrame:
     return by_arrow(rows, work, "term string, toxic long, civil long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("civil").alias("civil"))
 
 
-def learned_lexicon(rows: DataFrame, size: int, odds: float) -> tuple[dict[str, float], dict[str, float]]:
-    """Terms and stems at least ``odds`` (natural log) likelier in toxic documents, the ``size`` strongest of each."""
+def learned_lexicon(rows: DataFrame, odds: float) -> tuple[dict[str, float], dict[str, float]]:
+    """All terms and stems at least ``odds`` (natural log) likelier in toxic documents; the sample of labelled rows bounds their number."""
     n = {r.toxic: r["count"] for r in rows.groupBy("toxic").count().collect()}
     toxic, civil = n.get(1, 0), n.get(0, 0)
     if not toxic or not civil:
@@ -54,10 +54,8 @@ def learned_lexicon(rows: DataFrame, size: int, odds: float) -> tuple[dict[str,
     often = term_counts(rows).filter(F.col("toxic") >= max(4, toxic // 100))
     strong = settled(often.withColumn("weight", F.round(weight, 6)).filter(F.col("weight") >= odds), "terms")
     found: tuple[dict[str, float], dict[str, float]] = ({}, {})
-    for kind, out in enumerate(found):
-        own = strong.filter(F.col("term").endswith("*") if kind else ~F.col("term").endswith("*"))
-        for r in own.orderBy(F.desc(F.col("weight") * F.sqrt("toxic")), "term").limit(size).collect():
-            out[r.term.rstrip("*")] = r.weight
+    for r in strong.orderBy("term").collect():
+        found[r.term.endswith("*")][r.term.removesuffix("*")] = r.weight
     return found
 
 
@@ -116,7 +114,6 @@ def toxicity(
     text_col: str = "text",
     label_col: str = "toxic",
     train_rows: int = 8000,
-    lexicon_size: int = 120,
     odds: float = 1.6,
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
@@ -137,14 +134,14 @@ def toxicity(
     draw = F.pmod(F.xxhash64(F.lit(5), "label_id"), F.lit(1 << 30))
     chosen = named.filter(draw < int((1 << 30) * min(1.0, train_rows / max(n, 1))))
     rows = docs.join(chosen, docs[id_col] == chosen.label_id).select(F.col(text_col).alias("body"), "toxic", F.pmod(F.xxhash64(F.lit(6), "label_id"), F.lit(2)).alias("half"))
-    terms, stems = learned_lexicon(rows.filter("half = 0").select("body", "toxic"), lexicon_size, odds)
+    terms, stems = learned_lexicon(rows.filter("half = 0").select("body", "toxic"), odds)
 
     def measure(batch):
         lexicon = cache(terms, stems)
         x = [features(t, lexicon) for t in batch.column(0).to_pylist()]
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), batch.column(1)], names=["x", "toxic"])
 
-    seen = by_arrow(rows.filter("half = 1").select("body", "toxic"), measure, "x array<double>, toxic int").collect()
+    seen = by_arrow(rows.filter("half = 1").select("body", "toxic"), measure, "x array<double>, toxic int", forget).collect()
     seen.sort(key=lambda r: (r.x, r.toxic))  # sums in one order, whatever order the rows came in
     if seen and terms.keys() | stems.keys():
         weights = fitted(np.array([r.x for r in seen]), np.array([float(r.toxic) for r in seen]))
@@ -168,7 +165,7 @@ def toxicity(
             [c for _, c in rest] + [pa.array(p), pa.array((p >= 0.5).astype(np.int32))], names=[m for m, _ in rest] + ["score", "predicted"]
         )
 
-    out = by_arrow(own, score, f"{kinds}, score double, predicted int")
+    out = by_arrow(own, score, f"{kinds}, score double, predicted int", forget)
     return out.select("doc_id", "held_out", "score", "predicted", *[F.col(f"kept_{c}").alias(c) for c in extra])
 
 
@@ -183,3 +180,7 @@ def cache(terms: dict[str, float], stems: dict[str, float]) -> Lexicon:
         _built.clear()
         _built[key] = (terms, stems, Lexicon(terms, stems))
     return _built[key][2]
+
+
+def forget() -> None:
+    _built.clear()
