@@ -17,7 +17,7 @@ from wagewright.llm.phrases import collocations
 from wagewright.llm.pii import personal_data
 from wagewright.llm.prefix_trie import numbered, prefix_trie, with_heads
 from wagewright.llm.quality_rules import RULES, STOP_WORDS, quality_rules
-from wagewright.llm.substring import repeated_passages
+from wagewright.llm.substring import repeated_passages, without_passages
 from wagewright.llm.subwords import quality
 from wagewright.llm.toxicity import toxicity
 from wagewright.sources.tables import table
@@ -136,6 +136,14 @@ def op1(spark, sf_dir):
     return repeated_passages(table(spark, sf_dir, "documents"))
 
 
+@query("op1_without_passages")
+def op1_without_passages(spark, sf_dir):
+    """The documents as the removal leaves them, with the original offsets of what went."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    left = without_passages(docs, repeated_passages(docs))
+    return left.select("doc_id", "removed", F.char_length("text").cast("long").alias("n_chars"), F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
 @query("op2_toxicity")
 def op2(spark, sf_dir):
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

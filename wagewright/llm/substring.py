@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wagewright.llm.common import by_arrow, slices
+from wagewright.llm.common import by_arrow, slices, text_hash
 from wagewright.llm.words import hashed_words, mixed, points
 from wagewright.session import settled
 
@@ -94,7 +94,7 @@ def units(texts: list[str | None], every: int, min_words: int, window: int = 20)
 def repeated_passages(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", every: int = 5, min_words: int = 6, min_chars: int = 100, bridge: int = 40
 ) -> DataFrame:
-    """Passages to remove: ``doc_id``, ``start``, ``end`` (code points, end exclusive), ``n_chars``, ``first_doc_id``.
+    """Passages to remove: ``doc_id``, ``start``, ``end`` (code points, end exclusive), ``n_chars``, ``first_doc_id``, ``text_hash``.
 
     Units are grouped by a 64-bit digest over all documents; the occurrence with the smallest (id, offset) stays and
     all others are marked. Marked units that touch are one passage. Passages no more than ``bridge`` apart form a run, and those
@@ -102,58 +102,68 @@ def repeated_passages(
     shared by chance. ``first_doc_id`` holds the earliest occurrence of the units that begin in the passage's first one.
     A unit that all documents hold is counted map-side and joined back, with the join's large partitions split; offsets of one document only meet in its own group.
 
-    Null and blank texts have no units. Rows that repeat an id and text are one occurrence; rows with one id and
-    different texts are one document whose offsets count in each text. A null id ranks before all others.
-    Other columns are left out, and an empty table gives no rows.
+    Null and blank texts have no units. Rows that repeat an id and text are one occurrence. Rows without an id, and rows with one id and
+    different texts, are told apart by their text: ``text_hash`` names theirs and is null for all others. Ids are of any type that
+    can be ordered; a null id ranks before all others. Other columns are left out, and an empty table gives no rows.
     """
 
     def work(batch):
-        found = list(units(batch.column(1).to_pylist(), every, min_words))
+        found = list(units(batch.column(2).to_pylist(), every, min_words))
         sizes = np.fromiter((len(d) for d, _, _ in found), np.int64, len(found))
-        at = np.repeat(np.arange(len(found)), sizes)
+        at = pa.array(np.repeat(np.arange(len(found)), sizes))
         digest = np.concatenate([d for d, _, _ in found]).view(np.int64)
         start = np.concatenate([s for _, s, _ in found]).astype(np.int64)
         end = np.concatenate([e for _, _, e in found]).astype(np.int64)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(digest), batch.column(0).take(pa.array(at)), pa.array(start), pa.array((end - start).astype(np.int32))],
-            names=["digest", "id", "start", "size"],
+            [pa.array(digest), batch.column(0).take(at), batch.column(1).take(at), pa.array(start), pa.array((end - start).astype(np.int32))],
+            names=["digest", "id", "twin", "start", "size"],
         )
 
-    rows = by_arrow(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("body")), work, "digest long, id long, start long, size int")
-    known = rows.groupBy("digest").agg(F.min(F.struct("id", "start")).alias("first"), F.max(F.struct("id", "start")).alias("last"))
+    given = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("body"), text_hash(text_col))
+    several = given.filter("id IS NOT NULL").groupBy("id").agg(F.min("text_hash").alias("x"), F.max("text_hash").alias("y")).filter("x <> y")
+    several = settled(several.select(F.col("id").alias("several_id")), "several")  # its size decides how texts meet it
+    named = given.join(several, given.id == several.several_id, "left")
+    twin = F.when(F.col("id").isNull() | F.col("several_id").isNotNull(), F.col("text_hash")).alias("twin")
+    kind = given.schema["id"].dataType.simpleString()
+    rows = by_arrow(named.select("id", twin, "body"), work, f"digest long, id {kind}, twin long, start long, size int")
+    place, row = F.struct("id", "twin", "start"), ["id", "twin"]
+    known = rows.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     again = settled(known.filter(~F.col("first").eqNullSafe(F.col("last"))).select("digest", "first"), "digests")
-    marked = rows.join(again, "digest").filter(~F.struct("id", "start").eqNullSafe(F.col("first")))
-    spans = marked.groupBy("id", "start").agg(
+    marked = rows.join(again, "digest").filter(~place.eqNullSafe(F.col("first")))
+    spans = marked.groupBy(*row, "start").agg(
         F.max(F.col("start") + F.col("size")).alias("end"), F.min(F.struct("first.id")).alias("source")
     )
-    before = Window.partitionBy("id").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    upto = Window.partitionBy("id").orderBy("start").rowsBetween(Window.unboundedPreceding, 0)
+    in_order = Window.partitionBy(*row).orderBy("start")
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    upto = in_order.rowsBetween(Window.unboundedPreceding, 0)
     fresh = F.coalesce(F.col("start") > F.max("end").over(before) + 1, F.lit(True))
     runs = spans.withColumn("fresh", fresh.cast("int")).withColumn("run", F.sum("fresh").over(upto))
     # Near its edges a passage's cuts can follow what stands beside it, so its first unit alone may not be a unit everywhere.
-    runs = runs.withColumn("head", F.first("end").over(Window.partitionBy("id", "run").orderBy("start")))
+    runs = runs.withColumn("head", F.first("end").over(Window.partitionBy(*row, "run").orderBy("start")))
     source = F.min(F.when(F.col("start") < F.col("head"), F.col("source")))
-    parts = runs.groupBy("id", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), source.getField("id").alias("first_doc_id"))
-    in_order = Window.partitionBy("id").orderBy("start")
+    parts = runs.groupBy(*row, "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), source.getField("id").alias("first_doc_id"))
     apart = F.coalesce(F.col("start") - F.lag("end").over(in_order) > bridge, F.lit(True))
     chains = parts.withColumn("apart", apart.cast("int")).withColumn("chain", F.sum("apart").over(in_order))
-    marked_chars = F.sum(F.col("end") - F.col("start")).over(Window.partitionBy("id", "chain"))
+    marked_chars = F.sum(F.col("end") - F.col("start")).over(Window.partitionBy(*row, "chain"))
     return (
         chains.withColumn("marked", marked_chars)
         .filter(F.col("marked") >= min_chars)
-        .select(F.col("id").alias("doc_id"), "start", "end", (F.col("end") - F.col("start")).alias("n_chars"), "first_doc_id")
+        .select(F.col("id").alias("doc_id"), "start", "end", (F.col("end") - F.col("start")).alias("n_chars"), "first_doc_id", F.col("twin").alias("text_hash"))
     )
 
 
 def without_passages(docs: DataFrame, passages: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents with their passages cut out, and ``removed``: the original offsets, in order.
 
-    Ids that carry several different texts keep them whole, since an offset would fit only one.
+    A passage is cut from the rows with its id and, where it names one, its text. All rows and columns stay; a null text and one without passages
+    stay as they are, with no offsets. A column called ``removed`` is replaced. No documents: no rows.
     """
-    spans = passages.groupBy(F.col("doc_id").alias("cut_id")).agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("cuts"))
-    mixed_ids = docs.groupBy(F.col(id_col).alias("m")).agg(F.min(F.xxhash64(text_col)).alias("x"), F.max(F.xxhash64(text_col)).alias("y")).filter("x <> y")
-    spans = spans.join(mixed_ids, spans.cut_id.eqNullSafe(mixed_ids.m), "left_anti")
-    met = docs.drop("removed").join(spans, F.col(id_col).eqNullSafe(F.col("cut_id")), "left")
+    spans = passages.groupBy(F.col("doc_id").alias("cut_id"), F.col("text_hash").alias("cut_hash")).agg(
+        F.sort_array(F.collect_set(F.struct("start", "end"))).alias("cuts")
+    )
+    met = docs.drop("removed").withColumn("_hash", text_hash(text_col))
+    own = F.col(id_col).eqNullSafe(F.col("cut_id")) & (F.col("cut_hash").isNull() | (F.col("cut_hash") == F.col("_hash")))
+    met = met.join(spans, own, "left")
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
     met = met.withColumn("removed", F.coalesce("cuts", none))
     size = F.char_length(text_col).cast("long")
