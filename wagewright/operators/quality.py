@@ -100,16 +100,6 @@ def _refused(df: DataFrame, check: Check) -> str | None:
     return None
 
 
-def _planned(df: DataFrame, checks: list[Check]) -> bool:
-    """Whether all checks can be planned, found in one step for the usual case."""
-    try:
-        cols = [c.alias(f"_{i}_{k}") for i, check in enumerate(checks) if check.kind != "uniqueness" for k, c in enumerate(_one_pass(check))]
-        df.agg(F.count("*"), *cols, *[F.max(c.field) for c in checks if c.kind == "uniqueness"]).schema
-    except (AnalysisException, ParseException):
-        return False
-    return True
-
-
 def _failed(df: DataFrame, names: list[str]) -> DataFrame:
     return df.sparkSession.createDataFrame(
         [(n, None, None, 0, None, None) for n in names], "check_name string, total bigint, violations bigint, passed int, low double, high double"
@@ -123,9 +113,14 @@ def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
     row without counts, and the others go on. An error that a value raises
     (a bad cast, say) only shows when the plan runs: see ``run_suite``.
     """
-    refused = [None] * len(checks) if _planned(df, checks) else [_refused(df, c) for c in checks]
-    bad = [c.name for c, why in zip(checks, refused) if why]
-    checks = [c for c, why in zip(checks, refused) if not why]
+    try:
+        return _results(df, checks, [])
+    except (AnalysisException, ParseException, KeyError):  # only then is it asked which checks can't be planned
+        refused = [_refused(df, c) for c in checks]
+        return _results(df, [c for c, why in zip(checks, refused) if not why], [c.name for c, why in zip(checks, refused) if why])
+
+
+def _results(df: DataFrame, checks: list[Check], bad: list[str]) -> DataFrame:
     single = [c for c in checks if c.kind != "uniqueness"]
     distinct = [c for c in checks if c.kind == "uniqueness"]
     parts = [_duplicates(df, distinct)] if distinct else []

@@ -421,7 +421,9 @@ def merge_three_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count_if(F.col("status") == "Absent").alias("days_absent"),
         F.sum(F.greatest(F.col("hours") - 8, F.lit(0))).alias("overtime"),
     )
-    merged = roles.payroll(spark, sf_dir).join(people, "emp_id", "left").join(present, "emp_id", "left")
+    # Staff and attendance meet first and are stored: one join meets the records, and a hot employee's can be split.
+    known = people.join(present, "emp_id", "full")
+    merged = roles.payroll(spark, sf_dir).join(settled(known, "staff-attendance"), "emp_id", "left")
     return merged.fillna("", ["emp_code", "full_name", "dept_name", "location"]).fillna(0, ["days_absent", "overtime"]).withColumns({
         "take_home_pct": rounded(ratio("net", "gross", 100), 1),
         "attendance_pct": rounded(ratio("days_present", "working_days", 100), 1),

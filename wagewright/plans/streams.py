@@ -19,7 +19,7 @@ V = "CAST(value AS DECIMAL(18,2))"
 @query("stream_event_counts", "event_type:s events:l amount:d", f"SELECT event_type, count(*) AS events, sum({V}) AS amount FROM events GROUP BY 1")
 def stream_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, check = scratch(spark, "counts"), scratch(spark, "checkpoint")
-    jobs.each_batch(jobs.running_totals(jobs.table_stream(jobs.stream_session(spark), sf_dir)), jobs.keep_batch(out), check, "complete")
+    jobs.each_batch(jobs.running_totals(jobs.table_stream(jobs.stream_session(spark), sf_dir)), jobs.keep_latest(out), check, "complete")
     return jobs.latest_batch(spark, out)
 
 
@@ -31,7 +31,7 @@ WINDOW_SQL = f"SELECT strftime(date_trunc('day',ts),'%Y-%m-%d %H:%M') AS window_
 @query("stream_tumbling_window", WINDOW, WINDOW_SQL)
 def stream_tumbling_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, check = scratch(spark, "windows"), scratch(spark, "checkpoint")
-    jobs.each_batch(jobs.tumbling(jobs.table_stream(jobs.stream_session(spark), sf_dir)), jobs.keep_batch(out), check, "complete")
+    jobs.each_batch(jobs.tumbling(jobs.table_stream(jobs.stream_session(spark), sf_dir)), jobs.keep_latest(out), check, "complete")
     return jobs.latest_batch(spark, out)
 
 

@@ -177,7 +177,11 @@ def level_of(basic: str) -> Column:
            FROM (SELECT dept_id, dept_name, {TITLE} AS lv FROM r_emp) GROUP BY dept_id, dept_name, lv""")
 def star_dim_designation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Designations in use: a band within a department, keyed by both, so none is renumbered."""
-    people = roles.employees(spark, sf_dir).select("dept_id", "dept_name", salary_band(F.col("pay_basic")).alias("band"), level_of("pay_basic").alias("level"))
+    return designations(roles.employees(spark, sf_dir))
+
+
+def designations(staff: DataFrame) -> DataFrame:
+    people = staff.select("dept_id", "dept_name", salary_band(F.col("pay_basic")).alias("band"), level_of("pay_basic").alias("level"))
     used = people.groupBy("dept_id", "dept_name", "band", "level").agg(F.count("*").alias("staff"))
     dept_key = F.col("dept_id") + 1
     return used.select(
@@ -190,7 +194,11 @@ def star_dim_designation(spark: SparkSession, sf_dir: str) -> DataFrame:
        "SELECT grade_id AS grade_key, grade_code, hra_pct, da_pct, count(*) AS staff FROM r_emp JOIN r_grade ON pay_basic>=basic_min AND pay_basic<basic_max GROUP BY 1,2,3,4")
 def star_dim_grade(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Grades in use with the staff in each."""
-    graded = roles.employees(spark, sf_dir).select(roles.grade_of(F.col("pay_basic")).alias("g")).select("g.*")
+    return grades(roles.employees(spark, sf_dir))
+
+
+def grades(staff: DataFrame) -> DataFrame:
+    graded = staff.select(roles.grade_of(F.col("pay_basic")).alias("g")).select("g.*")
     return graded.groupBy(F.col("grade_id").cast("bigint").alias("grade_key"), "grade_code", "hra_pct", "da_pct").agg(F.count("*").alias("staff"))
 
 
@@ -211,17 +219,30 @@ def fact_payroll(spark: SparkSession, sf_dir: str) -> DataFrame:
        f"""SELECT payroll_id, emp_id, dept_key, dept_key*10+{TITLE} AS desig_key, grade_id AS grade_key, period_key, gross, net, tds, effective_tax_rate, take_home_ratio
            FROM {FACT} f JOIN r_grade g ON f.pay_basic>=g.basic_min AND f.pay_basic<g.basic_max""")
 def star_fact_payroll(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All five surrogate keys resolved against their dimensions; rows that miss one are dropped."""
+    """All five surrogate keys resolved against their dimensions; rows that miss one are dropped.
+
+    The keys that hang on the employee are resolved once for each employee, against dimensions made from the same stored staff; the records then meet
+    staff and periods only.
+    """
     def stored(dim: DataFrame, label: str, *names: str) -> DataFrame:
-        return settled(dim, label).select(*names)  # the file size decides whether it is broadcast
+        return settled(dim.select(*names), label)  # the file size decides whether it is broadcast
 
-    desigs = stored(star_dim_designation(spark, sf_dir), "dim-designation", "desig_key", "dept_key", "level")
-    grades = stored(star_dim_grade(spark, sf_dir), "dim-grade", "grade_key", "grade_code")
+    people = roles.employees(spark, sf_dir).select("emp_id", "dept_id", "dept_name", "pay_basic")
+    staff = settled(people, "staff")
+    keyed = staff.select(
+        "emp_id", (F.col("dept_id") + 1).cast("bigint").alias("dept_key"), level_of("pay_basic").alias("level"), roles.grade_of(F.col("pay_basic"))["grade_code"].alias("grade_code")
+    )
+    desigs = stored(designations(staff), "dim-designation", "desig_key", "dept_key", "level")
+    ranks = stored(grades(staff), "dim-grade", "grade_key", "grade_code")
+    depts = stored(dim_department(spark, sf_dir), "dim-department", "dept_key")
+    keys = keyed.join(depts, "dept_key", "left_semi").join(desigs, ["dept_key", "level"]).join(ranks, "grade_code")
+    keys = settled(keys.select("emp_id", "dept_key", "desig_key", "grade_key"), "staff-keys")
     periods = stored(star_dim_period(spark, sf_dir), "dim-period", "period_key")
-    fact = fact_payroll(spark, sf_dir).withColumns({
-        "level": level_of("pay_basic"), "grade_code": roles.grade_of(F.col("pay_basic"))["grade_code"],
-    })
-    return fact.join(desigs, ["dept_key", "level"]).join(grades, "grade_code").join(periods, "period_key")
+    paid = roles.payroll(spark, sf_dir).filter("status = 'Paid'").select(
+        "payroll_id", "emp_id", cal.month_key(F.col("pay_year"), F.col("pay_month")).cast("bigint").alias("period_key"), "gross", "net", "tds",
+        rounded(ratio("tds", "gross", 100)).alias("effective_tax_rate"), rounded(ratio("net", "gross", 100)).alias("take_home_ratio"),
+    )
+    return paid.join(keys, "emp_id").join(periods, "period_key", "left_semi")
 
 
 @query("star_fact_attendance", "att_id:l emp_id:l dept_key:l period_key:l att_date:s att_status:s hours:d is_present:l is_late:l",

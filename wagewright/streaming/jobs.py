@@ -73,19 +73,23 @@ def each_batch(df: DataFrame, work: Callable[[DataFrame, int], None], checkpoint
     )
 
 
-def keep_batch(out: str) -> Callable[[DataFrame, int], None]:
-    """Write a batch under its own id; a replayed batch overwrites itself."""
+def keep_latest(out: str) -> Callable[[DataFrame, int], None]:
+    """Keep the whole result of a complete-mode query in two folders in turn, each with the batch it is of.
+
+    A batch overwrites the result before the last, so that what readers see stays whole until the next is written, and no more than two
+    results are ever kept. A replayed batch overwrites itself.
+    """
     def work(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        df.withColumn("batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(f"{out}/turn={batch_id % 2}")
 
     return work
 
 
 def latest_batch(spark: SparkSession, out: str) -> DataFrame:
-    """The last full result of a complete-mode query."""
+    """The last full result of a complete-mode query that ``keep_latest`` wrote."""
     kept = spark.read.parquet(out)
-    newest = kept.agg(F.max("batch_id").alias("b")).scalar()
-    return kept.filter(F.col("batch_id") == newest).drop("batch_id")
+    newest = kept.agg(F.max("batch").alias("b")).scalar()
+    return kept.filter(F.col("batch") == newest).drop("batch", "turn")
 
 
 def running_totals(events: DataFrame) -> DataFrame:
