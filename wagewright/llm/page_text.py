@@ -18,7 +18,7 @@ TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"
 ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 
 # Elements by what the standard says of them.
-RAW = frozenset("script style noscript template textarea svg iframe object select title math".split())
+RAW = frozenset("script style noscript template textarea svg iframe object select title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr b bdi bdo big cite code del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
 CHROME = frozenset("nav footer aside form button dialog menu head".split())
@@ -26,6 +26,11 @@ CHROME_ROLES = frozenset("navigation banner contentinfo complementary search for
 #: Chrome that can hold parts marked as articles of their own: each reader's comment, each related page.
 HOLDERS = frozenset("nav footer aside dialog menu navigation contentinfo complementary comment comments reply replies respond disqus related recommended".split())
 MAIN = frozenset("article main".split())
+#: Parts of a formula, whose text stands in the line.
+FORMULA = frozenset(
+    "mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom mfenced menclose msub msup msubsup munder mover munderover mmultiscripts mprescripts "
+    "none mtable mtr mtd maction semantics".split()
+)
 #: Words in a class or id that name something other than the article.
 CHROME_WORDS = frozenset(
     "ad ads advert advertisement sponsor sponsored promo banner cookie cookies consent notice alert popup modal overlay sidebar aside menu navbar nav navigation "
@@ -61,22 +66,24 @@ class Open:
             at = at.above
 
 
-def named(attributes: str) -> tuple[str, str]:
-    """Class and id words, and the role."""
-    words, role = [], ""
+def named(attributes: str) -> tuple[str, str, set[str]]:
+    """Class and id words, the role, and the names as they stand, not taken apart at hyphens."""
+    words, role, whole = [], "", set()
     for m in ATTRIBUTE.finditer(attributes):
         value = html.unescape(m[2] or m[3] or m[4] or "").lower()
         if m[1].lower() == "role":
             role = value.strip()
         else:
             words += re.split(r"[\s_-]+", value)
-    return " ".join(w for w in words if w), role
+            whole |= set(value.split())
+    return " ".join(w for w in words if w), role, whole
 
 
 def blocks(page: str | None):
     """(style path, prior, text) of each block: what the page itself says of it, one of ``PRIORS``.
 
-    A name doesn't make chrome of an element that holds an article or main element, or is one. Where comments and the like
+    A name doesn't make chrome of an element that holds an article or main element, or is one; inside one only a whole name does,
+    not a part of ``share-price`` or ``search-methods``: what such parts repeat on a site is for the tree to say. Where comments and the like
     hold articles of their own, those under the fewest such parts are the page's.
     """
     page = page or ""
@@ -93,7 +100,7 @@ def blocks(page: str | None):
             path = ">".join(o.style for o in block[1:])
             out.append((path, stack[-1], text))
 
-    at = 0
+    at, formula = 0, False
     while at < len(page):
         m = TAG.search(page, at)
         if not m:
@@ -105,6 +112,11 @@ def blocks(page: str | None):
         if not tag:
             continue
         tag = tag.lower()
+        if tag == "math":
+            formula = not closing and not attributes.rstrip().endswith("/")
+            continue
+        if formula and tag in FORMULA:
+            continue
         if closing:
             if any(o.tag == tag for o in stack[1:]):
                 if tag not in INLINE:
@@ -118,7 +130,7 @@ def blocks(page: str | None):
             buffer.append(" ")
             continue
         if tag in RAW:
-            flush() if tag not in ("svg", "math") else None
+            flush() if tag != "svg" else None
             if not attributes.rstrip().endswith("/"):
                 end = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(page, at)
                 at = end.end() if end else len(page)
@@ -133,12 +145,12 @@ def blocks(page: str | None):
                 stack.pop()  # an inline element that was never closed ends with its block
             if stack[-1].tag in ENDS.get(tag, ()) or stack[-1].tag == "p":
                 stack.pop()
-        words, role = named(attributes)
+        words, role, whole = named(attributes)
         own = set(words.split())
         main = tag in MAIN or role == "main"
         inside = any(o.main for o in stack)
         plain = tag not in ("body", "html")
-        chrome = tag in CHROME or role in CHROME_ROLES or (tag == "header" and not inside) or (bool(own & CHROME_WORDS) and plain)
+        chrome = tag in CHROME or role in CHROME_ROLES or (tag == "header" and not inside) or (bool((whole if inside else own) & CHROME_WORDS) and plain)
         holder = plain and bool((own | {tag, role}) & HOLDERS)
         node = Open(tag, f"{tag}.{words.replace(' ', '.')}" if words else tag, chrome, main, stack[-1], holder)
         stack.append(node)
