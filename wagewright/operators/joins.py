@@ -98,6 +98,7 @@ def asof_join(
 
     # At one instant versions come first, in one slice; facts after them in any order, so a hash spreads them.
     spread = 1 + F.pmod(F.xxhash64("_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    both = settled(both, "asof")  # read for the slices' bounds, for what is carried on and for the result
     timed = both.filter(F.col("_at").isNotNull()).withColumn("_tie_at", F.when(F.col("_kind") == 0, F.lit(0.0)).otherwise(spread))
     here = Window.partitionBy(*keys, *PART).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     cut = with_slices(timed, "_at", "_tie_at", slices=slices).withColumn("_seen", F.last("_version", ignorenulls=True).over(here))
