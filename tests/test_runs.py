@@ -1,5 +1,6 @@
 """Stored runs, folder reads, partitioned writes, caching and streams."""
 
+import os
 import tempfile
 
 import pytest
@@ -10,7 +11,7 @@ from wagewright.functions.numeric import zero
 from wagewright.operators.daily_run import Run, Stage, daily_run
 from wagewright.operators.loading import manifest, write_partitioned
 from wagewright.plans.relational import merged_documents
-from wagewright.session import kept, settled
+from wagewright.session import dropped_after, kept, scratch, settled
 from wagewright.sources.tables import csv_datasets, read_csv, read_csv_folder, run_sql, table, write_csv
 from wagewright.streaming import jobs
 
@@ -135,3 +136,21 @@ def test_late_rows_change_nothing(spark):
         counts.append(spark.read.parquet(out).agg(F.sum("events")).first()[0])
     assert counts[1] == counts[2] == counts[3] and counts[0] < counts[1]
     assert spark.read.parquet(out).groupBy("window_start").count().filter("count > 1").count() == 0
+
+
+def test_stored_frames_go_with_their_job(spark):
+    def held(df):
+        return df.inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]
+
+    before = held(settled(spark.range(3)))
+    with dropped_after(spark):
+        outer = held(settled(spark.range(3)))
+        with dropped_after(spark):
+            inner = held(settled(spark.range(3)))
+            assert os.path.isdir(inner)
+        assert not os.path.isdir(inner) and os.path.isdir(outer)
+    assert not os.path.isdir(outer) and os.path.isdir(before)
+    with pytest.raises(ZeroDivisionError), dropped_after(spark):
+        lost = held(settled(spark.range(3)))
+        raise ZeroDivisionError
+    assert not os.path.isdir(lost) and scratch(spark, "x").count("job-") == 0

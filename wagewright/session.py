@@ -40,7 +40,28 @@ def scratch(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = os.path.join(tempfile.gettempdir(), "wagewright")
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    inside = _jobs.get(spark.sparkContext.applicationId)
+    return "/".join([root.rstrip("/"), *(inside or []), f"{label}-{uuid.uuid4().hex}"])
+
+
+_jobs: dict[str, list[str]] = {}
+
+
+@contextmanager
+def dropped_after(spark: SparkSession):
+    """What is stored within goes when the block ends, also when it fails; write the result before, outside of the shared folder.
+
+    ``with dropped_after(spark): report(spark, folder).write.parquet(out)``. Blocks can be nested.
+    """
+    folder = scratch(spark, "job")
+    inside = _jobs.setdefault(spark.sparkContext.applicationId, [])
+    inside.append(folder.rsplit("/", 1)[1])
+    try:
+        yield
+    finally:
+        inside.pop()
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def parallelism(spark: SparkSession) -> int:
