@@ -12,7 +12,7 @@ from wagewright.functions.numeric import mean, ratio, rounded
 from wagewright.registry import query
 from wagewright.session import settled
 from wagewright.sources import roles
-from wagewright.sources.role_sql import avg, pct, r
+from wagewright.sources.role_sql import avg, r
 from wagewright.sources.tables import table
 
 AS_OF = "2002-01-01"
