@@ -5,8 +5,8 @@ from __future__ import annotations
 # Digits that stand for letters.
 LEET = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t"}
 
-#: Bytes, about, of remembered words, and remembered steps of the automaton (some 200 bytes each).
-WORDS, MOVES = 24_000_000, 120_000
+#: Bytes, about, of remembered words, and remembered steps of the automaton (some 150 bytes each).
+WORDS, MOVES = 24_000_000, 400_000
 
 
 def allowed(term: str) -> int:
@@ -34,6 +34,7 @@ class Lexicon:
         self.sets: list[tuple[tuple[int, int], ...]] = []
         self.number: dict[tuple[tuple[int, int], ...], int] = {}
         self.move: list[dict[str, int]] = []
+        self.pairs: dict[tuple[int, int], tuple[int, int]] = {}
         self.start = self._state({0: 0})
         self.known: dict[str, tuple[float, float, float] | None] = {}
         self.words = self.moves = 0
@@ -59,7 +60,8 @@ class Lexicon:
                 if edits + 1 <= self.budget[below] and edits + 1 < found.get(below, 99):
                     found[below] = edits + 1
                     queue.append((below, edits + 1))
-        key = tuple(sorted((n, e) for n, e in found.items() if e <= self.budget[n]))
+        pairs = self.pairs  # the same few pairs stand in very many states
+        key = tuple(sorted(pairs.setdefault(p, p) for p in found.items() if p[1] <= self.budget[p[0]]))
         if key not in self.number:
             self.number[key] = len(self.sets)
             self.sets.append(key)
