@@ -253,6 +253,24 @@ def test_keyed_state_over_restarts(spark):
             assert got[i] == (k, n, total)
 
 
+def test_many_keys_share_states(spark):
+    """The number of states is bounded, whatever the number of keys; keys of one state stay apart over a restart, also large and negative ones."""
+    landing, out, check = (scratch(spark, n) for n in ("landing", "out", "check"))
+    own = jobs.stream_session(spark)
+    known = [k * (2**62 // 4000) * (-1) ** k - k for k in range(4000)]
+    sent = defaultdict(list)
+    for turn in range(2):
+        rows = [(k, 2 * i + turn + 10**16, dt.datetime(2020, 1 + turn, 1 + i % 5), i + 1) for i, k in enumerate(known[turn * 1000:] + known[:2500])]
+        jobs.stage_files(spark.createDataFrame(rows, "k long, id long, at timestamp_ntz, u long").repartition(4), landing)
+        for k, i, at, u in sorted(rows, key=lambda r: (r[2], r[1])):
+            sent[k].append((i, u))
+        stream = own.readStream.schema("k long, id long, at timestamp_ntz, u long").parquet(landing)
+        jobs.append_to(jobs.running_by_key(stream, "k", "at", "id", "u"), out, check)
+    want = [(k, i, n, sum(u for _, u in rows[:n])) for k, rows in sent.items() for n, (i, _) in enumerate(rows, 1)]
+    assert sorted((r.k, r.id, r.nth, r.total) for r in spark.read.parquet(out).collect()) == sorted(want)
+    assert spark.read.format("statestore").load(check).count() <= 2048 < len(sent) == 4000
+
+
 # ---- replacing a partition ------------------------------------------------------------
 def files(path):
     return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")}

@@ -131,21 +131,27 @@ def files_per_batch(spark: SparkSession) -> int:
     return max(1, parallelism(spark) // 4)
 
 
-def running_by_key(rows: DataFrame, key: str, at: str, tie: str, units: str) -> DataFrame:
+def running_by_key(rows: DataFrame, key: str, at: str, tie: str, units: str, shares: int = 1 << 11) -> DataFrame:
     """Each row with its number (``nth``, from 1) and the sum of ``units`` so far (``total``) among the rows of its key, in order of arrival.
 
-    Keyed state: two numbers per key, kept from batch to batch and over restarts on the same checkpoint. Within a batch rows are ordered by
-    ``at`` and ``tie``; the batch's size, which the source bounds, is what one key's rows can need of memory. ``key``, ``tie`` and ``units`` are whole numbers.
+    Keyed state: two numbers per key, kept from batch to batch and over restarts on the same checkpoint. Keys share ``shares`` states by
+    their hash, so that a call of the function serves many keys at once; a checkpoint keeps the number it began with. Within a batch rows are
+    ordered by ``at`` and ``tie``; the batch's size, which the source bounds, is what one state's rows can need of memory. ``key``, ``tie``
+    and ``units`` are whole numbers.
     """
     import pandas as pd
 
+    sums = ["nth", "total"]
+
     def work(group, parts, state):
-        n, total = state.get if state.exists else (0, 0)
-        frame = pd.concat(list(parts)).sort_values([at, tie], kind="stable")
-        sums = total + frame[units].cumsum()
-        out = pd.DataFrame({key: frame[key], tie: frame[tie], "nth": range(n + 1, n + len(frame) + 1), "total": sums})
-        state.update((n + len(frame), int(sums.iloc[-1])))
-        yield out.astype("int64")
+        held = pd.DataFrame(dict(zip([key, *sums], state.get if state.exists else ([], [], []))), dtype="int64")
+        new = pd.concat(list(parts)).sort_values([at, tie], kind="stable")
+        both = pd.concat([held, pd.DataFrame({key: new[key], "nth": 1, "total": new[units]})], ignore_index=True)
+        both[sums] = both.groupby(key, sort=False)[sums].cumsum()
+        last = both.drop_duplicates(key, keep="last")
+        state.update(tuple(last[c].tolist() for c in (key, *sums)))
+        yield both.iloc[len(held):].assign(**{tie: new[tie].to_numpy()})[[key, tie, *sums]].astype("int64")
 
     schema = f"{key} long, {tie} long, nth long, total long"
-    return rows.select(key, at, tie, units).groupBy(key).applyInPandasWithState(work, schema, "n long, total long", "append", "NoTimeout")
+    shared = rows.select(key, at, tie, units, F.pmod(F.xxhash64(key), F.lit(shares)).alias("_share")).groupBy("_share")
+    return shared.applyInPandasWithState(work, schema, "keys array<long>, n array<long>, total array<long>", "append", "NoTimeout")
